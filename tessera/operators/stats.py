@@ -69,6 +69,14 @@ def gram_sql(df: DataFrame, cols: Sequence[str], y: str | None = None, by: Seque
     return df.groupBy(*by).agg(*aggs)
 
 
+def covariance_sql(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
+    """Sample covariance of every pair (A7) with the numerically stable built-in
+    ``covar_samp``; one grouped aggregation."""
+    aggs = [F.covar_samp(c(cols[i]), c(cols[j])).alias(f"cov_{i}{j}")
+            for i in range(len(cols)) for j in range(i, len(cols))]
+    return df.groupBy(*by).agg(*aggs)
+
+
 class Gram:
     """Sufficient statistics of one group: n, sum x, X'X, X'y, sum y, y'y."""
 

@@ -1 +1,195 @@
-"""Catalogue module."""
+"""Catalogue: array (image / embedding) operators on the embeddings table."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from tessera.functions import scalar as S
+from tessera.operators import cluster, images, joins, stats
+from tessera.operators.gaussian import fit_gaussian, predict_gaussian
+from tessera.operators.scale import standardize, unstandardize
+from tessera.plans.registry import query
+from tessera.session import table
+
+
+def emb(spark, d):
+    return table(spark, d, "embeddings")
+
+
+@query("q_array_contrast", "C8, A14, F24", """
+WITH e AS (
+  SELECT vec_id, embedding, list_max(embedding) - list_min(embedding) AS contrast,
+         CAST(list_min(embedding) AS DOUBLE) AS lo, CAST(list_max(embedding) AS DOUBLE) AS hi
+  FROM embeddings),
+k AS (SELECT * FROM e WHERE CAST(contrast AS DOUBLE) > 0.6),
+u AS (
+  SELECT vec_id, contrast, unnest(range(len(embedding))) AS pos,
+         unnest(list_transform(embedding, lambda x: CASE WHEN hi > lo THEN (CAST(x AS DOUBLE) - lo) * 255.0 / (hi - lo)
+                                                    ELSE 0.0 END)) AS sv
+  FROM k)
+SELECT vec_id, contrast, CAST(pos AS INTEGER) AS pos, round(sv, 6) AS sv FROM u
+""")
+def q_array_contrast(spark, d):
+    e = emb(spark, d).select("vec_id", "embedding", S.contrast("embedding").alias("contrast"))
+    e = e.filter(F.col("contrast").cast("double") > 0.6)
+    e = e.select("vec_id", "contrast", F.posexplode(S.stretch("embedding")).alias("pos", "sv"))
+    return e.select("vec_id", "contrast", "pos", F.round("sv", 6).alias("sv"))
+
+
+# Three constant centres of the nearest-centre stand-in query.
+CENTRE_LEVELS = [0.0, 0.05, -0.05]
+
+
+def _dist_sql(v: float) -> str:
+    return f"list_sum(list_transform(embedding, lambda x: (CAST(x AS DOUBLE) - {v}) * (CAST(x AS DOUBLE) - {v})))"
+
+
+@query("q_pair_same_cluster", "J3, M17", f"""
+WITH c AS (SELECT vec_id, {_dist_sql(0.0)} AS d0, {_dist_sql(0.05)} AS d1, {_dist_sql(-0.05)} AS d2 FROM embeddings),
+a AS (SELECT vec_id, CASE WHEN d0 <= d1 AND d0 <= d2 THEN 0 WHEN d1 <= d2 THEN 1 ELSE 2 END AS cluster FROM c),
+p AS (SELECT vec_id AS a, vec_id + 1 AS b FROM embeddings)
+SELECT p.a, p.b, la.cluster AS cluster_a, lb.cluster AS cluster_b,
+       CAST(COALESCE(la.cluster = lb.cluster, false) AS INTEGER) AS same
+FROM p LEFT JOIN a la ON p.a = la.vec_id LEFT JOIN a lb ON p.b = lb.vec_id
+""")
+def q_pair_same_cluster(spark, d):
+    e = emb(spark, d)
+    dim = len(e.select("embedding").first()[0])
+    centres = [[v] * dim for v in CENTRE_LEVELS]
+    labels = cluster.assign(e, "embedding", centres).select("vec_id", "cluster")
+    pairs = e.select(F.col("vec_id").alias("a"), (F.col("vec_id") + 1).alias("b"))
+    la = labels.select(F.col("vec_id").alias("a"), F.col("cluster").alias("cluster_a"))
+    lb = labels.select(F.col("vec_id").alias("b"), F.col("cluster").alias("cluster_b"))
+    out = joins.same_cluster(pairs, labels, "a", "b", "vec_id", "cluster")
+    return out.join(la, "a", "left").join(lb, "b", "left").select("a", "b", "cluster_a", "cluster_b", "same")
+
+
+@query("q_indicator", "F25", """
+SELECT doc_id, array_to_string(list_transform(range(2), lambda i: CAST(i = quality AS INTEGER)), ',') AS ind FROM labels
+""")
+def q_indicator(spark, d):
+    lab = table(spark, d, "labels")
+    return lab.select("doc_id", F.array_join(S.to_indicator("quality", 2), ",").alias("ind"))
+
+
+@query("q_argmax", "M29", """
+SELECT vec_id, CAST(list_position(embedding, list_max(embedding)) - 1 AS INTEGER) AS am FROM embeddings
+""")
+def q_argmax(spark, d):
+    return emb(spark, d).select("vec_id", S.argmax("embedding").alias("am"))
+
+
+@query("q_class_cov", "A4, A5, A7", """
+WITH x AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings)
+SELECT label, COUNT(*) AS n, round(avg(x0), 9) AS mean_0, round(avg(x1), 9) AS mean_1,
+       round(covar_samp(x0, x0), 9) AS cov_00, round(covar_samp(x0, x1), 9) AS cov_01,
+       round(covar_samp(x1, x1), 9) AS cov_11
+FROM x GROUP BY label
+""")
+def q_class_cov(spark, d):
+    x = emb(spark, d).select("label", F.col("embedding")[0].cast("double").alias("x0"),
+                             F.col("embedding")[1].cast("double").alias("x1"))
+    pri = stats.class_priors(x, "label")
+    means = stats.class_means(x, ["x0", "x1"], "label").select(
+        "label", F.round("x0", 9).alias("mean_0"), F.round("x1", 9).alias("mean_1"))
+    cov = stats.covariance_sql(x, ["x0", "x1"], ["label"]).select(
+        "label", *[F.round(f"cov_{p}", 9).alias(f"cov_{p}") for p in ["00", "01", "11"]])
+    return pri.join(means, "label").join(cov, "label")
+
+
+@query("q_gaussian_score", "M12, M14", """
+WITH d AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
+                  CAST(label >= 5 AS INTEGER) AS y FROM embeddings),
+m AS (SELECT avg(x0) FILTER (WHERE y = 0) AS m00, avg(x1) FILTER (WHERE y = 0) AS m01,
+             avg(x0) FILTER (WHERE y = 1) AS m10, avg(x1) FILTER (WHERE y = 1) AS m11,
+             CAST(count(*) FILTER (WHERE y = 0) AS DOUBLE) AS n0, CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) AS n1,
+             var_samp(x0) AS s00, covar_samp(x0, x1) AS s01, var_samp(x1) AS s11 FROM d),
+w AS (SELECT *, s00 * s11 - s01 * s01 AS det FROM m),
+p AS (SELECT (s11 * (m10 - m00) - s01 * (m11 - m01)) / det AS w0,
+             (s00 * (m11 - m01) - s01 * (m10 - m00)) / det AS w1,
+             -0.5 * ((m10 * (s11 * m10 - s01 * m11) + m11 * (s00 * m11 - s01 * m10)) / det
+                   - (m00 * (s11 * m00 - s01 * m01) + m01 * (s00 * m01 - s01 * m00)) / det) + ln(n1 / n0) AS b
+      FROM w)
+SELECT vec_id, round(1.0 / (1.0 + exp(-(b + x0 * w0 + x1 * w1))), 6) AS p1 FROM d, p
+""")
+def q_gaussian_score(spark, d):
+    x = emb(spark, d).select("vec_id", F.col("embedding")[0].cast("double").alias("x0"),
+                             F.col("embedding")[1].cast("double").alias("x1"),
+                             (F.col("label") >= 5).cast("int").alias("y"))
+    model = fit_gaussian(x, ["x0", "x1"], "y", shared=True)
+    return predict_gaussian(x, ["x0", "x1"], model).select("vec_id", F.round("p1", 6).alias("p1"))
+
+
+@query("q_mean_vector", "A19", """
+WITH u AS (SELECT unnest(range(len(embedding))) AS pos, unnest(embedding) AS v FROM embeddings)
+SELECT CAST(pos AS INTEGER) AS pos, round(avg(CAST(v AS DOUBLE)), 9) AS mean FROM u GROUP BY pos
+""")
+def q_mean_vector(spark, d):
+    mv = stats.mean_vector(emb(spark, d).select(F.transform("embedding", lambda v: v.cast("double")).alias("e")), "e")
+    return mv.select("pos", F.round("mean", 9).alias("mean"))
+
+
+@query("q_flip_augment", "M27, P6", """
+WITH v AS (
+  SELECT vec_id, 'orig' AS variant, embedding AS a FROM embeddings
+  UNION ALL
+  SELECT vec_id, 'flip', list_transform(range(64), lambda p: embedding[(p // 8) * 8 + (7 - p % 8) + 1]) FROM embeddings
+  UNION ALL
+  SELECT vec_id, 'shift', list_transform(range(64), lambda p: CASE WHEN p % 8 >= 1 THEN embedding[p] ELSE CAST(0.0 AS FLOAT) END)
+  FROM embeddings),
+u AS (SELECT vec_id, variant, unnest(range(len(a))) AS pos, unnest(a) AS value FROM v)
+SELECT vec_id, variant, CAST(pos AS INTEGER) AS pos, value FROM u
+""")
+def q_flip_augment(spark, d):
+    aug = images.augment(emb(spark, d).select("vec_id", "embedding"), "embedding", 8, 8, shift=1)
+    return aug.select("vec_id", "variant", F.posexplode("embedding").alias("pos", "value"))
+
+
+@query("q_scale_maths", "F23, A10", """
+SELECT min(list_min(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 255.0))) AS min_scaled,
+       max(list_max(list_transform(embedding, lambda x: CAST(x AS DOUBLE) / 255.0))) AS max_scaled
+FROM embeddings
+""")
+def q_scale_maths(spark, d):
+    s = emb(spark, d).select(S.scale_array("embedding", 255).alias("s"))
+    return s.agg(F.min(F.array_min("s")).alias("min_scaled"), F.max(F.array_max("s")).alias("max_scaled"))
+
+
+@query("q_maths", "F33, F32, F27, F28", """
+WITH s AS (SELECT avg(c_acctbal) AS m, stddev_samp(c_acctbal) AS sd FROM customer),
+x AS (SELECT c_custkey, c_acctbal / 1000.0 AS x, (c_acctbal - s.m) / s.sd AS z, s.m, s.sd FROM customer, s)
+SELECT c_custkey,
+       round(cos(x), 6) AS cos_x, round(sin(x), 6) AS sin_x, abs(x) AS abs_x, round(exp(x), 6) AS exp_x,
+       round(CASE WHEN x > 0 THEN ln(x) END, 6) AS log_x, round(CASE WHEN x >= 0 THEN sqrt(x) END, 6) AS sqrt_x,
+       round(pow(x, 2), 6) AS pow_x,
+       round(1.0 / (1.0 + exp(-x)), 6) AS sig_x, round(1.0 + 4.0 * (1.0 / (1.0 + exp(-x))), 6) AS rating,
+       round(z * sd + m, 4) AS restored
+FROM x
+""")
+def q_maths(spark, d):
+    cu = table(spark, d, "customer").select("c_custkey", "c_acctbal")
+    zdf, st = standardize(cu.withColumn("z", F.col("c_acctbal")), ["z"])
+    zdf = unstandardize(zdf, "z", *st["z"])
+    x = F.col("c_acctbal") / 1000.0
+    return zdf.select(
+        "c_custkey",
+        F.round(F.cos(x), 6).alias("cos_x"), F.round(F.sin(x), 6).alias("sin_x"), F.abs(x).alias("abs_x"),
+        F.round(F.exp(x), 6).alias("exp_x"), F.round(F.log(x), 6).alias("log_x"),
+        F.round(F.sqrt(F.when(x >= 0, x)), 6).alias("sqrt_x"), F.round(F.pow(x, 2), 6).alias("pow_x"),
+        F.round(S.sigmoid(x), 6).alias("sig_x"), F.round(S.rating_sigmoid(x, 1.0, 5.0), 6).alias("rating"),
+        F.round("z", 4).alias("restored"),
+    )
+
+
+@query("q_ordinal_probs", "F29", """
+WITH x AS (SELECT c_custkey, c_acctbal / 2000.0 AS z FROM customer),
+s AS (SELECT c_custkey, 1.0 / (1.0 + exp(-(-1.0 - z))) AS s1, 1.0 / (1.0 + exp(-(0.0 - z))) AS s2,
+             1.0 / (1.0 + exp(-(1.0 - z))) AS s3, 1.0 / (1.0 + exp(-(2.0 - z))) AS s4 FROM x)
+SELECT c_custkey, round(s1, 6) AS p0, round(s2 - s1, 6) AS p1, round(s3 - s2, 6) AS p2, round(s4 - s3, 6) AS p3,
+       round(1.0 - s4, 6) AS p4
+FROM s
+""")
+def q_ordinal_probs(spark, d):
+    cu = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") / 2000.0).alias("z"))
+    pr = cu.select("c_custkey", S.ordinal_probs("z", [-1.0, 0.0, 1.0, 2.0]).alias("p"))
+    return pr.select("c_custkey", *[F.round(F.col("p")[i], 6).alias(f"p{i}") for i in range(5)])
