@@ -47,9 +47,11 @@ def minimize_quadratic(Q, p, x0=None, step="best", conv_norm: float = 0.1, max_i
     return x
 
 
-def ridge_solve(g: Gram, lam: float) -> np.ndarray:
-    """argmin |Xb - y|^2 + lam |b|^2 (every coefficient penalised, the constant too)."""
-    return np.linalg.solve(g.xx + lam * np.eye(g.k), g.xy)
+def ridge_solve(g: Gram, lam: float, step="analytic", **kw) -> np.ndarray:
+    """argmin |Xb - y|^2 + lam |b|^2 (every coefficient penalised, the constant too),
+    i.e. the quadratic 0.5 b'Qb + p'b with Q = 2(X'X + lam I), p = -2X'y (M4)."""
+    Q = 2.0 * (g.xx + lam * np.eye(g.k))
+    return minimize_quadratic(Q, -2.0 * g.xy, step=step, **kw)
 
 
 def fold_sse(g: Gram, b: np.ndarray) -> float:
@@ -62,7 +64,8 @@ def fit_ridge_cv(df: DataFrame, x: Sequence[str], y: str, lambdas: Sequence[floa
 
     One aggregation pass keyed by fold gives G_k; the training Gram of fold k is
     G - G_k, and fold k's SSE comes from its own sums. Returns
-    ``(coef, best_index, report)`` with report rows (lambda_index, lambda, rmse).
+    ``(coef, best_index, report)`` with report rows (lambda_index, lambda, rmse,
+    coefficients refitted on all rows with that lambda).
     """
     per_fold = gram(df, x, y, by=[fold])
     total = Gram(len(x))
@@ -74,10 +77,9 @@ def fit_ridge_cv(df: DataFrame, x: Sequence[str], y: str, lambdas: Sequence[floa
         for g_k in per_fold.values():
             b = ridge_solve(total - g_k, lam)
             sse += fold_sse(g_k, b)
-        report.append((m, float(lam), float(np.sqrt(sse / total.n))))
+        report.append((m, float(lam), float(np.sqrt(sse / total.n)), ridge_solve(total, lam)))
     best = min(report, key=lambda r: (r[2], r[0]))[0]
-    coef = ridge_solve(total, lambdas[best])
-    return coef, best, report
+    return report[best][3], best, report
 
 
 def predict_linear(df: DataFrame, x: Sequence[str], coef: Sequence[float], out: str = "prediction") -> DataFrame:

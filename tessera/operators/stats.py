@@ -44,14 +44,17 @@ def class_means(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
 
 
 def gram_sql(df: DataFrame, cols: Sequence[str], y: str | None = None, by: Sequence[str] = (),
-             weight: str | Column | None = None, weight_y: bool = True) -> DataFrame:
+             weight: str | Column | None = None, weight_y: bool = True, exact: str | None = None) -> DataFrame:
     """Sufficient statistics per group as columns: n, s_i, ss_i_j (i<=j), sy_i, syy, sy.
 
+    ``exact`` (a decimal type such as ``decimal(18,2)``) sums exact products of
+    fixed-point inputs instead of doubles.
+
     With ``weight_y=False`` the weight applies to X'X only and X'y stays unweighted
     (a Newton step needs X'WX and X'r from the same pass).
     """
     w = (c(weight) if weight is not None else None)
-    xs = [c(x).cast("double") for x in cols]
+    xs = [c(x).cast(exact or "double") for x in cols]
 
     def wsum(e):
         return F.sum(e * w if w is not None else e)
@@ -63,7 +66,7 @@ def gram_sql(df: DataFrame, cols: Sequence[str], y: str | None = None, by: Seque
     aggs += [wsum(xs[i]).alias(f"s_{i}") for i in range(len(xs))]
     aggs += [wsum(xs[i] * xs[j]).alias(f"ss_{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
     if y is not None:
-        yy = c(y).cast("double")
+        yy = c(y).cast(exact or "double")
         aggs += [ysum(xs[i] * yy).alias(f"sy_{i}") for i in range(len(xs))]
         aggs += [ysum(yy).alias("sy"), ysum(yy * yy).alias("syy")]
     return df.groupBy(*by).agg(*aggs)
