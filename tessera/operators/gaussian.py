@@ -99,5 +99,7 @@ def predict_gaussian(df: DataFrame, x: Sequence[str], model: GaussianModel, out:
             z = const - 0.5 * (np.einsum("ij,jk,ik->i", d1, i1, d1) - np.einsum("ij,jk,ik->i", d0, i0, d0))
             yield pdf.assign(**{out: 1.0 / (1.0 + np.exp(-z))})
 
-    schema = df.schema.add(out, "double")
+    from pyspark.sql import types as T
+
+    schema = T.StructType(list(df.schema.fields) + [T.StructField(out, T.DoubleType())])
     return df.mapInPandas(score, schema)

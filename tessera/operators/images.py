@@ -81,7 +81,8 @@ def denoise(df: DataFrame, arr: str, h: int, w: int, low: float = 0, high: float
             pdf[out] = list(res)
             yield pdf
 
-    schema = df.schema if out in df.columns else df.schema.add(out, T.ArrayType(elem))
+    schema = df.schema if out in df.columns else T.StructType(
+        list(df.schema.fields) + [T.StructField(out, T.ArrayType(elem))])
     return df.mapInPandas(run, schema)
 
 

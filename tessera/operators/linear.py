@@ -94,7 +94,7 @@ def fit_bagged(df: DataFrame, x: Sequence[str], y: str, key: str, times: int, la
     averaged coefficients. Returns (mean coefficients, per-bag coefficients)."""
     bags = bootstrap(df.select(key, *x, y), key, times, seed)
     per_bag = gram(bags, x, y, by=["bag"], weight="w")
-    coefs = [ridge_solve(per_bag[(b,)], lam) for b in sorted(per_bag)]
+    coefs = [ridge_solve(per_bag[key], lam) for key in sorted(per_bag)]
     return np.mean(coefs, axis=0), coefs
 
 

@@ -26,6 +26,7 @@ def query(name: str, ops: str, sql: str | None = None):
 def load_all() -> None:
     # importing the modules registers their queries
     from tessera.plans import (  # noqa: F401
+        q_fits,
         q_models,
         q_reshape,
         q_text,
