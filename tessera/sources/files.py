@@ -89,7 +89,7 @@ def read_image_dir(spark: SparkSession, path: str) -> DataFrame:
 def image_bytes_to_pixels(df: DataFrame, data: str = "__data", out: str = "pixels") -> DataFrame:
     """Binary pixel data -> array<int> 0..255 (hex decode per byte, JVM-side)."""
     hexed = F.hex(F.col(data))
-    return df.withColumn(out, F.transform(F.sequence(F.lit(0), F.length(hexed) / 2 - 1),
+    return df.withColumn(out, F.transform(F.sequence(F.lit(0), F.length(F.col(data)) - 1),
                                           lambda i: F.conv(F.substring(hexed, i * 2 + 1, 2), 16, 10).cast("int")))
 
 
