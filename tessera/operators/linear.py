@@ -28,7 +28,10 @@ def minimize_quadratic(Q, p, x0=None, step="best", conv_norm: float = 0.1, max_i
     Q, p = np.asarray(Q, float), np.asarray(p, float)
     x = np.zeros(len(p)) if x0 is None else np.asarray(x0, float).copy()
     if step == "analytic":
-        return np.linalg.solve(Q, -p)
+        try:
+            return np.linalg.solve(Q, -p)
+        except np.linalg.LinAlgError:  # singular (collinear features, lambda 0): minimum-norm solution
+            return np.linalg.lstsq(Q, -p, rcond=None)[0]
     g = Q @ x + p
     g_sq = g ** 2
     it = 0

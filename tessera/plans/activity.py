@@ -24,7 +24,7 @@ from tessera.session import table
 
 # Event types of the events table, in a fixed order (fixed schema).
 EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
-FEATURES = ["const", "y_1", "y_2", "y_3", "y_mean", "n_events_1", "weekend"]
+FEATURES = ["const", "y_1", "y_2", "y_mean", "n_events_1", "weekend"]
 LAMBDAS = [0.0, 1.0, 10.0, 100.0, 1000.0, 10000.0]
 
 
