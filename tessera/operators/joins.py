@@ -13,19 +13,30 @@ MAX_BROADCAST_ROWS = 2_000_000
 
 
 def sized_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` if its row count is within ``max_rows``, else ``dim``."""
+    """Return ``broadcast(dim)`` if its row count is within ``max_rows``, else ``dim``.
+
+    Costs one counting job over ``dim``; meant for dimensions that are cheap to
+    recompute (a dictionary read from storage), not for derived aggregates.
+    """
     n = dim.count()
     return F.broadcast(dim) if n <= max_rows else dim
 
 
-def lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left",
-           max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left", force_broadcast_rows: int | None = None) -> DataFrame:
     """Attach dimension columns.
 
-    Broadcast when the dimension is proven small; otherwise a shuffle join whose
-    hot keys AQE's skew-join handling splits across tasks.
+    Default: a plain equi-join and the size decision is left to the runtime.
+    With AQE the dimension's shuffle stage is materialised first and the join is
+    re-planned as a broadcast join only if its measured size is below
+    ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a proven bound, no extra
+    job); otherwise it stays a sort-merge join and AQE's skew handling splits
+    hot fact partitions (a word or key holding a third of the rows) across tasks.
+    ``force_broadcast_rows`` counts the dimension first and broadcasts it when
+    within that many rows.
     """
-    return facts.join(sized_broadcast(dim, max_rows), on, how)
+    if force_broadcast_rows is not None:
+        dim = sized_broadcast(dim, force_broadcast_rows)
+    return facts.join(dim, on, how)
 
 
 def star_join(fact: DataFrame, dims: Sequence[tuple[DataFrame, str]], how: str = "left") -> DataFrame:
@@ -41,7 +52,6 @@ def same_cluster(pairs: DataFrame, labels: DataFrame, a: str, b: str, key: str,
     """For pairs (a, b) of ids, 1 if both ids carry the same label."""
     la = labels.select(F.col(key).alias(a), F.col(label).alias("__la"))
     lb = labels.select(F.col(key).alias(b), F.col(label).alias("__lb"))
-    la, lb = sized_broadcast(la), sized_broadcast(lb)
     joined = pairs.join(la, a, "left").join(lb, b, "left")
     return joined.withColumn(out, F.coalesce(F.col("__la") == F.col("__lb"), F.lit(False)).cast("int")) \
         .drop("__la", "__lb")
