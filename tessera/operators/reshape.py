@@ -19,11 +19,16 @@ def to_long(df: DataFrame, ids: Sequence[str], cols: Sequence[str], name: str =
 
 def to_wide(df: DataFrame, keys: Sequence[str], item: str, value: str, levels: Sequence,
             agg: str = "first") -> DataFrame:
-    """Pivot ``item`` values to columns (P2). ``levels`` fixes the schema and skips the
-    distinct-values job; the pivot is one partial + final aggregation on ``keys``."""
+    """Pivot ``item`` values to columns.
+
+    ``levels`` fixes the schema (no distinct-values job). Written as one conditional
+    aggregate per level rather than ``pivot()``: Spark's pivot plans two
+    aggregations (two shuffles), this is one partial + final aggregation on ``keys``.
+    """
     fn = {"first": lambda v: F.first(v, ignorenulls=True), "sum": F.sum, "max": F.max, "min": F.min,
           "avg": F.avg, "count": F.count}[agg]
-    return df.groupBy(*keys).pivot(item, list(levels)).agg(fn(F.col(value)))
+    return df.groupBy(*keys).agg(*[fn(F.when(F.col(item) == F.lit(lvl), F.col(value))).alias(str(lvl))
+                                   for lvl in levels])
 
 
 def to_block(df: DataFrame, key: str, hour: str, items: Sequence[str], hours: Sequence[int]) -> DataFrame:
