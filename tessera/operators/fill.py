@@ -1,11 +1,12 @@
 """Ordered-window operators: lags, forward/backward fill, zero repair.
 
 Hot keys: a window partitioned by an entity key runs each entity in one task.
-``add_lags`` is meant for bounded series (one row per entity and day/hour after a
-pre-aggregation, or per month as in the hourly original). ``ffill``/``bfill`` take an
-optional ``segment`` column (for example the day): the fill then runs per
-(key, segment) in parallel and only one row per segment crosses segment borders,
-so a key holding a third of the table is still spread over many tasks.
+``add_lags``, ``ffill`` and ``bfill`` therefore take an optional ``segment`` column
+(for example the day): the windows run per (key, segment) in parallel and only a
+bounded summary per segment (its last n values, or its edge value) crosses segment
+borders, so a key holding a third of the table is still spread over many tasks.
+Without ``segment`` they suit bounded series (one row per entity and day after a
+pre-aggregation, or per month as in the hourly original).
 """
 
 from __future__ import annotations
@@ -19,16 +20,53 @@ from tessera.functions.scalar import c
 
 
 def add_lags(df: DataFrame, items: Sequence[str], n: int, part: Sequence[str], order: Sequence[str],
-             start: int = 1) -> DataFrame:
+             start: int = 1, segment: str | None = None) -> DataFrame:
     """``item_k = lag(item, k)`` for k in start..n within ``part`` ordered by ``order``.
 
     All lags share one window spec, so Catalyst plans one sort and one WindowExec.
+    With ``segment`` (a coarse ordered column such as the day) the windows run per
+    (part, segment): each segment hands its last n values (at most n rows) to the
+    segments after it through a window over one row per segment, so a key holding
+    a third of the table is still spread over many tasks.
     """
+    if segment:
+        return _segmented_lags(df, list(items), n, list(part), list(order), start, segment)
     w = Window.partitionBy(*part).orderBy(*order)
     lags = [F.lag(c(it), k).over(w).alias(f"{it}_{k}") for it in items for k in range(start, n + 1)]
     return df.select("*", *lags)
 
 
+def _segmented_lags(df, items, n, part, order, start, segment):
+    keys = part + [segment]
+    w = Window.partitionBy(*keys).orderBy(*order)
+    w_desc = Window.partitionBy(*keys).orderBy(*[F.col(o).desc() for o in order])
+    local = df.select("*", F.row_number().over(w).alias("__rn"), F.row_number().over(w_desc).alias("__rd"),
+                      *[F.lag(c(it), k).over(w).alias(f"__l_{i}_{k}")
+                        for i, it in enumerate(items) for k in range(start, n + 1)])
+    # last n rows of every segment, as one small array per (key, segment) and item
+    tails = local.filter(F.col("__rd") <= n).groupBy(*keys).agg(*[
+        F.transform(F.array_sort(F.collect_list(F.struct(F.col("__rn").alias("r"), c(it).alias("v")))),
+                    lambda s: s["v"]).alias(f"__t_{i}") for i, it in enumerate(items)])
+    # values before the segment: tails of up to n earlier segments, last n kept
+    ws = Window.partitionBy(*part).orderBy(segment).rowsBetween(-n, -1)
+    carry = tails.select(*keys, *[F.flatten(F.collect_list(f"__t_{i}").over(ws)).alias(f"__c_{i}")
+                                  for i in range(len(items))])
+    # keep the last n (a negative slice start past the front would give an empty array)
+    carry = carry.select(*keys, *[
+        F.coalesce(F.slice(F.col(f"__c_{i}"), F.greatest(F.size(f"__c_{i}") - n + 1, F.lit(1)), n),
+                   F.array()).alias(f"__c_{i}")
+        for i in range(len(items))])
+    out = local.join(carry, keys, "left")
+    cols = [c(x) for x in df.columns]
+    for i, it in enumerate(items):
+        arr = F.col(f"__c_{i}")
+        for k in range(start, n + 1):
+            back = F.lit(k) - F.col("__rn") + 1  # how many values before the segment start
+            from_carry = F.when(F.size(arr) - back >= 0, F.element_at(arr, (F.size(arr) - back + 1).cast("int")))
+            cols.append(F.when(F.col("__rn") > k, F.col(f"__l_{i}_{k}")).otherwise(from_carry).alias(f"{it}_{k}"))
+    return out.select(*cols)
+
+
 def _order_struct(order: Sequence[str]) -> Column:
     return F.struct(*[c(o) for o in order])
 

@@ -176,12 +176,17 @@ def _gram_partition(df, cols, y, by, weight, weight_y=True):
         + [T.StructField("__i", T.IntegerType()), T.StructField("__row", T.ArrayType(T.DoubleType()))]
     )
     parts = src.mapInPandas(partial, schema)
-    # element-wise sum of the per-partition rows: one collect_list of at most
-    # (number of partitions) arrays of length k+2 per (group, row)
+    # element-wise sum of the per-partition rows in two levels: first within
+    # buckets of partitions (salt = partition id mod 64), then across buckets, so
+    # no task ever holds more than ~(partitions / 64) or 64 arrays of length k+2
     zero = F.array_repeat(F.lit(0.0), width)
-    summed = parts.groupBy(*gcols, "__i").agg(
-        F.aggregate(F.collect_list("__row"), zero, lambda a, r: F.zip_with(a, r, lambda p, q: p + q)).alias("__row")
-    )
+
+    def vsum(col):
+        return F.aggregate(F.collect_list(col), zero, lambda a, r: F.zip_with(a, r, lambda p, q: p + q))
+
+    salted = parts.withColumn("__s", F.pmod(F.spark_partition_id(), F.lit(64)))
+    level1 = salted.groupBy(*gcols, "__i", "__s").agg(vsum("__row").alias("__row"))
+    summed = level1.groupBy(*gcols, "__i").agg(vsum("__row").alias("__row"))
     mats: dict[tuple, np.ndarray] = {}
     for r in summed.collect():
         key = tuple(r[g] for g in gcols)

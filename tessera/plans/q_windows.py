@@ -105,3 +105,14 @@ SELECT dd.block, dd.hour, COALESCE(dd.v, carry.k) AS v FROM dd LEFT JOIN carry O
 """)
 def q_repair_zeros_carry(spark, d):
     return fill.repair_zeros(_blocks(spark, d), ["v"], key="block", hour="hour", last=24, carry_across=True)
+
+
+@query("q_event_lags", "W1 (segmented, raw events)", """
+SELECT event_id, lag(value, 1) OVER w AS value_1, lag(value, 2) OVER w AS value_2, lag(value, 3) OVER w AS value_3
+FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)
+""")
+def q_event_lags(spark, d):
+    ev = table(spark, d, "events").select("event_id", "user_id", "ts", F.to_date("ts").alias("day"), "value")
+    # per-(user, day) windows; each day hands its last 3 values to the following days
+    out = fill.add_lags(ev, ["value"], 3, part=["user_id"], order=["ts"], segment="day")
+    return out.select("event_id", "value_1", "value_2", "value_3")

@@ -245,3 +245,15 @@ def test_carry_forward_sorted(spark):
     df = spark.createDataFrame(rows, "k int, v double").repartition(7)
     out = {r["k"]: r["v"] for r in fill.carry_forward_sorted(df, "k", ["v"]).collect()}
     assert all(out[i] == float(i - i % 3) for i in range(200))
+
+
+def test_segmented_lags_equal_plain(spark):
+    rng = np.random.default_rng(2)
+    rows = [(int(u), int(t), int(t // 7), float(rng.integers(100))) for u in range(4) for t in range(50)
+            if rng.random() < 0.8]
+    df = spark.createDataFrame(rows, "u int, t int, seg int, v double")
+    a = {(r["u"], r["t"]): tuple(r[f"v_{k}"] for k in range(1, 10))
+         for r in fill.add_lags(df, ["v"], 9, ["u"], ["t"]).collect()}
+    b = {(r["u"], r["t"]): tuple(r[f"v_{k}"] for k in range(1, 10))
+         for r in fill.add_lags(df, ["v"], 9, ["u"], ["t"], segment="seg").collect()}
+    assert a == b
