@@ -87,14 +87,15 @@ def q_pad(spark, d):
 @query("q_tfidf", "T9", f"""
 WITH {TOK_CTE},
 tf AS (SELECT doc_id, word, COUNT(*) AS tf FROM (SELECT doc_id, unnest(tokens) AS word FROM tok) u GROUP BY 1, 2),
-df AS (SELECT word, COUNT(*) AS df FROM tf GROUP BY word),
+df AS (SELECT word, COUNT(*) AS df, SUM(tf) AS cf FROM tf GROUP BY word),
 n AS (SELECT COUNT(DISTINCT doc_id) AS n FROM tok)
-SELECT tf.doc_id, tf.word, tf.tf, df.df, round(tf.tf * ln((n.n + 1.0) / (df.df + 1.0)), 6) AS tfidf
+SELECT tf.doc_id, tf.word, tf.tf, df.df, CAST(df.cf AS BIGINT) AS cf,
+       round(tf.tf * ln((n.n + 1.0) / (df.df + 1.0)), 6) AS tfidf
 FROM tf JOIN df ON tf.word = df.word, n
 """)
 def q_tfidf(spark, d):
     out = text.tf_idf(_tokens(spark, d), "doc_id", "tokens")
-    return out.select("doc_id", "word", "tf", "df", F.round("tfidf", 6).alias("tfidf"))
+    return out.select("doc_id", "word", "tf", "df", "cf", F.round("tfidf", 6).alias("tfidf"))
 
 
 @query("q_doc_embed_sum", "J5, F31", f"""
