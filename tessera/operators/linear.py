@@ -114,3 +114,19 @@ def linear_term(x: Sequence[str], coef: Sequence[float]) -> Column:
 def rmse_of(df: DataFrame, x: Sequence[str], coef: Sequence[float], y: str) -> float:
     e = linear_term(x, coef) - F.col(y)
     return df.agg(F.sqrt(F.avg(e * e))).first()[0]
+
+
+def fit_ridge_mllib(df: DataFrame, x: Sequence[str], y: str, lam: float, fit_intercept: bool = True):
+    """MLlib path (unpenalised intercept): ``regParam = lam * stddev_pop(y) / n`` with no
+    standardisation reproduces ``|Xb - y|^2 + lam |b|^2`` on the non-intercept coefficients
+    (MLlib scales the label internally). Returns (intercept, coefficients)."""
+    from pyspark.ml.functions import array_to_vector
+    from pyspark.ml.regression import LinearRegression
+
+    n, sd = df.agg(F.count(F.lit(1)), F.stddev_pop(y)).first()
+    data = df.select(array_to_vector(F.array(*[F.col(v).cast("double") for v in x])).alias("features"),
+                     F.col(y).cast("double").alias("label"))
+    lr = LinearRegression(regParam=lam * sd / n, elasticNetParam=0.0, standardization=False,
+                          fitIntercept=fit_intercept, solver="normal")
+    m = lr.fit(data)
+    return float(m.intercept), np.array(m.coefficients.toArray())

@@ -138,3 +138,20 @@ def test_same_result_any_partitioning(spark):
         spark.conf.set("spark.sql.shuffle.partitions", "8")
     assert a == sorted(map(tuple, QUERIES["q_lags"](spark, SF_SMALL).collect()))
     assert b == sorted(map(tuple, QUERIES["q_filter_vocab"](spark, SF_SMALL).collect()))
+
+
+def test_mllib_paths_match_own_solvers(spark, reg_data):
+    from tessera.operators.linear import fit_ridge_mllib
+    from tessera.operators.logistic import fit_logistic_mllib
+
+    df, X, y = reg_data
+    # ridge without a constant column: every coefficient penalised in both
+    _, b = fit_ridge_mllib(df, ["a", "b", "d"], "y", lam=5.0, fit_intercept=False)
+    Z = X[:, 1:]
+    assert np.allclose(b, np.linalg.solve(Z.T @ Z + 5.0 * np.eye(3), Z.T @ y), atol=1e-8)
+    yb = (y > 0).astype(float)
+    d2 = spark.createDataFrame([(float(r[1]), float(r[2]), float(r[3]), float(t)) for r, t in zip(X, yb)],
+                               "a double, b double, d double, y double")
+    _, w_ml = fit_logistic_mllib(d2, ["a", "b", "d"], "y", reg=0.5, fit_intercept=False)
+    w_own = logistic.fit_logistic(d2, ["a", "b", "d"], "y", reg=0.5, solver="newton", conv_norm=1e-10)
+    assert np.allclose(w_ml, w_own, atol=1e-5)
