@@ -19,8 +19,10 @@ from pyspark.sql import types as T
 from tessera.functions.scalar import c
 
 # Above this many features the Gram matrix is built per partition with NumPy
-# (mapInPandas) instead of k(k+1)/2 SQL sum expressions.
-GRAM_SQL_MAX_K = 48
+# (mapInPandas) instead of k(k+1)/2 SQL sum expressions. Measured: at k = 23 the
+# generated aggregate takes ~2 s to compile (and iterative fits recompile it every
+# step, since weights enter as literals) against ~0.4 s for the NumPy path.
+GRAM_SQL_MAX_K = 8
 
 
 def moments(df: DataFrame, cols: Sequence[str], sample: bool = True) -> dict[str, tuple[float, float]]:
@@ -176,9 +178,22 @@ def _gram_partition(df, cols, y, by, weight, weight_y=True):
         + [T.StructField("__i", T.IntegerType()), T.StructField("__row", T.ArrayType(T.DoubleType()))]
     )
     parts = src.mapInPandas(partial, schema)
-    # element-wise sum of the per-partition rows in two levels: first within
-    # buckets of partitions (salt = partition id mod 64), then across buckets, so
-    # no task ever holds more than ~(partitions / 64) or 64 arrays of length k+2
+    mats = sum_partition_rows(parts, gcols, width, width)
+    out = {}
+    for key, m in mats.items():
+        out[key] = Gram(k, m[k + 1, k + 1], m[k + 1, :k], m[:k, :k], m[:k, k] if has_y else None,
+                        m[k + 1, k] if has_y else 0.0, m[k, k] if has_y else 0.0)
+    return out
+
+
+def sum_partition_rows(parts: DataFrame, gcols: Sequence[str], n_rows: int, width: int) -> dict[tuple, np.ndarray]:
+    """Combine per-partition matrices emitted as rows (group..., ``__i``, ``__row``).
+
+    Element-wise sums in two levels: first within buckets of partitions
+    (salt = partition id mod 64), then across buckets, so no task ever holds more
+    than ~(partitions / 64) or 64 arrays; only the final n_rows x width matrix per
+    group reaches the driver.
+    """
     zero = F.array_repeat(F.lit(0.0), width)
 
     def vsum(col):
@@ -190,12 +205,8 @@ def _gram_partition(df, cols, y, by, weight, weight_y=True):
     mats: dict[tuple, np.ndarray] = {}
     for r in summed.collect():
         key = tuple(r[g] for g in gcols)
-        mats.setdefault(key, np.zeros((width, width)))[r["__i"]] = r["__row"]
-    out = {}
-    for key, m in mats.items():
-        out[key] = Gram(k, m[k + 1, k + 1], m[k + 1, :k], m[:k, :k], m[:k, k] if has_y else None,
-                        m[k + 1, k] if has_y else 0.0, m[k, k] if has_y else 0.0)
-    return out
+        mats.setdefault(key, np.zeros((n_rows, width)))[r["__i"]] = r["__row"]
+    return mats
 
 
 def sse(df: DataFrame, pred: str, y: str) -> Column:

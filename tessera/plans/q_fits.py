@@ -204,3 +204,10 @@ def q_text_classifier(spark, d):
     w = logistic.fit_logistic(train, names, "y", reg=0.5, solver="newton", conv_norm=1e-6)
     scored = logistic.predict_proba(feats, names, w, "p")
     return logistic.classify(scored, "p", 0.5, "pred").select("doc_id", "p", "pred")
+
+
+@query("q_income_pipeline", "F9, F10, F11, F13, F5, F8, F21, J2, M1, M8, M9, M10, M11 (plan)")
+def q_income_pipeline(spark, d):
+    from tessera.plans.income import income_classification
+
+    return income_classification(spark, d)

@@ -257,3 +257,14 @@ def test_segmented_lags_equal_plain(spark):
     b = {(r["u"], r["t"]): tuple(r[f"v_{k}"] for k in range(1, 10))
          for r in fill.add_lags(df, ["v"], 9, ["u"], ["t"], segment="seg").collect()}
     assert a == b
+
+
+def test_best_threshold_brute_force(spark):
+    rng = np.random.default_rng(4)
+    grid = np.arange(0.4, 0.6, 0.001)
+    p = np.concatenate([rng.uniform(0.3, 0.7, 400), grid[rng.integers(0, 200, 100)]])  # include exact grid values
+    y = (rng.random(len(p)) < p).astype(int)
+    df = spark.createDataFrame([(float(a), int(b)) for a, b in zip(p, y)], "p double, y int")
+    t, correct = logistic.best_threshold(df, "p", "y", 0.4, 0.6, 0.001)
+    acc = np.array([(((p > g).astype(int)) == y).sum() for g in grid])
+    assert correct == acc.max() and t == grid[acc.argmax()]
