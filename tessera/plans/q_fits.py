@@ -211,3 +211,10 @@ def q_income_pipeline(spark, d):
     from tessera.plans.income import income_classification
 
     return income_classification(spark, d)
+
+
+@query("q_block_scoring", "P1, P2, C1, C3, C4, F3, F4, W4, P3, F5, F6, F7, F8, P5, P7, M5, M6 (plan)")
+def q_block_scoring(spark, d):
+    from tessera.plans.blocks import block_scoring
+
+    return block_scoring(spark, d)
