@@ -44,22 +44,47 @@ def with_holdout(df: DataFrame, key: str, fraction: float, seed: int = 0, out: s
     return df.withColumn(out, (u < F.lit(fraction)).cast("int"))
 
 
-def bootstrap(df: DataFrame, key: str, times: int, seed: int = 0, bag: str = "bag", weight: str = "w") -> DataFrame:
-    """One row per (row, bag) with a Poisson(1) multiplicity (M3).
+# Integer mixing constants of the 32-bit bootstrap hash.
+MIX_BAG = 2246822519
+MIX_MULT = 73244475
 
-    Resampling n rows with replacement gives multinomial counts; independent
-    Poisson(1) weights are the standard distributed stand-in (a stated deviation).
-    The draw is the inverse CDF of a hash-derived uniform, so it is repeatable.
-    """
-    bags = df.withColumn(bag, F.explode(F.sequence(F.lit(1), F.lit(times))))
-    u = F.pmod(F.xxhash64(F.col(key), F.col(bag), F.lit(seed)), F.lit(1 << 53)).cast("double") / F.lit(float(1 << 53))
-    # inverse CDF of Poisson(1): count cumulative probabilities below u
+
+def mix32(h: Column) -> Column:
+    """Two rounds of xor-shift-multiply on a 32-bit value held in a BIGINT (exact:
+    every product stays below 2^59), then a final xor-shift."""
+    for _ in range(2):
+        h = F.pmod(F.shiftright(h, 16).bitwiseXOR(h) * F.lit(MIX_MULT), F.lit(HASH_MOD))
+    return F.shiftright(h, 16).bitwiseXOR(h)
+
+
+def bag_uniform(key, bag, seed: int = 0) -> Column:
+    """Repeatable uniform in [0, 1) per (key, bag)."""
+    b = F.col(bag) if isinstance(bag, str) else bag
+    h = F.pmod(key_hash(key, seed) + b.cast("bigint") * F.lit(MIX_BAG), F.lit(HASH_MOD))
+    return mix32(h) / F.lit(float(HASH_MOD))
+
+
+def poisson1_cdf(terms: int = 20) -> list[float]:
+    """Cumulative probabilities P(X <= j) of Poisson(1), j = 0..terms-1."""
     import math
 
     cdf, p, acc = [], math.exp(-1.0), 0.0
-    for j in range(0, 20):
+    for j in range(terms):
         acc += p
         cdf.append(acc)
         p = p / (j + 1)
-    w = sum((u >= F.lit(q)).cast("int") for q in cdf)
+    return cdf
+
+
+def bootstrap(df: DataFrame, key: str, times: int, seed: int = 0, bag: str = "bag", weight: str = "w") -> DataFrame:
+    """One row per (row, bag) with a Poisson(1) multiplicity (M3).
+
+    Resampling n rows with replacement gives multinomial counts; independent
+    Poisson(1) weights are the standard distributed stand-in (a stated deviation).
+    The draw is the inverse CDF of a hash-derived uniform, so it is repeatable and
+    the same in any engine with 64-bit integers.
+    """
+    bags = df.withColumn(bag, F.explode(F.sequence(F.lit(1), F.lit(times))))
+    u = bag_uniform(key, bag, seed)
+    w = sum((u >= F.lit(q)).cast("int") for q in poisson1_cdf())
     return bags.withColumn(weight, w).filter(F.col(weight) > 0)

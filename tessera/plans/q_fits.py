@@ -15,7 +15,24 @@ from tessera.plans.registry import query
 from tessera.session import table
 
 
-@query("q_bootstrap", "M3")
+def _bootstrap_sql() -> str:
+    from tessera.operators.split import poisson1_cdf
+
+    w = " + ".join(f"CASE WHEN u >= CAST('{q!r}' AS DOUBLE) THEN 1 ELSE 0 END" for q in poisson1_cdf())
+    return f"""
+WITH b AS (SELECT c_custkey, c_acctbal, bag FROM customer, range(1, 6) r(bag)),
+h0 AS (SELECT c_custkey, c_acctbal, bag,
+              (CAST(((CAST(c_custkey AS HUGEINT) + 7) * 2654435761) % 4294967296 AS BIGINT) + bag * 2246822519)
+                % 4294967296 AS h FROM b),
+h1 AS (SELECT *, (xor(h >> 16, h) * 73244475) % 4294967296 AS h1 FROM h0),
+h2 AS (SELECT *, (xor(h1 >> 16, h1) * 73244475) % 4294967296 AS h2 FROM h1),
+u AS (SELECT c_custkey, c_acctbal, bag, CAST(xor(h2 >> 16, h2) AS DOUBLE) / 4294967296.0 AS u FROM h2),
+w AS (SELECT c_custkey, c_acctbal, CAST(bag AS INTEGER) AS bag, CAST({w} AS INTEGER) AS w FROM u)
+SELECT * FROM w WHERE w > 0
+"""
+
+
+@query("q_bootstrap", "M3", _bootstrap_sql())
 def q_bootstrap(spark, d):
     cu = table(spark, d, "customer").select("c_custkey", "c_acctbal")
     return bootstrap(cu, "c_custkey", 5, seed=7)

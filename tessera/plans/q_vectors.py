@@ -193,3 +193,29 @@ def q_ordinal_probs(spark, d):
     cu = table(spark, d, "customer").select("c_custkey", (F.col("c_acctbal") / 2000.0).alias("z"))
     pr = cu.select("c_custkey", S.ordinal_probs("z", [-1.0, 0.0, 1.0, 2.0]).alias("p"))
     return pr.select("c_custkey", *[F.round(F.col("p")[i], 6).alias(f"p{i}") for i in range(5)])
+
+
+@query("q_gaussian_own2", "M13, M14 (own covariances)", """
+WITH d AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
+                  CAST(label >= 5 AS INTEGER) AS y FROM embeddings),
+s AS (SELECT y, avg(x0) AS m0, avg(x1) AS m1, var_samp(x0) AS a, covar_samp(x0, x1) AS b, var_samp(x1) AS c,
+             CAST(count(*) AS DOUBLE) AS n FROM d GROUP BY y),
+p AS (SELECT s0.m0 AS u00, s0.m1 AS u01, s0.a AS a0, s0.b AS b0, s0.c AS c0, s0.a * s0.c - s0.b * s0.b AS det0,
+             s0.n AS n0, s1.m0 AS u10, s1.m1 AS u11, s1.a AS a1, s1.b AS b1, s1.c AS c1,
+             s1.a * s1.c - s1.b * s1.b AS det1, s1.n AS n1
+      FROM s s0 JOIN s s1 ON s0.y = 0 AND s1.y = 1),
+q AS (SELECT d.vec_id,
+             ((d.x0 - u10) * (c1 * (d.x0 - u10) - b1 * (d.x1 - u11))
+               + (d.x1 - u11) * (a1 * (d.x1 - u11) - b1 * (d.x0 - u10))) / det1 AS q1,
+             ((d.x0 - u00) * (c0 * (d.x0 - u00) - b0 * (d.x1 - u01))
+               + (d.x1 - u01) * (a0 * (d.x1 - u01) - b0 * (d.x0 - u00))) / det0 AS q0,
+             0.5 * (ln(det0) - ln(det1)) + ln(n1 / n0) AS k
+      FROM d, p)
+SELECT vec_id, round(1.0 / (1.0 + exp(-(k - 0.5 * (q1 - q0)))), 6) AS p1 FROM q
+""")
+def q_gaussian_own2(spark, d):
+    x = emb(spark, d).select("vec_id", F.col("embedding")[0].cast("double").alias("x0"),
+                             F.col("embedding")[1].cast("double").alias("x1"),
+                             (F.col("label") >= 5).cast("int").alias("y"))
+    model = fit_gaussian(x, ["x0", "x1"], "y", shared=False)
+    return predict_gaussian(x, ["x0", "x1"], model).select("vec_id", F.round("p1", 6).alias("p1"))

@@ -155,3 +155,16 @@ def test_mllib_paths_match_own_solvers(spark, reg_data):
     _, w_ml = fit_logistic_mllib(d2, ["a", "b", "d"], "y", reg=0.5, fit_intercept=False)
     w_own = logistic.fit_logistic(d2, ["a", "b", "d"], "y", reg=0.5, solver="newton", conv_norm=1e-10)
     assert np.allclose(w_ml, w_own, atol=1e-5)
+
+
+def test_bootstrap_weights_poisson(spark):
+    from tessera.operators.split import bootstrap
+
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    out = bootstrap(df, "k", 3, seed=5)
+    total = out.agg(F.sum("w")).first()[0]
+    assert abs(total / 60000 - 1.0) < 0.02           # E[w] = 1
+    kept = out.count() / 60000
+    assert abs(kept - (1 - np.exp(-1))) < 0.01        # P(w > 0) = 1 - 1/e
+    again = bootstrap(df, "k", 3, seed=5)
+    assert sorted(map(tuple, out.collect()))[:50] == sorted(map(tuple, again.collect()))[:50]
