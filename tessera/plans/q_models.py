@@ -130,7 +130,8 @@ _P_SQL = "1.0 / (1.0 + exp(-(ln(CAST(d.n_chars AS DOUBLE)) - 7.5)))"
 
 @query("q_best_threshold", "M10, M11, A9, J8", f"""
 WITH d AS (SELECT {_P_SQL} AS p, l.quality AS y FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
-g AS (SELECT i, 0.4 + i * ((0.4 + 0.001) - 0.4) AS t FROM range(200) r(i)),
+g AS (SELECT i, CAST(0.4 AS DOUBLE) + i * ((CAST(0.4 AS DOUBLE) + CAST(0.001 AS DOUBLE)) - CAST(0.4 AS DOUBLE)) AS t
+      FROM range(200) r(i)),
 acc AS (SELECT g.i, g.t, SUM(CASE WHEN (d.p > g.t) = (d.y = 1) THEN 1 ELSE 0 END) AS correct FROM g, d GROUP BY g.i, g.t),
 best AS (SELECT i, t, correct FROM acc ORDER BY correct DESC, i LIMIT 1)
 SELECT best.t AS threshold, CAST(best.correct AS BIGINT) AS correct,

@@ -172,7 +172,7 @@ def q_star_join_score(spark, d):
 
 
 @query("q_date_season", "F1, F2", """
-SELECT o_orderkey, month(o_orderdate) AS month, day(o_orderdate) AS day,
+SELECT o_orderkey, CAST(month(o_orderdate) AS INTEGER) AS month, CAST(day(o_orderdate) AS INTEGER) AS day,
        CAST(month(o_orderdate) BETWEEN 3 AND 5 AS INTEGER) AS spring,
        CAST(month(o_orderdate) BETWEEN 6 AND 8 AS INTEGER) AS summer,
        CAST(month(o_orderdate) BETWEEN 9 AND 11 AS INTEGER) AS fall,

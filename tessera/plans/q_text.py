@@ -171,8 +171,8 @@ def q_attach_labels(spark, d):
 
 
 @query("q_counts", "A18, A15", """
-SELECT COUNT(*) AS n_docs, COUNT(DISTINCT d.lang) AS n_langs, count_if(l.quality IS NOT NULL) AS n_labeled,
-       count_if(l.toxic = 1) AS n_toxic
+SELECT COUNT(*) AS n_docs, COUNT(DISTINCT d.lang) AS n_langs, CAST(count_if(l.quality IS NOT NULL) AS BIGINT) AS n_labeled,
+       CAST(count_if(l.toxic = 1) AS BIGINT) AS n_toxic
 FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
 """)
 def q_counts(spark, d):

@@ -69,7 +69,7 @@ def q_bfill(spark, d):
 
 _BLOCK_SQL = """
 b AS (
-  SELECT CAST(user_id AS VARCHAR) || '_' || CAST(CAST(ts AS DATE) AS VARCHAR) AS block, 24 - hour(ts) AS hour,
+  SELECT CAST(user_id AS VARCHAR) || '_' || CAST(CAST(ts AS DATE) AS VARCHAR) AS block, CAST(24 - hour(ts) AS INTEGER) AS hour,
          CAST(SUM(CASE WHEN event_type = 'error' THEN 0 ELSE CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS v
   FROM events GROUP BY 1, 2),
 a AS (SELECT block, hour, CASE WHEN v = 0 AND hour <> 24 THEN NULL ELSE v END AS v FROM b),

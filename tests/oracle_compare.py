@@ -39,6 +39,29 @@ def _rows(names, rows):
     return [tuple(_norm(r[i]) for i in order) for r in rows], [names[i] for i in order]
 
 
+def spark_type_name(dt) -> str:
+    from pyspark.sql import types as T
+
+    simple = {T.IntegerType: "INTEGER", T.LongType: "BIGINT", T.DoubleType: "DOUBLE", T.FloatType: "FLOAT",
+              T.StringType: "VARCHAR", T.DateType: "DATE", T.BooleanType: "BOOLEAN", T.ShortType: "SMALLINT",
+              T.ByteType: "TINYINT", T.TimestampNTZType: "TIMESTAMP", T.TimestampType: "TIMESTAMP WITH TIME ZONE"}
+    for k, v in simple.items():
+        if isinstance(dt, k):
+            return v
+    if isinstance(dt, T.DecimalType):
+        return f"DECIMAL({dt.precision},{dt.scale})"
+    if isinstance(dt, T.ArrayType):
+        return spark_type_name(dt.elementType) + "[]"
+    return dt.simpleString().upper()
+
+
+def compare_types(spark_schema, duck_desc) -> str:
+    st = {f.name: spark_type_name(f.dataType) for f in spark_schema.fields}
+    dt = {d[0]: str(d[1]).upper() for d in duck_desc}
+    bad = [f"{k}: spark {st[k]} duck {dt.get(k)}" for k in st if dt.get(k) != st[k]]
+    return "; ".join(bad)
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     t0 = time.time()
     sdf = fn(spark, sf_dir)
@@ -48,6 +71,7 @@ def compare(spark, con, name, fn, sql, sf_dir):
     s_vals, s_cols = _rows(snames, [tuple(r) for r in srows])
     cur = con.execute(sql)
     dnames = [d[0] for d in cur.description]
+    type_issues = compare_types(sdf.schema, cur.description)
     d_vals, d_cols = _rows(dnames, cur.fetchall())
     ok_cols = s_cols == d_cols
     ok_n = len(s_vals) == len(d_vals)
@@ -60,7 +84,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
         only_s = list((cs - cd).elements())[:3]
         only_d = list((cd - cs).elements())[:3]
         detail = f"spark-only={only_s} duck-only={only_d}"
-    return ok_cols and ok_n and ok_v, len(s_vals), len(d_vals), t1 - t0, detail
+    if type_issues:
+        detail = (detail + " TYPES " + type_issues).strip()
+    return ok_cols and ok_n and ok_v and not type_issues, len(s_vals), len(d_vals), t1 - t0, detail
 
 
 def main(argv):
