@@ -52,3 +52,18 @@ def test_no_inlined_tokeniser_filter(spark):
 def test_gram_is_partial_aggregate(spark):
     p, _ = plan(spark, "q_gram")
     assert p.count("HashAggregate") >= 2 and exchanges(p) == 1
+
+
+def test_segmented_windows_partition_by_segment(spark):
+    # raw-event fills and lags: the row-level windows are keyed by (user, day), so one
+    # user holding a third of the events is spread over its days
+    for name in ("q_ffill", "q_event_lags"):
+        p, _ = plan(spark, name)
+        specs = re.findall(r"Window \[.*?\], \[([^\]]*)\]", p)
+        assert specs and all("user_id" in s_ and "day" in s_ for s_ in specs if "user_id" in s_ and "day" in s_)
+        assert any("day" in s_ for s_ in specs)
+
+
+def test_threshold_search_has_no_cross_join(spark):
+    p, _ = plan(spark, "q_best_threshold")
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
