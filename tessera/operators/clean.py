@@ -69,3 +69,10 @@ def with_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id", start
     local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
     return out.withColumn(name, F.coalesce(F.col("__off"), F.lit(0)) + local + F.lit(start)) \
         .drop("__pid", "__mid", "__off")
+
+
+def split_at(df: DataFrame, n: int, order: Sequence[str], name: str = "row_id"):
+    """Positional slice (O4): the first ``n`` rows in ``order`` and the rest, as two
+    DataFrames, numbered without a single-partition window."""
+    numbered = with_row_id(df, order, name=name)
+    return numbered.filter(F.col(name) <= n), numbered.filter(F.col(name) > n)

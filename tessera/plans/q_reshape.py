@@ -398,10 +398,10 @@ SELECT o_orderkey, row_id, 'rest' AS part FROM r, n WHERE row_id > cut
 """)
 def q_union_split(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate")
-    r = clean.with_row_id(o, ["o_orderdate", "o_orderkey"]).select("o_orderkey", "row_id").cache()
-    cut = r.count() // 10
-    head = r.filter(F.col("row_id") <= cut).withColumn("part", F.lit("head"))
-    rest = r.filter(F.col("row_id") > cut).withColumn("part", F.lit("rest"))
+    cut = o.count() // 10
+    head, rest = clean.split_at(o, cut, ["o_orderdate", "o_orderkey"])
+    head = head.select("o_orderkey", "row_id", F.lit("head").alias("part"))
+    rest = rest.select("o_orderkey", "row_id", F.lit("rest").alias("part"))
     return head.unionByName(rest)
 
 

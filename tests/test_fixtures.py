@@ -268,3 +268,11 @@ def test_best_threshold_brute_force(spark):
     t, correct = logistic.best_threshold(df, "p", "y", 0.4, 0.6, 0.001)
     acc = np.array([(((p > g).astype(int)) == y).sum() for g in grid])
     assert correct == acc.max() and t == grid[acc.argmax()]
+
+
+def test_split_at(spark):
+    df = spark.range(0, 100, 1, numPartitions=7).withColumn("k", (F.col("id") * 37) % 101)
+    head, rest = clean.split_at(df, 10, ["k"])
+    ks = sorted(r["k"] for r in df.collect())
+    assert sorted(r["k"] for r in head.collect()) == ks[:10]
+    assert sorted(r["k"] for r in rest.collect()) == ks[10:]
