@@ -38,7 +38,35 @@ def q_bootstrap(spark, d):
     return bootstrap(cu, "c_custkey", 5, seed=7)
 
 
-@query("q_bagged_ridge", "M7")
+def _bagged_sql() -> str:
+    from tessera.operators.split import poisson1_cdf
+
+    w = " + ".join(f"CASE WHEN u >= CAST('{q!r}' AS DOUBLE) THEN 1 ELSE 0 END" for q in poisson1_cdf())
+    return f"""
+WITH d AS (
+  SELECT o_orderkey, CAST((CAST(o_orderkey AS HUGEINT) * 2654435761) % 4294967296 % 5 AS INTEGER) AS fold,
+         1.0 AS x0, CAST(month(o_orderdate) AS DOUBLE) AS x1, o_totalprice / 1000.0 AS y FROM orders),
+b AS (SELECT d.*, bag FROM d, range(1, 21) r(bag) WHERE d.fold <> 0),
+h0 AS (SELECT *, (CAST((CAST(o_orderkey AS HUGEINT) * 2654435761) % 4294967296 AS BIGINT) + bag * 2246822519)
+                   % 4294967296 AS h FROM b),
+h1 AS (SELECT *, (xor(h >> 16, h) * 73244475) % 4294967296 AS h1 FROM h0),
+h2 AS (SELECT *, (xor(h1 >> 16, h1) * 73244475) % 4294967296 AS h2 FROM h1),
+u AS (SELECT bag, x0, x1, y, CAST(xor(h2 >> 16, h2) AS DOUBLE) / 4294967296.0 AS u FROM h2),
+w AS (SELECT bag, x0, x1, y, CAST({w} AS DOUBLE) AS w FROM u),
+g AS (SELECT bag, SUM(w * x0 * x0) AS s00, SUM(w * x0 * x1) AS s01, SUM(w * x1 * x1) AS s11,
+             SUM(w * x0 * y) AS r0, SUM(w * x1 * y) AS r1 FROM w WHERE w > 0 GROUP BY bag),
+cf AS (SELECT bag, (s11 * r0 - s01 * r1) / (s00 * s11 - s01 * s01) AS b0,
+              (s00 * r1 - s01 * r0) / (s00 * s11 - s01 * s01) AS b1 FROM g),
+cum AS (SELECT bag, avg(b0) OVER (ORDER BY bag ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b0,
+               avg(b1) OVER (ORDER BY bag ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS b1 FROM cf),
+v AS (SELECT cum.bag, sqrt(avg((cum.b0 + d.x1 * cum.b1 - d.y) * (cum.b0 + d.x1 * cum.b1 - d.y))) AS val_rmse
+      FROM cum, d WHERE d.fold = 0 GROUP BY cum.bag)
+SELECT CAST(v.bag AS BIGINT) AS bags, round(v.val_rmse, 6) AS val_rmse, round(cum.b0, 6) AS b0, round(cum.b1, 6) AS b1
+FROM v JOIN cum ON v.bag = cum.bag
+"""
+
+
+@query("q_bagged_ridge", "M7, M3", _bagged_sql())
 def q_bagged_ridge(spark, d):
     o = table(spark, d, "orders").select(
         "o_orderkey", F.lit(1.0).alias("x0"), F.month("o_orderdate").cast("double").alias("x1"),
@@ -50,7 +78,8 @@ def q_bagged_ridge(spark, d):
     # validation RMSE after the first b bags: one aggregate with one column per b
     e = [(F.lit(float(c[0])) + F.col("x1") * float(c[1]) - F.col("y")) for c in curve]
     row = val.agg(*[F.sqrt(F.avg(x * x)).alias(f"b{i + 1}") for i, x in enumerate(e)]).first()
-    rows = [(i + 1, float(row[f"b{i + 1}"]), float(curve[i][0]), float(curve[i][1])) for i in range(len(curve))]
+    rows = [(i + 1, round(float(row[f"b{i + 1}"]), 6), round(float(curve[i][0]), 6), round(float(curve[i][1]), 6))
+            for i in range(len(curve))]
     return spark.createDataFrame(rows, "bags bigint, val_rmse double, b0 double, b1 double")
 
 
