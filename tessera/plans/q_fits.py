@@ -83,22 +83,57 @@ def q_bagged_ridge(spark, d):
     return spark.createDataFrame(rows, "bags bigint, val_rmse double, b0 double, b1 double")
 
 
-@query("q_logistic_cv", "M9, M1, M10, A9")
+_SIG_CV = "(1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1))))"
+
+
+@query("q_logistic_cv", "M9, M1, M8, M10, M11, A9", f"""
+WITH RECURSIVE
+j AS (SELECT l.doc_id, CAST(l.quality AS DOUBLE) AS y, CAST(d.n_chars AS DOUBLE) AS n
+      FROM labels l JOIN documents d ON l.doc_id = d.doc_id),
+st AS (SELECT avg(n) AS m, stddev_samp(n) AS s FROM j),
+x AS (SELECT doc_id, CAST((CAST(doc_id AS HUGEINT) * 2654435761) % 4294967296 % 5 AS INTEGER) AS fold,
+             1.0 AS x0, (n - st.m) / st.s AS x1, y FROM j, st),
+folds AS (SELECT DISTINCT fold AS m FROM x),
+steps(m, it, w0, w1) AS (
+  SELECT m, 0, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE) FROM folds
+  UNION ALL
+  SELECT m, it + 1, w0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01),
+         w1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (SELECT s.m, s.it, s.w0, s.w1,
+               SUM(({_SIG_CV} - x.y) * x.x0) + 2.0 * 0.5 * s.w0 AS g0,
+               SUM(({_SIG_CV} - x.y) * x.x1) + 2.0 * 0.5 * s.w1 AS g1,
+               SUM({_SIG_CV} * (1.0 - {_SIG_CV}) * x.x0 * x.x0) + 2.0 * 0.5 AS h00,
+               SUM({_SIG_CV} * (1.0 - {_SIG_CV}) * x.x0 * x.x1) AS h01,
+               SUM({_SIG_CV} * (1.0 - {_SIG_CV}) * x.x1 * x.x1) + 2.0 * 0.5 AS h11
+        FROM steps s JOIN x ON x.fold <> s.m WHERE s.it < 8 GROUP BY s.m, s.it, s.w0, s.w1) a),
+w AS (SELECT m, w0, w1 FROM steps WHERE it = 8),
+p AS (SELECT w.m, x.fold, x.y, 1.0 / (1.0 + exp(-(x.x0 * w.w0 + x.x1 * w.w1))) AS p FROM w, x),
+g AS (SELECT i, CAST(0.4 AS DOUBLE) + i * ((CAST(0.4 AS DOUBLE) + CAST(0.001 AS DOUBLE)) - CAST(0.4 AS DOUBLE)) AS t
+      FROM range(200) r(i)),
+acc AS (SELECT p.m, g.i, g.t, SUM(CASE WHEN (p.p > g.t) = (p.y = 1) THEN 1 ELSE 0 END) AS correct
+        FROM p, g WHERE p.fold <> p.m GROUP BY p.m, g.i, g.t),
+best AS (SELECT m, t FROM (SELECT m, t, row_number() OVER (PARTITION BY m ORDER BY correct DESC, i) AS rn FROM acc) r
+         WHERE rn = 1),
+val AS (SELECT p.m, avg(CASE WHEN (CASE WHEN p.p >= best.t THEN 1.0 ELSE 0.0 END) = p.y THEN 1.0 ELSE 0.0 END) AS acc
+        FROM p JOIN best ON p.m = best.m WHERE p.fold = p.m GROUP BY p.m)
+SELECT CAST(w.m AS BIGINT) AS fold, best.t AS threshold, round(val.acc, 6) AS val_accuracy,
+       round(w.w0, 6) AS w0, round(w.w1, 6) AS w1
+FROM w JOIN best ON w.m = best.m JOIN val ON w.m = val.m
+""")
 def q_logistic_cv(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.col("n_chars").cast("double").alias("x1"))
     j = table(spark, d, "labels").select("doc_id", F.col("quality").cast("double").alias("y")).join(docs, "doc_id")
     m, s = j.agg(F.avg("x1"), F.stddev_samp("x1")).first()
     j = j.select("doc_id", F.lit(1.0).alias("x0"), ((F.col("x1") - m) / s).alias("x1"), "y")
     j = with_folds(j, "doc_id", 5).cache()
-    W, _ = logistic.logistic_steps(j, ["x0", "x1"], "y", reg=0.5, solver="newton", fold="fold", max_iter=20,
-                                   conv_norm=1e-6)
+    W, _ = logistic.logistic_steps(j, ["x0", "x1"], "y", reg=0.5, solver="newton", fold="fold", fixed_steps=8)
     rows = []
     for k, w in sorted(W.items()):
         scored = logistic.predict_proba(j, ["x0", "x1"], w, "p")
         t, _ = logistic.best_threshold(scored.filter(F.col("fold") != k), "p", "y")
         val = logistic.classify(scored.filter(F.col("fold") == k), "p", t, "pred")
         acc = val.agg(F.avg((F.col("pred") == F.col("y")).cast("double"))).first()[0]
-        rows.append((int(k), float(t), float(acc), float(w[0]), float(w[1])))
+        rows.append((int(k), float(t), round(float(acc), 6), round(float(w[0]), 6), round(float(w[1]), 6)))
     return spark.createDataFrame(rows, "fold bigint, threshold double, val_accuracy double, w0 double, w1 double")
 
 
