@@ -198,7 +198,15 @@ def q_factor_score(spark, d):
     return scored.select("user", "item", "rating", "pred")
 
 
-@query("q_genre_score", "M24, F30")
+@query("q_genre_score", "M24, F30, F19, U3, W5", """
+WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS words FROM part),
+dict AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS tok FROM (SELECT DISTINCT unnest(words) AS word FROM w) u),
+ex AS (SELECT DISTINCT w.p_partkey, dict.tok FROM (SELECT p_partkey, unnest(words) AS word FROM w) w
+       JOIN dict ON w.word = dict.word),
+pr AS (SELECT p_partkey, SUM(0.25 * sin(tok + 1.0 + 0) + 0.5 * sin(tok + 1.0 + 1) + 0.75 * sin(tok + 1.0 + 2)
+                             + 1.0 * sin(tok + 1.0 + 3)) AS s FROM ex GROUP BY p_partkey)
+SELECT p_partkey, round(s, 6) AS genre_score FROM pr
+""")
 def q_genre_score(spark, d):
     p = table(spark, d, "part").select("p_partkey", S.split_array("p_name", " ").alias("words"))
     from tessera.operators import dictionary
@@ -210,7 +218,7 @@ def q_genre_score(spark, d):
     rank = 4
     W = np.array([[np.sin(i + 1.0 + r) for r in range(rank)] for i in range(n)])  # rule-built genre weights
     hot = hot.withColumn("user_vec", F.array(*[F.lit(0.25 * (r + 1)) for r in range(rank)]))
-    return recsys.score_genres(hot, "user_vec", "hot", W).select("p_partkey", "genre_score")
+    return recsys.score_genres(hot, "user_vec", "hot", W).select("p_partkey", F.round("genre_score", 6).alias("genre_score"))
 
 
 @query("q_self_train", "M23, M22, M8, M11")
@@ -233,7 +241,16 @@ def q_self_train(spark, d):
     return state.select("doc_id", "pool", "label")
 
 
-@query("q_denoise", "M25, S11")
+@query("q_denoise", "M25, S11, A10", """
+WITH mm AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS lo, CAST(max(list_max(embedding)) AS DOUBLE) AS hi
+            FROM embeddings),
+px AS (SELECT vec_id, list_transform(embedding, lambda v: CAST(floor((CAST(v AS DOUBLE) - lo) * 255.0 / (hi - lo))
+                                                                AS INTEGER)) AS p
+       FROM embeddings, mm),
+dn AS (SELECT vec_id, list_transform(range(64), lambda i: CASE WHEN p[i + 1] IN (0, 255)
+          THEN list_sort([p[least(greatest(i // 8 + (-1), 0), 7) * 8 + least(greatest(i % 8 + (-1), 0), 7) + 1], p[least(greatest(i // 8 + (-1), 0), 7) * 8 + least(greatest(i % 8 + (0), 0), 7) + 1], p[least(greatest(i // 8 + (-1), 0), 7) * 8 + least(greatest(i % 8 + (1), 0), 7) + 1], p[least(greatest(i // 8 + (0), 0), 7) * 8 + least(greatest(i % 8 + (-1), 0), 7) + 1], p[least(greatest(i // 8 + (0), 0), 7) * 8 + least(greatest(i % 8 + (0), 0), 7) + 1], p[least(greatest(i // 8 + (0), 0), 7) * 8 + least(greatest(i % 8 + (1), 0), 7) + 1], p[least(greatest(i // 8 + (1), 0), 7) * 8 + least(greatest(i % 8 + (-1), 0), 7) + 1], p[least(greatest(i // 8 + (1), 0), 7) * 8 + least(greatest(i % 8 + (0), 0), 7) + 1], p[least(greatest(i // 8 + (1), 0), 7) * 8 + least(greatest(i % 8 + (1), 0), 7) + 1]])[5] ELSE p[i + 1] END) AS c FROM px)
+SELECT vec_id, array_to_string(c, ',') AS clean FROM dn
+""")
 def q_denoise(spark, d):
     e = table(spark, d, "embeddings")
     lo, hi = e.agg(F.min(F.array_min("embedding")), F.max(F.array_max("embedding"))).first()
