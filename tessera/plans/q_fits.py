@@ -221,7 +221,57 @@ def q_genre_score(spark, d):
     return recsys.score_genres(hot, "user_vec", "hot", W).select("p_partkey", F.round("genre_score", 6).alias("genre_score"))
 
 
-@query("q_self_train", "M23, M22, M8, M11")
+_SELF_TRAIN_SQL = """
+WITH RECURSIVE
+st AS (SELECT avg(ln(CAST(n_chars AS DOUBLE))) AS m, stddev_samp(ln(CAST(n_chars AS DOUBLE))) AS s FROM documents),
+d0 AS (SELECT d.doc_id, 1.0 AS x0, (ln(CAST(d.n_chars AS DOUBLE)) - st.m) / st.s AS x1,
+              CAST(l.quality AS VARCHAR) AS label, CASE WHEN l.doc_id IS NULL THEN 'semi' ELSE 'train' END AS pool
+       FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id, st),
+t1 AS (SELECT x0, x1, CASE WHEN label = '1' THEN 1.0 ELSE 0.0 END AS y FROM d0 WHERE pool = 'train'),
+f1(it, w0, w1) AS (
+  SELECT 0, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE)
+  UNION ALL
+  SELECT it + 1, w0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01),
+         w1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (SELECT s.it, s.w0, s.w1,
+               SUM(((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) - x.y) * x.x0) + 2.0 * 0.5 * s.w0 AS g0,
+               SUM(((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) - x.y) * x.x1) + 2.0 * 0.5 * s.w1 AS g1,
+               SUM((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) * (1.0 - (1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1))))) * x.x0 * x.x0) + 2.0 * 0.5 AS h00,
+               SUM((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) * (1.0 - (1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1))))) * x.x0 * x.x1) AS h01,
+               SUM((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) * (1.0 - (1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1))))) * x.x1 * x.x1) + 2.0 * 0.5 AS h11
+        FROM f1 s, t1 x WHERE s.it < 8 GROUP BY s.it, s.w0, s.w1) a),
+w1 AS (SELECT w0, w1 FROM f1 WHERE it = 8),
+d1 AS (SELECT d0.doc_id, d0.x0, d0.x1, 1.0 - 1.0 / (1.0 + exp(-(d0.x0 * w1.w0 + d0.x1 * w1.w1))) AS p0, d0.label, d0.pool
+       FROM d0, w1),
+e1 AS (SELECT doc_id, x0, x1,
+              CASE WHEN pool = 'semi' AND p0 >= 0.87 THEN '0' WHEN pool = 'semi' AND p0 <= 1.0 - 0.87 THEN '1'
+                   ELSE label END AS label,
+              CASE WHEN pool = 'semi' AND (p0 >= 0.87 OR p0 <= 1.0 - 0.87) THEN 'train' ELSE pool END AS pool
+       FROM d1),
+t2 AS (SELECT x0, x1, CASE WHEN label = '1' THEN 1.0 ELSE 0.0 END AS y FROM e1 WHERE pool = 'train'),
+f2(it, w0, w1) AS (
+  SELECT 0, CAST(0.0 AS DOUBLE), CAST(0.0 AS DOUBLE)
+  UNION ALL
+  SELECT it + 1, w0 - (h11 * g0 - h01 * g1) / (h00 * h11 - h01 * h01),
+         w1 - (h00 * g1 - h01 * g0) / (h00 * h11 - h01 * h01)
+  FROM (SELECT s.it, s.w0, s.w1,
+               SUM(((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) - x.y) * x.x0) + 2.0 * 0.5 * s.w0 AS g0,
+               SUM(((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) - x.y) * x.x1) + 2.0 * 0.5 * s.w1 AS g1,
+               SUM((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) * (1.0 - (1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1))))) * x.x0 * x.x0) + 2.0 * 0.5 AS h00,
+               SUM((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) * (1.0 - (1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1))))) * x.x0 * x.x1) AS h01,
+               SUM((1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1)))) * (1.0 - (1.0 / (1.0 + exp(-(x.x0 * s.w0 + x.x1 * s.w1))))) * x.x1 * x.x1) + 2.0 * 0.5 AS h11
+        FROM f2 s, t2 x WHERE s.it < 8 GROUP BY s.it, s.w0, s.w1) a),
+w2 AS (SELECT w0, w1 FROM f2 WHERE it = 8),
+d2 AS (SELECT e1.doc_id, 1.0 - 1.0 / (1.0 + exp(-(e1.x0 * w2.w0 + e1.x1 * w2.w1))) AS p0, e1.label, e1.pool FROM e1, w2)
+SELECT doc_id,
+       CASE WHEN pool = 'semi' AND (p0 >= 0.87 OR p0 <= 1.0 - 0.87) THEN 'train' ELSE pool END AS pool,
+       CASE WHEN pool = 'semi' AND p0 >= 0.87 THEN '0' WHEN pool = 'semi' AND p0 <= 1.0 - 0.87 THEN '1'
+            ELSE label END AS label
+FROM d2
+"""
+
+
+@query("q_self_train", "M23, M22, M8, M11, U4", _SELF_TRAIN_SQL)
 def q_self_train(spark, d):
     docs = table(spark, d, "documents").select("doc_id", F.col("n_chars").cast("double").alias("n"))
     lab = table(spark, d, "labels").select("doc_id", F.col("quality").cast("string").alias("label"))
@@ -232,7 +282,8 @@ def q_self_train(spark, d):
 
     def fit(train):
         t = train.withColumn("y", (F.col("label") == "1").cast("double"))
-        return logistic.fit_logistic(t, ["x0", "x1"], "y", reg=0.5, solver="newton", conv_norm=1e-6)
+        w, _ = logistic.logistic_steps(t, ["x0", "x1"], "y", reg=0.5, solver="newton", fixed_steps=8)
+        return w[None]
 
     def score(frame, w):
         return frame.withColumn("p0", F.lit(1.0) - S.sigmoid(S.dot_literal(["x0", "x1"], w)))
