@@ -8,7 +8,6 @@ batches of rows (mapInPandas), so images are spread over all tasks.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T

@@ -29,7 +29,6 @@ def fit_factors(ratings: DataFrame, user: str, item: str, rating: str, rank: int
 
     Returns (mu, user table (user, b_user, u_vec), item table (item, b_item, i_vec)).
     """
-    from pyspark.ml.functions import vector_to_array  # noqa: F401
     from pyspark.ml.recommendation import ALS
 
     mu, bu, bi = bias_baseline(ratings, user, item, rating)

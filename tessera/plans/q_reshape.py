@@ -6,8 +6,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import scalar as S
 from tessera.operators import clean, dictionary, joins, reshape
-from tessera.operators.split import key_hash, with_folds, with_holdout
-from tessera.operators.stats import moments
+from tessera.operators.split import with_folds, with_holdout
 from tessera.plans.activity import EVENT_TYPES
 from tessera.plans.registry import query
 from tessera.session import table
