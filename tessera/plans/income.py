@@ -60,14 +60,14 @@ def income_features(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[s
 def income_classification(spark: SparkSession, sf_dir: str, k: int = 5, reg: float = 0.5) -> DataFrame:
     feats, names = income_features(spark, sf_dir)
     feats = with_folds(feats, "c_custkey", k).cache()
+    # every fold model and the final all-rows model share each Newton pass
     W, _ = logistic.logistic_steps(feats, names, "y", reg=reg, solver="newton", fold="fold",
-                                   folds=list(range(k)), conv_norm=1e-6, max_iter=25)
-    # threshold per fold from that fold's training rows; the final threshold is their mean
-    ts = []
-    for m, w in W.items():
-        scored = logistic.predict_proba(feats.filter(F.col("fold") != m), names, w, "p")
-        ts.append(logistic.best_threshold(scored, "p", "y")[0])
-    w_all = logistic.fit_logistic(feats, names, "y", reg=reg, solver="newton", conv_norm=1e-6, max_iter=25)
+                                   folds=list(range(k)), conv_norm=1e-6, max_iter=25, include_all=True)
+    # threshold per fold from that fold's training rows (one grouped job); the final
+    # threshold is their mean
+    per_fold = logistic.best_threshold_by_fold(feats, names, "y", W, "fold")
+    ts = [t for t, _ in per_fold.values()]
+    w_all = W[logistic.ALL_ROWS]
     scored = logistic.predict_proba(feats, names, w_all, "p")
     out = logistic.classify(scored, "p", float(sum(ts) / len(ts)), "label")
     return out.select("c_custkey", "fold", "y", "p", "label")

@@ -127,13 +127,17 @@ def q_logistic_cv(spark, d):
     j = j.select("doc_id", F.lit(1.0).alias("x0"), ((F.col("x1") - m) / s).alias("x1"), "y")
     j = with_folds(j, "doc_id", 5).cache()
     W, _ = logistic.logistic_steps(j, ["x0", "x1"], "y", reg=0.5, solver="newton", fold="fold", fixed_steps=8)
-    rows = []
-    for k, w in sorted(W.items()):
-        scored = logistic.predict_proba(j, ["x0", "x1"], w, "p")
-        t, _ = logistic.best_threshold(scored.filter(F.col("fold") != k), "p", "y")
-        val = logistic.classify(scored.filter(F.col("fold") == k), "p", t, "pred")
-        acc = val.agg(F.avg((F.col("pred") == F.col("y")).cast("double"))).first()[0]
-        rows.append((int(k), float(t), round(float(acc), 6), round(float(w[0]), 6), round(float(w[1]), 6)))
+    # thresholds from each fold's training rows, in one grouped job
+    th = logistic.best_threshold_by_fold(j, ["x0", "x1"], "y", W, "fold")
+    # validation accuracy: every row scored by the model that did not see it, one job
+    p = S.sigmoid(logistic._score_models(j, ["x0", "x1"], W, "fold"))
+    t = None
+    for k, (tk, _) in th.items():
+        t = F.when(F.col("fold") == k, F.lit(tk)) if t is None else t.when(F.col("fold") == k, F.lit(tk))
+    acc = j.groupBy("fold").agg(F.avg(((p >= t).cast("double") == F.col("y")).cast("double")).alias("acc"))
+    accs = {r["fold"]: r["acc"] for r in acc.collect()}
+    rows = [(int(k), float(th[k][0]), round(float(accs[k]), 6), round(float(w[0]), 6), round(float(w[1]), 6))
+            for k, w in sorted(W.items())]
     return spark.createDataFrame(rows, "fold bigint, threshold double, val_accuracy double, w0 double, w1 double")
 
 

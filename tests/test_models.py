@@ -168,3 +168,20 @@ def test_bootstrap_weights_poisson(spark):
     assert abs(kept - (1 - np.exp(-1))) < 0.01        # P(w > 0) = 1 - 1/e
     again = bootstrap(df, "k", 3, seed=5)
     assert sorted(map(tuple, out.collect()))[:50] == sorted(map(tuple, again.collect()))[:50]
+
+
+def test_grouped_threshold_and_all_rows_model(spark):
+    rng = np.random.default_rng(8)
+    X = rng.normal(size=(600, 1))
+    y = (X[:, 0] + rng.normal(size=600) > 0.3).astype(float)
+    df = spark.createDataFrame([(i, 1.0, float(X[i, 0]), float(y[i])) for i in range(600)],
+                               "k long, c double, a double, y double")
+    df = with_folds(df, "k", 4)
+    W, _ = logistic.logistic_steps(df, ["c", "a"], "y", reg=0.1, solver="newton", fold="fold",
+                                   folds=[0, 1, 2, 3], conv_norm=1e-9, include_all=True)
+    single = logistic.fit_logistic(df, ["c", "a"], "y", reg=0.1, conv_norm=1e-9)
+    assert np.allclose(W[logistic.ALL_ROWS], single, atol=1e-7)
+    grouped = logistic.best_threshold_by_fold(df, ["c", "a"], "y", W, "fold")
+    for m in range(4):
+        scored = logistic.predict_proba(df.filter(F.col("fold") != m), ["c", "a"], W[m], "p")
+        assert grouped[m] == logistic.best_threshold(scored, "p", "y")
