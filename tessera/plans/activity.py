@@ -1,4 +1,4 @@
-"""Flagship plan: daily activity forecast (the hourly-forecast pipeline in miniature).
+"""Flagship plan: daily activity forecast (the hourly-forecast scripts in miniature).
 
 events -> (user, day) aggregate with per-type columns -> lags 1..3 per user ->
 lag mean, calendar features -> drop incomplete rows -> hash folds ->

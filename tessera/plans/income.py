@@ -1,4 +1,4 @@
-"""Classification plan in the shape of the income pipeline, on the customer/orders stand-in.
+"""Classification plan in the shape of the income scripts, on the customer/orders stand-in.
 
 customer -> level map + one-hot (segment, region via a star join) -> per-customer order
 aggregates (one partial aggregation, joined on the key) -> right-closed bins, flags,

@@ -359,8 +359,8 @@ def q_text_classifier(spark, d):
     return logistic.classify(scored, "p", 0.5, "pred").select("doc_id", "p", "pred")
 
 
-@query("q_income_pipeline", "F9, F10, F11, F13, F5, F8, F21, J2, M1, M8, M9, M10, M11 (plan)")
-def q_income_pipeline(spark, d):
+@query("q_income_plan", "F9, F10, F11, F13, F5, F8, F21, J2, M1, M8, M9, M10, M11 (plan)")
+def q_income_plan(spark, d):
     from tessera.plans.income import income_classification
 
     return income_classification(spark, d)
