@@ -179,3 +179,35 @@ def q_sse_rmse(spark, d):
     o = o.withColumn("p1", S.dot_array_literal("features", [1.0, 0.5, 0.1]))
     e = (F.col("p1") - F.col("x1"))
     return o.agg(F.round(F.sum(e * e), 4).alias("sse"), F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"))
+
+
+# Fixed values for the stand-in: two candidate coefficient sets scored by cross-validation.
+CV_MODELS = {0: [1.0, 0.5, 0.1], 1: [2.0, 0.45, -0.2]}
+
+
+@query("q_cv_report", "A17, A11, M1, M6", f"""
+WITH x AS (SELECT CAST((CAST(o_orderkey AS HUGEINT) * 2654435761) % 4294967296 % 5 AS INTEGER) AS fold, {_X_SQL}
+           FROM orders),
+p AS (SELECT 0 AS model, fold, x1 AS y, (x0 * 1.0 + x1 * 0.5) + x2 * 0.1 AS pred FROM x
+      UNION ALL
+      SELECT 1 AS model, fold, x1 AS y, (x0 * 2.0 + x1 * 0.45) + x2 * -0.2 AS pred FROM x),
+f AS (SELECT model, fold, SUM((pred - y) * (pred - y)) AS sse, COUNT(*) AS n FROM p GROUP BY model, fold),
+r AS (SELECT model, sqrt(SUM(sse) / SUM(n)) AS rmse FROM f GROUP BY model)
+SELECT CAST(model AS INTEGER) AS model, round(rmse, 6) AS rmse,
+       CAST(model = (SELECT model FROM r ORDER BY rmse, model LIMIT 1) AS INTEGER) AS best
+FROM r
+""")
+def q_cv_report(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", (F.col("o_totalprice") / 1000.0).alias("x1"),
+                                         F.month("o_orderdate").cast("double").alias("x2"))
+    o = with_folds(reshape.with_intercept(o, "x0"), "o_orderkey", 5)
+    # one row per (row, candidate model); the candidates' predictions are literal dot products
+    ex = o.withColumn("model", F.explode(F.array(*[F.lit(m) for m in CV_MODELS])))
+    pred = None
+    for m, coef in CV_MODELS.items():
+        z = S.dot_literal(["x0", "x1", "x2"], coef)
+        pred = F.when(F.col("model") == m, z) if pred is None else pred.when(F.col("model") == m, z)
+    scored = ex.withColumn("pred", pred)
+    report = stats.cv_report(scored, "model", "fold", "pred", "x1").cache()
+    best = stats.pick_best(report, "rmse", "model").first()["model"]
+    return report.select("model", F.round("rmse", 6).alias("rmse"), (F.col("model") == best).cast("int").alias("best"))
