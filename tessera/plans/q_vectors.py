@@ -219,3 +219,21 @@ def q_gaussian_own2(spark, d):
                              (F.col("label") >= 5).cast("int").alias("y"))
     model = fit_gaussian(x, ["x0", "x1"], "y", shared=False)
     return predict_gaussian(x, ["x0", "x1"], model).select("vec_id", F.round("p1", 6).alias("p1"))
+
+
+@query("q_gram_wide", "A6 (per-partition NumPy path), A7", """
+WITH u AS (SELECT vec_id, label, unnest(range(12)) AS i, unnest(embedding[1:12]) AS v FROM embeddings),
+pairs AS (SELECT a.label, a.i, b.i AS j, SUM(CAST(a.v AS DOUBLE) * CAST(b.v AS DOUBLE)) AS s
+          FROM u a JOIN u b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.label, a.i, b.i)
+SELECT label, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(s, 9) AS xx FROM pairs
+""")
+def q_gram_wide(spark, d):
+    from tessera.operators import stats
+
+    x = emb(spark, d).select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(12)])
+    # 12 features: above the SQL threshold, so partitions build X'X with NumPy and the
+    # per-partition matrices are summed in two levels
+    g = stats.gram(x, [f"e{i}" for i in range(12)], by=["label"])
+    rows = [(int(key[0]), i, j, round(float(m.xx[i, j]), 9))
+            for key, m in g.items() for i in range(12) for j in range(i, 12)]
+    return spark.createDataFrame(rows, "label int, i int, j int, xx double")
