@@ -67,3 +67,11 @@ def test_segmented_windows_partition_by_segment(spark):
 def test_threshold_search_has_no_cross_join(spark):
     p, _ = plan(spark, "q_best_threshold")
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_tfidf_reuses_term_frequency_shuffle(spark):
+    df = QUERIES["q_tfidf"](spark, SF_MID)
+    df.collect()  # the final adaptive plan exists only after execution
+    p = df._jdf.queryExecution().executedPlan().toString()
+    assert "isFinalPlan=true" in p
+    assert "ReusedExchange" in p  # document frequency reads the tf aggregate's shuffle
