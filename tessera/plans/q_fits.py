@@ -141,7 +141,48 @@ def q_logistic_cv(spark, d):
     return spark.createDataFrame(rows, "fold bigint, threshold double, val_accuracy double, w0 double, w1 double")
 
 
-@query("q_gaussian_own", "M13, M14")
+def _det3(m):
+    (a, b, c), (d, e, f), (g, h, i) = m
+    return f"(({a}) * (({e}) * ({i}) - ({f}) * ({h})) - ({b}) * (({d}) * ({i}) - ({f}) * ({g}))" \
+           f" + ({c}) * (({d}) * ({h}) - ({e}) * ({g})))"
+
+
+def _gaussian_own4_sql(k: int = 4) -> str:
+    """DuckDB oracle: per-class means and covariances, 4x4 inverses by cofactors."""
+    def cov(c, i, j):
+        return f"s{c}.c{min(i, j)}{max(i, j)}"
+
+    stats = ", ".join([f"avg(x{i}) AS m{i}" for i in range(k)]
+                      + [f"covar_samp(x{i}, x{j}) AS c{i}{j}" for i in range(k) for j in range(i, k)]
+                      + ["CAST(count(*) AS DOUBLE) AS n"])
+    parts = []
+    for c in (0, 1):
+        cof = {}
+        for i in range(k):
+            for j in range(k):
+                minor = [[cov(c, r, q) for q in range(k) if q != j] for r in range(k) if r != i]
+                cof[i, j] = f"({'-' if (i + j) % 2 else ''}{_det3(minor)})"
+        det = " + ".join(f"{cov(c, 0, j)} * {cof[0, j]}" for j in range(k))
+        parts.append(f"({det}) AS det{c}")
+        parts += [f"{cof[j, i]} AS a{c}_{i}{j}" for i in range(k) for j in range(k)]  # adjugate = cof^T
+        parts += [f"s{c}.m{i} AS u{c}{i}" for i in range(k)] + [f"s{c}.n AS n{c}"]
+    def quad(c):
+        dd = [f"(d.x{i} - u{c}{i})" for i in range(k)]
+        terms = " + ".join(f"{dd[i]} * a{c}_{i}{j} * {dd[j]}" for i in range(k) for j in range(k))
+        return f"(({terms}) / det{c})"
+    xs = ", ".join(f"CAST(embedding[{i + 1}] AS DOUBLE) AS x{i}" for i in range(k))
+    return f"""
+WITH d AS (SELECT vec_id, {xs}, CAST(label >= 5 AS INTEGER) AS y FROM embeddings),
+s0 AS (SELECT {stats} FROM d WHERE y = 0),
+s1 AS (SELECT {stats} FROM d WHERE y = 1),
+p AS (SELECT {", ".join(parts)} FROM s0, s1),
+z AS (SELECT d.vec_id, d.y, 1.0 / (1.0 + exp(-(0.5 * (ln(det0) - ln(det1)) + ln(n1 / n0)
+                                               - 0.5 * ({quad(1)} - {quad(0)})))) AS p1 FROM d, p)
+SELECT vec_id, y, round(p1, 6) AS p1, CAST(p1 >= 0.5 AS INTEGER) AS pred FROM z
+"""
+
+
+@query("q_gaussian_own", "M13, M14", _gaussian_own4_sql())
 def q_gaussian_own(spark, d):
     x = table(spark, d, "embeddings").select(
         "vec_id", *[F.col("embedding")[i].cast("double").alias(f"x{i}") for i in range(4)],
@@ -149,7 +190,7 @@ def q_gaussian_own(spark, d):
     names = [f"x{i}" for i in range(4)]
     model = fit_gaussian(x, names, "y", shared=False)
     out = predict_gaussian(x, names, model)
-    return logistic.classify(out, "p1", 0.5, "pred").select("vec_id", "y", "p1", "pred")
+    return logistic.classify(out, "p1", 0.5, "pred").select("vec_id", "y", F.round("p1", 6).alias("p1"), "pred")
 
 
 @query("q_pca", "M15, M28, A16")
