@@ -8,6 +8,7 @@ comparison flags treat NULL as false, as the pandas originals do.
 from __future__ import annotations
 
 import math
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column
@@ -178,8 +179,7 @@ def bucket_ceiling(year) -> Column:
 # ---------------------------------------------------------------- arrays and strings
 
 def split_array(col, sep: str) -> Column:
-    import re
-
+    """Split on a literal separator (regex characters such as '|' escaped)."""
     return F.split(c(col), re.escape(sep))
 
 

@@ -276,3 +276,19 @@ def test_split_at(spark):
     ks = sorted(r["k"] for r in df.collect())
     assert sorted(r["k"] for r in head.collect()) == ks[:10]
     assert sorted(r["k"] for r in rest.collect()) == ks[10:]
+
+
+def test_standardize_reuses_training_stats(spark):
+    from tessera.operators.scale import standardize, znorm
+
+    train = spark.createDataFrame([(1.0,), (2.0,), (3.0,)], "x double")
+    score = spark.createDataFrame([(10.0,)], "x double")
+    _, st = standardize(train, ["x"])
+    assert st["x"] == pytest.approx((2.0, 1.0))
+    applied, _ = standardize(score, ["x"], stats=st)
+    assert applied.first()["x"] == pytest.approx(8.0)          # training statistics
+    own, own_st = standardize(score.union(spark.createDataFrame([(12.0,)], "x double")), ["x"])
+    assert own_st["x"][0] == pytest.approx(11.0)                # its own statistics when none are given
+    z, zst = znorm(train, ["x"], eps=1e-4)
+    assert zst["x"][1] == pytest.approx(np.sqrt(2.0 / 3.0))     # population std
+    assert z.orderBy("x").first()["x"] == pytest.approx(-1.0 / (np.sqrt(2.0 / 3.0) + 1e-4))
