@@ -131,17 +131,21 @@ def q_mean_vector(spark, d):
 
 @query("q_flip_augment", "M27, P6", """
 WITH v AS (
-  SELECT vec_id, 'orig' AS variant, embedding AS a FROM embeddings
+  SELECT vec_id, 'orig' AS variant, CAST(embedding AS DOUBLE[]) AS a FROM embeddings
   UNION ALL
-  SELECT vec_id, 'flip', list_transform(range(64), lambda p: embedding[(p // 8) * 8 + (7 - p % 8) + 1]) FROM embeddings
+  SELECT vec_id, 'flip', CAST(list_transform(range(64), lambda p: embedding[(p // 8) * 8 + (7 - p % 8) + 1]) AS DOUBLE[])
+  FROM embeddings
   UNION ALL
-  SELECT vec_id, 'shift', list_transform(range(64), lambda p: CASE WHEN p % 8 >= 1 THEN embedding[p] ELSE CAST(0.0 AS FLOAT) END)
-  FROM embeddings),
+  SELECT vec_id, 'shift', CAST(list_transform(range(64), lambda p: CASE WHEN p % 8 >= 1 THEN embedding[p]
+                                                                   ELSE CAST(0.0 AS FLOAT) END) AS DOUBLE[])
+  FROM embeddings
+  UNION ALL
+  SELECT vec_id, 'bright', list_transform(embedding, lambda x: CAST(x AS DOUBLE) + 0.1) FROM embeddings),
 u AS (SELECT vec_id, variant, unnest(range(len(a))) AS pos, unnest(a) AS value FROM v)
 SELECT vec_id, variant, CAST(pos AS INTEGER) AS pos, value FROM u
 """)
 def q_flip_augment(spark, d):
-    aug = images.augment(emb(spark, d).select("vec_id", "embedding"), "embedding", 8, 8, shift=1)
+    aug = images.augment(emb(spark, d).select("vec_id", "embedding"), "embedding", 8, 8, shift=1, delta=0.1)
     return aug.select("vec_id", "variant", F.posexplode("embedding").alias("pos", "value"))
 
 
