@@ -412,3 +412,27 @@ def q_block_scoring(spark, d):
     from tessera.plans.blocks import block_scoring
 
     return block_scoring(spark, d)
+
+
+@query("q_bias_baseline", "M21 (bias part), M20, J2, C10", """
+WITH j AS (SELECT o.o_custkey AS "user", l.l_partkey AS item, l.l_quantity
+           FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey),
+r AS (SELECT "user", item, 1.0 + CAST(CAST(SUM(l_quantity) AS BIGINT) % 5 AS DOUBLE) AS rating
+      FROM j GROUP BY "user", item),
+m AS (SELECT avg(rating) AS mu FROM r),
+bu AS (SELECT "user", SUM(rating - m.mu) / (COUNT(*) + 0.0) AS b_user FROM r, m GROUP BY "user"),
+bi AS (SELECT r.item, SUM(r.rating - m.mu - bu.b_user) / (COUNT(*) + 0.0) AS b_item
+       FROM r JOIN bu ON r."user" = bu."user", m GROUP BY r.item),
+s AS (SELECT r."user", r.item, r.rating, m.mu + bu.b_user + bi.b_item AS z
+      FROM r JOIN bu ON r."user" = bu."user" JOIN bi ON r.item = bi.item, m)
+SELECT "user", item, rating, round(CASE WHEN z < 1.0 THEN 1.0 WHEN z > 5.0 THEN 5.0 ELSE z END, 6) AS pred FROM s
+""")
+def q_bias_baseline(spark, d):
+    from tessera.functions.scalar import clip
+    from tessera.operators.joins import lookup
+
+    r = _ratings(spark, d).cache()
+    mu, bu, bi = recsys.bias_baseline(r, "user", "item", "rating")
+    s = lookup(lookup(r, bu, "user"), bi, "item")
+    z = F.lit(float(mu)) + F.col("b_user") + F.col("b_item")
+    return s.select("user", "item", "rating", F.round(clip(z, 1.0, 5.0), 6).alias("pred"))
