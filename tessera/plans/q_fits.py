@@ -436,3 +436,12 @@ def q_bias_baseline(spark, d):
     s = lookup(lookup(r, bu, "user"), bi, "item")
     z = F.lit(float(mu)) + F.col("b_user") + F.col("b_item")
     return s.select("user", "item", "rating", F.round(clip(z, 1.0, 5.0), 6).alias("pred"))
+
+
+@query("q_explained_variance", "A16, M15")
+def q_explained_variance(spark, d):
+    e = table(spark, d, "embeddings")
+    model = decompose.pca(e, "embedding", 16)
+    rows = [(j, float(v), float(r), float(cr)) for j, (v, r, cr) in
+            enumerate(zip(model.variance, model.explained_ratio, model.cumulative_ratio))]
+    return spark.createDataFrame(rows, "component int, variance double, ratio double, cumulative double")

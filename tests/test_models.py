@@ -193,3 +193,14 @@ def test_grouped_threshold_and_all_rows_model(spark):
     for m in range(4):
         scored = logistic.predict_proba(df.filter(F.col("fold") != m), ["c", "a"], W[m], "p")
         assert grouped[m] == logistic.best_threshold(scored, "p", "y")
+
+
+def test_explained_variance_monotone(spark):
+    from tessera.plans.registry import QUERIES, load_all
+
+    load_all()
+    rows = QUERIES["q_explained_variance"](spark, SF_SMALL).orderBy("component").collect()
+    cum = [r["cumulative"] for r in rows]
+    var = [r["variance"] for r in rows]
+    assert all(b >= a for a, b in zip(cum, cum[1:])) and cum[-1] <= 1.0 + 1e-12
+    assert all(b <= a + 1e-15 for a, b in zip(var, var[1:]))
