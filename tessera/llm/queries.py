@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm.bpe import decode, encode
 from tessera.llm.decontaminate import find_contamination
+from tessera.llm.token_files import crc32, new_folder, read_tokens, write_tokens
+
+VOCABULARY = "byte_bpe_50k.json"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -58,3 +63,26 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (n_hit > 0).alias("contaminated"),
     )
+
+
+@query()
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def bpe_digests(docs: DataFrame) -> DataFrame:
+    """Ids and decoded text of each row as digests."""
+    coded = decode(encode(docs, public_tokenizers.path(VOCABULARY)), public_tokenizers.path(VOCABULARY))
+    return coded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "token-files")
+    files = write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(VOCABULARY))
+    return read_tokens(spark, folder, files, digest=crc32).withColumnRenamed("digest", "ids_crc32")
