@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 import public_tokenizers
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.llm import chat
 from tessera.llm.bpe import decode, encode
+from tessera.llm.chat import format_chats
 from tessera.llm.decontaminate import find_contamination
+from tessera.llm.fingerprints import fingerprint_with_next
 from tessera.llm.token_files import crc32, new_folder, read_tokens, write_tokens
+from tessera.llm.warc import read_archives, write_archives
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -86,3 +92,63 @@ def op3_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_folder(spark, "token-files")
     files = write_tokens(table(spark, sf_dir, "documents"), folder, public_tokenizers.path(VOCABULARY))
     return read_tokens(spark, folder, files, digest=crc32).withColumnRenamed("digest", "ids_crc32")
+
+
+@query()
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint_with_next(table(spark, sf_dir, "documents"))
+
+
+@query(
+    """
+WITH p AS (SELECT page_id, coalesce(html, '') html FROM pages),
+d AS (SELECT page_id, html, CAST(octet_length(encode(html)) AS BIGINT) payload_bytes, unhex(sha1(html)) h, max(page_id) OVER (PARTITION BY html) largest FROM p),
+b AS (SELECT *, list_transform(range(32), lambda i: (
+    (CAST(get_bit(CAST(h AS BIT), CAST(5 * i AS INTEGER)) AS INTEGER) * 16) + (CAST(get_bit(CAST(h AS BIT), CAST(5 * i + 1 AS INTEGER)) AS INTEGER) * 8)
+    + (CAST(get_bit(CAST(h AS BIT), CAST(5 * i + 2 AS INTEGER)) AS INTEGER) * 4) + (CAST(get_bit(CAST(h AS BIT), CAST(5 * i + 3 AS INTEGER)) AS INTEGER) * 2)
+    + CAST(get_bit(CAST(h AS BIT), CAST(5 * i + 4 AS INTEGER)) AS INTEGER))) digits FROM d)
+SELECT page_id, payload_bytes, list_aggregate(list_transform(digits, lambda x: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', x + 1, 1)), 'string_agg', '') payload_digest,
+  CASE WHEN page_id = largest THEN 'response' ELSE 'revisit' END record_type, CASE WHEN page_id = largest THEN NULL ELSE largest END refers_to
+FROM b
+"""
+)
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = new_folder(spark, "archives")
+    files = write_archives(table(spark, sf_dir, "pages"), folder)
+    return read_archives(spark, folder, files, with_payload=False).drop("url")
+
+
+#: Of the digests of a formatted conversation; per conversation, on what was read back.
+_CHAT = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
+
+
+@query(
+    r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') role, coalesce(text, '') text FROM conversations
+  UNION ALL SELECT * FROM (VALUES (-7, 0, 'user', '\### Assistant: </turn> ok'), (-7, 1, 'assistant', '\### Assistant: </turn> ok'))),
+f AS (SELECT *, replace(replace(role, '\', '\\'), '<|', '<\|') r, replace(replace(text, '\', '\\'), '<|', '<\|') t FROM c)
+SELECT conv_id, count(*) n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) loss_sha256,
+  CAST(sum(length(r) + length(t) + 4 + 1 + 13 + 13 + 1) AS BIGINT) formatted_chars
+FROM f GROUP BY conv_id
+"""
+)
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chats = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    probe = r"\### Assistant: </turn> ok"
+    extra = spark.createDataFrame([(-7, 0, "user", probe), (-7, 1, "assistant", probe)], chats.schema)
+    done = format_chats(chats.unionByName(extra), public_tokenizers.path(VOCABULARY))
+
+    def digests(batches):
+        for batch in batches:
+            rows = []
+            for conv_id, formatted, spans in zip(*(batch.column(c).to_pylist() for c in ("conv_id", "formatted", "spans")), strict=True):
+                turns = chat.parse(formatted)
+                loss = "".join(chat.unescape(formatted[s["start"] : s["end"]]) for s in spans)
+                whole = "".join(f"{role}\n{text}\n" for role, text in turns)
+                rows.append((conv_id, len(turns), hashlib.sha256(whole.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(formatted)))
+            kinds = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], names=[x.split()[0] for x in _CHAT.split(", ")])
+
+    return done.select("conv_id", "formatted", "spans").mapInArrow(digests, _CHAT)

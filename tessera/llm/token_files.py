@@ -146,7 +146,7 @@ def write_tokens(docs: DataFrame, folder: str, path: str, id_col: str = "doc_id"
         for batch in batches:
             for rows, ids in encoded_slices(batch, "text", coder):
                 for doc_id, x in zip(rows.column("doc_id").to_pylist(), ids, strict=True):
-                    writer = writer or Writer(fs.open_output_stream(trial))
+                    writer = writer or Writer(fs.open_output_stream(trial, compression=None))
                     writer.add(doc_id, np.concatenate([x, end]))
                     total += len(x) + len(end)
         if writer:
