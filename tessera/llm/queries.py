@@ -15,6 +15,7 @@ from tessera.llm.bpe import decode, encode
 from tessera.llm.chat import format_chats
 from tessera.llm.decontaminate import find_contamination
 from tessera.llm.fingerprints import fingerprint_with_next
+from tessera.llm.jaccard_join import jaccard_components
 from tessera.llm.token_files import crc32, new_folder, read_tokens, write_tokens
 from tessera.llm.warc import read_archives, write_archives
 
@@ -152,3 +153,19 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 6, kinds, strict=True)], names=[x.split()[0] for x in _CHAT.split(", ")])
 
     return done.select("conv_id", "formatted", "spans").mapInArrow(digests, _CHAT)
+
+
+@query(
+    r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []::VARCHAR[]) w FROM documents),
+g AS (SELECT DISTINCT doc_id, CASE WHEN len(w) < 5 THEN w ELSE list_slice(w, a + 1, a + 5) END s FROM (SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) a FROM w WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) n FROM g GROUP BY doc_id),
+o AS (SELECT x.doc_id a, y.doc_id b, count(*) o FROM g x JOIN g y ON x.s = y.s AND x.doc_id <> y.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * o >= 80 * (x.n + y.n - o)),
+r AS (WITH RECURSIVE r(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM r JOIN l ON r.b = l.a) SELECT * FROM r)
+SELECT w.doc_id, CAST(coalesce(n.n, 0) AS BIGINT) n_shingles, least(w.doc_id, coalesce(m, w.doc_id)) component_id
+FROM w LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT a doc_id, min(b) m FROM r GROUP BY a) USING (doc_id)
+"""
+)
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
