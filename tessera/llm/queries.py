@@ -194,5 +194,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     def listed(spans):
         return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
-    counts = [F.size(F.filter("base_spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    def count(kind):
+        return F.size(F.filter("base_spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(k) for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
