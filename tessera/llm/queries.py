@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, pii, toxicity
+from tessera.llm import chat, pii, quality_lm, toxicity
 from tessera.llm.bpe import decode, encode
 from tessera.llm.chat import format_chats
 from tessera.llm.decontaminate import find_contamination
@@ -199,3 +199,9 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     counts = [count(k) for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(listed(F.col("base_spans")).cast("binary"), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+
+
+@query()
+def op4_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return quality_lm.classify(docs, table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"))
