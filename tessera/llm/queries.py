@@ -74,12 +74,12 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return bpe_digests(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path(VOCABULARY))
 
 
-def bpe_digests(docs: DataFrame) -> DataFrame:
+def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     """Ids and decoded text of each row as digests."""
-    coded = decode(encode(docs, public_tokenizers.path(VOCABULARY)), public_tokenizers.path(VOCABULARY))
+    coded = decode(encode(docs, path), path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
