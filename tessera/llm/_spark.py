@@ -28,10 +28,11 @@ def hot_lookup(left: DataFrame, right: DataFrame, key: str, values: list[str], c
     share = max(1, total // HOT_SHARE)
     hot = right.filter(F.col(count) > share).select(key, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values])
     rest = right.filter(F.col(count) <= share).select(F.col(key).alias("_key"), F.lit(False).alias("_served"), F.lit(True).alias("_cold"), *[F.col(v).alias(f"_cold_{v}") for v in values])
-    served = F.coalesce("_hot", F.lit(False))
-    out = left.join(F.broadcast(hot), key, "left").withColumn("_served", served)
+    out = left.join(F.broadcast(hot), key, "left").withColumn("_served", F.coalesce("_hot", F.lit(False)))
     out = out.withColumn("_key", F.when(F.col("_served"), F.xxhash64(*left.columns)).otherwise(F.col(key)))
-    out = out.join(rest, ["_key", "_served"], "left")
+    # the key itself travels only where it is not the key of the join
+    out = out.withColumn("_own", F.when(F.col("_served"), F.col(key))).drop(key, "_hot")
+    out = out.join(rest, ["_key", "_served"], "left").withColumn(key, F.coalesce("_own", "_key"))
     if inner:
         out = out.filter(F.col("_served") | F.col("_cold").isNotNull())
     return out.select(*left.columns, *[F.when(F.col("_served"), F.col(f"_hot_{v}")).otherwise(F.col(f"_cold_{v}")).alias(v) for v in values])

@@ -8,14 +8,15 @@ Equal sets are one class; all steps after that work on one row a class.
    a class whose first quarter has fewer than 0.04 n shingles in common with other classes links
    with nothing; common passages inside otherwise different texts fall through here.
 2. Order. The sieved classes' shingles are counted; those of one class only can't overlap and go.
-   The rest are ordered by (count, hash), rare first.
-3. Vertical partitioning. The global order is cut into `FRAGMENTS` fragments of about equal numbers
-   of shingles; a class's ordered set falls into segments, one a fragment.
+   The rest are ordered by (log2 of the count, hash), rare first.
+3. Vertical partitioning. The global order is cut into `FRAGMENTS` fragments, each a run of it; a
+   class's ordered set falls into segments, one a fragment.
 4. Candidates. Classes that share a shingle of their prefixes meet in that shingle's group. A group
-   emits no pairs of all its members: each round takes a few pivots of it (the smallest by a hash
-   that is the same in all groups) and pairs them with the members that are in another component
-   so far. Pivots then leave the group, found links merge components, and groups within one
-   component are done. Every pair is so either compared or known to be connected.
+   emits no pairs of all its members: each round takes a few pivots of it from outside its largest
+   component (the smallest by a hash that is the same in all groups) and pairs them with the
+   members that are in another component so far. Pivots then leave the group, found links merge
+   components, and groups within one component are done. Every pair is so either compared or known
+   to be connected.
 5. Partial overlaps. For each candidate pair the segments of a fragment are intersected separately
    and the counts are summed per pair; 100 * overlap >= 80 * union makes a link.
 
@@ -42,6 +43,8 @@ from tessera.llm._text import LOWER, NON_SPACE, flat, row_sets, shingle_hashes,
 
 K = 5
 FRAGMENTS = 8
+HOT_PIVOTS = 200
+MOST_PIVOTS = 512
 SLICE_BYTES = 2 << 20
 
 
@@ -92,76 +95,88 @@ def _sieve(docs: DataFrame) -> DataFrame:
     return kept.select("k1", "k2", "n", "id").withColumn("node", F.monotonically_increasing_id())
 
 
-def _ordered(docs: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(segments: node, fragment, hashes; prefix: h, node, n) of the kept classes."""
+def _ordered(docs: DataFrame, kept: DataFrame) -> DataFrame:
+    """node, n, set: the shingles that another class has too, each with its fragment, in the global order."""
     route = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
-    texts = docs.withColumn("route", route).join(kept.select(F.coalesce("id", F.lit(-(1 << 63)).cast("long")).alias("route")).distinct(), "route", "left_semi").select("doc_id", "text")
+    wanted = kept.select(F.coalesce("id", F.lit(-(1 << 63)).cast("long")).alias("route")).distinct()
+    texts = docs.withColumn("route", route).join(wanted, "route", "left_semi").select("doc_id", "text")
     sets = _sets(texts, first_part=False).select("k1", "k2", "hashes").join(kept, ["k1", "k2"]).dropDuplicates(["node"])
-    tokens = stored(sets.select("node", "n", F.explode("hashes").alias("h")), "tokens")
+    tokens = sets.select("node", "n", F.explode("hashes").alias("h"))
     counted = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
-    total = tokens.count()
+    total = kept.agg(F.sum("n")).first()[0] or 0
     found = hot_lookup(tokens, counted, "h", ["df"], "df", total, inner=True)
-    # position in the global order (df, h) as one number; only its cuts are approximate, and they are the same for all
-    place = F.col("df") + (F.col("h") / F.lit(2.0**64) + 0.5) * 0.999
-    cuts = sorted(set(counted.select(place.alias("p")).approxQuantile("p", [i / FRAGMENTS for i in range(1, FRAGMENTS)], 0.01)))
-    fragment = sum((F.when(place >= c, 1).otherwise(0) for c in cuts), F.lit(0))
-    whole = found.withColumn("fragment", fragment).groupBy("node", "n").agg(F.sort_array(F.collect_list(F.struct("df", "h", "fragment"))).alias("set"))
-    whole = stored(whole, "ordered")
-    segments = whole.select("node", F.explode("set").alias("t")).groupBy("node", "t.fragment").agg(F.collect_list("t.h").alias("hashes"))
-    # shingles of one class only come first in the order and use up the prefix
-    prefix = F.col("n") - F.floor((8 * F.col("n") + 9) / 10) + 1 - (F.col("n") - F.size("set"))
-    first = whole.filter(prefix > 0).select("node", "n", F.explode(F.slice("set", F.lit(1), prefix.cast("int"))).alias("t"))
-    return stored(segments, "segments"), first.select("t.h", "node", "n")
+    # the global order is (rarity, h); each fragment is a run of it
+    rarity = F.floor(F.log2("df")).cast("int")
+    fragment = 2 * F.least(rarity - 1, F.lit(FRAGMENTS // 2 - 1)) + F.when(F.col("h") >= 0, 1).otherwise(0)
+    whole = found.select("node", "n", F.struct(rarity.alias("rarity"), "h", fragment.alias("fragment")).alias("t"))
+    return stored(whole.groupBy("node", "n").agg(F.sort_array(F.collect_list("t")).alias("set")), "ordered")
+
+
+def _segments(ordered: DataFrame) -> DataFrame:
+    """node, fragment, hashes: the parts of each ordered set."""
+    parts = [F.struct(F.lit(f).alias("fragment"), F.transform(F.filter("set", _in_fragment(f)), lambda t: t["h"]).alias("hashes")) for f in range(FRAGMENTS)]
+    return ordered.select("node", F.explode(F.array(*parts)).alias("s")).select("node", "s.fragment", "s.hashes").filter(F.size("hashes") > 0)
+
+
+def _in_fragment(fragment: int):
+    return lambda t: t["fragment"] == fragment
+
+
+def _prefix(ordered: DataFrame) -> DataFrame:
+    """h, node, n of the prefixes; shingles of one class only come first in the order and use it up."""
+    size = F.col("n") - F.floor((8 * F.col("n") + 9) / 10) + 1 - (F.col("n") - F.size("set"))
+    return ordered.filter(size > 0).select("node", "n", F.explode(F.slice("set", F.lit(1), size.cast("int"))).alias("t")).select("t.h", "node", "n")
 
 
 def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Pairs (a, na, b, nb) that link, by partial overlaps of each fragment."""
-    n = pairs.count()
+    """Pairs (a, na, b, nb) that link, by partial overlaps of each fragment.
+
+    Pivots with more than one in HOT_PIVOTS of the pairs are fewer than that; their segments are broadcast.
+    """
+    share = max(1, pairs.count() // HOT_PIVOTS)
     per_pivot = pairs.groupBy("a").agg(F.count("*").alias("pairs"))
-    own = segments.groupBy("node").agg(F.collect_list(F.struct("fragment", "hashes")).alias("segments"))
-    own = own.join(per_pivot.withColumnRenamed("a", "node"), "node").withColumnRenamed("node", "a")
-    left = hot_lookup(pairs, own, "a", ["segments"], "pairs", n, inner=True).select("a", "na", "b", "nb", F.explode("segments").alias("s"))
-    left = left.select("a", "na", "b", "nb", "s.fragment", F.col("s.hashes").alias("mine"))
-    both = left.join(segments.select(F.col("node").alias("b"), "fragment", F.col("hashes").alias("theirs")), ["b", "fragment"])
-    partial = both.select("a", "na", "b", "nb", F.size(F.array_intersect("mine", "theirs")).cast("long").alias("overlap"))
+    hot = F.broadcast(per_pivot.filter(F.col("pairs") > share).select("a"))
+    mine = segments.select(F.col("node").alias("a"), "fragment", F.col("hashes").alias("mine"))
+    theirs = segments.select(F.col("node").alias("b"), "fragment", F.col("hashes").alias("theirs"))
+    many = pairs.join(hot, "a", "left_semi").join(theirs, "b").join(F.broadcast(mine.join(hot, "a", "left_semi")), ["a", "fragment"])
+    few = pairs.join(hot, "a", "left_anti").join(mine, "a").join(theirs, ["b", "fragment"])
+    overlap = F.size(F.array_intersect("mine", "theirs")).cast("long").alias("overlap")
+    partial = many.select("a", "na", "b", "nb", overlap).unionByName(few.select("a", "na", "b", "nb", overlap))
     total = partial.groupBy("a", "na", "b", "nb").agg(F.sum("overlap").alias("overlap"))
     return total.filter(100 * F.col("overlap") >= 80 * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
 
 
-def _components(prefix: DataFrame, segments: DataFrame) -> tuple[DataFrame | None, int]:
-    """node, label of the classes that link with another; the number of rounds."""
-    groups = stored(prefix.withColumn("label", F.col("node")), "groups")
-    labels, pivots, rounds = None, 1, 0
-    while True:
-        sizes = groups.groupBy("h").agg(F.count("*").alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi"), F.min(F.struct(F.xxhash64("node", F.lit(rounds)).alias("g"), "node")).alias("least"))
-        open_ = sizes.filter("lo < hi").select("h", "size", F.col("least.node").alias("least"), F.lit(1).alias("one"))
-        total = groups.count()
-        live = stored(hot_lookup(groups, open_, "h", ["size", "least"], "size", total, inner=True), "live") if total else groups
+def _components(ordered: DataFrame) -> DataFrame | None:
+    """node, label of the classes that link with another."""
+    groups = stored(_prefix(ordered).withColumn("label", F.col("node")), "groups")
+    segments, labels, pivots = _segments(ordered), None, 1
+    total = groups.count()
+    while total:
+        per_label = groups.groupBy("h", "label").agg(F.count("*").alias("c"))
+        sizes = per_label.groupBy("h").agg(F.sum("c").alias("size"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top")).filter("labels > 1")
+        sizes = sizes.select("h", "size", F.col("top.label").alias("major"), (F.col("size") - F.col("top.c")).alias("minor"))
+        live = stored(hot_lookup(groups, sizes, "h", ["size", "major", "minor"], "size", total, inner=True), "live")
         total = live.count()
         if not total:
-            return labels, rounds
-        share = F.pmod(F.xxhash64("node", F.lit(rounds)), F.lit(1 << 32)) / float(1 << 32)
-        is_pivot = (F.col("node") == F.col("least")) | (share * F.col("size") < (pivots - 1))
-        chosen = live.filter(is_pivot).select("h", "size", F.struct(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")).alias("p"))
-        chosen = chosen.groupBy("h", "size").agg(F.collect_list("p").alias("p"))  # a few pivots a group
-        met = hot_lookup(live.select("h", "node", "n", "label"), chosen, "h", ["p"], "size", total, inner=True).select("node", "n", "label", F.explode("p").alias("p"))
-        met = met.filter((F.col("p.la") != F.col("label")) & (10 * F.least("n", "p.na") >= 8 * F.greatest("n", "p.na")))
-        pairs = stored(met.select("p.a", "p.na", F.col("node").alias("b"), F.col("n").alias("nb"), "p.la", F.col("label").alias("lb")).distinct(), "pairs")
+            break
+        # every pair of two labels has a member outside the largest: only those are pivots, a few a round
+        place = F.pmod(F.xxhash64("node"), F.lit(1 << 32)) / float(1 << 32)
+        is_pivot = (F.col("label") != F.col("major")) & (place * F.col("minor") < pivots)
+        chosen = live.filter(is_pivot).groupBy("h", "size").agg(F.collect_list(F.struct(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))).alias("p"))
+        met = hot_lookup(live.select("h", "node", "n", "label"), chosen, "h", ["p"], "size", total, inner=True).groupBy("node", "n", "label").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p"))
+        met = met.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.explode("p").alias("p")).select("p.*", "b", "nb", "lb")
+        pairs = stored(met.filter((F.col("la") != F.col("lb")) & (10 * F.least("na", "nb") >= 8 * F.greatest("na", "nb"))), "pairs")
         links = _linked(pairs.select("a", "na", "b", "nb"), segments).join(pairs.select("a", "b", "la", "lb"), ["a", "b"])
-        merged = connected(links.select(F.col("la").alias("a"), F.col("lb").alias("b")))
-        merged = merged.select(F.col("node").alias("label"), F.col("label").alias("new"))
-        rest = live.filter(~is_pivot).select("h", "node", "n", "label")
-        groups = stored(_relabel(rest, merged), "groups")
-        if labels is None:
-            labels = merged.select(F.col("label").alias("node"), F.col("new").alias("label"))
-            labels = labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
-        else:
+        merged = connected(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("new"))
+        groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "label"), merged), "groups")
+        total = groups.count()
+        fresh = merged.select(F.col("label").alias("node"), F.col("new").alias("label"))
+        fresh = fresh.unionByName(fresh.select(F.col("label").alias("node"), "label").distinct())
+        if labels is not None:
             old = _relabel(labels, merged)
-            fresh = merged.select(F.col("label").alias("node"), F.col("new").alias("label"))
-            fresh = fresh.unionByName(fresh.select(F.col("label").alias("node"), "label").distinct())
-            labels = old.unionByName(fresh.join(old.select("node"), "node", "left_anti"))
-        labels = stored(labels, "labels")
-        rounds, pivots = rounds + 1, pivots * 2
+            fresh = old.unionByName(fresh.join(old.select("node"), "node", "left_anti"))
+        labels, pivots = stored(fresh, "labels"), min(MOST_PIVOTS, 8 * pivots)
+    return labels
 
 
 def _relabel(rows: DataFrame, merged: DataFrame) -> DataFrame:
@@ -175,8 +190,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """doc_id, n_shingles, component_id, class_id (the smallest id of the rows with the same set)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kept = stored(_sieve(rows), "kept")
-    segments, prefix = _ordered(rows, kept)
-    labels, _ = _components(prefix, segments)
+    labels = _components(_ordered(rows, kept))
     keys = stored(_sets(rows, first_part=True).drop("hashes"), "keys")
     classes = keys.groupBy("k1", "k2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
     if labels is not None:
