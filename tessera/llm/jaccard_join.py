@@ -45,6 +45,8 @@ K = 5
 FRAGMENTS = 8
 HOT_PIVOTS = 200
 MOST_PIVOTS = 512
+#: Tables of at most so many rows of a few numbers each are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 1_000_000
 SLICE_BYTES = 2 << 20
 
 
@@ -83,24 +85,30 @@ def _sieve(docs: DataFrame) -> DataFrame:
     classes = parts.groupBy("k1", "k2").agg(F.first("n").alias("n"), F.min("doc_id").alias("id"), F.first("hashes").alias("hashes")).filter("n > 0")
     # classes are told apart by id where there is one: ids compress far better than keys in the shuffles
     tag = F.coalesce("id", F.col("k1"))
-    tokens = classes.select(tag.alias("tag"), "n", F.explode("hashes").alias("h"))
+    tokens = classes.select(tag.alias("tag"), F.explode("hashes").alias("h"))
     shared = tokens.groupBy("h").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.count("*").alias("df")).filter("lo < hi").select("h", "df", F.lit(True).alias("shared"))
     # a word takes two bytes at least and a first part holds a quarter of a set and two more at most
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
     total = (size["bytes"] or 0) // 8 + 2 * size["rows"]
-    found = hot_lookup(tokens, shared, "h", ["shared"], "df", total, inner=True).groupBy("tag", "n").agg(F.count("*").alias("found"))
+    found = hot_lookup(tokens, shared, "h", ["shared"], "df", total, inner=True).groupBy("tag").agg(F.count("*").alias("found"))
     # a linked class has 0.8 n shingles at least, and its own part is so much smaller
-    alive = found.filter(F.col("found") >= F.greatest(F.lit(1), F.floor(F.floor(F.col("n") * 8 / 10) / 20)))
-    kept = classes.select("k1", "k2", "n", "id", tag.alias("tag")).join(alive.select("tag", "n"), ["tag", "n"], "left_semi")
+    enough = F.col("found") >= F.greatest(F.lit(1), F.floor(F.floor(F.col("n") * 8 / 10) / 20))
+    kept = classes.select("k1", "k2", "n", "id", tag.alias("tag")).join(found, "tag").filter(enough)
     return kept.select("k1", "k2", "n", "id").withColumn("node", F.monotonically_increasing_id())
 
 
+def _checked(rows: DataFrame, n: int) -> DataFrame:
+    """rows, to be broadcast if there are few enough; else the join is by shuffle."""
+    return F.broadcast(rows) if n <= BROADCAST_ROWS else rows
+
+
 def _ordered(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """node, n, set: the shingles that another class has too, each with its fragment, in the global order."""
     route = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
     wanted = kept.select(F.coalesce("id", F.lit(-(1 << 63)).cast("long")).alias("route")).distinct()
-    texts = docs.withColumn("route", route).join(wanted, "route", "left_semi").select("doc_id", "text")
-    sets = _sets(texts, first_part=False).select("k1", "k2", "hashes").join(kept, ["k1", "k2"]).dropDuplicates(["node"])
+    size = kept.count()
+    texts = docs.withColumn("route", route).join(_checked(wanted, size), "route", "left_semi").select("doc_id", "text")
+    sets = _sets(texts, first_part=False).select("k1", "k2", "hashes").join(_checked(kept, size), ["k1", "k2"]).dropDuplicates(["node"])
     tokens = sets.select("node", "n", F.explode("hashes").alias("h"))
     counted = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     total = kept.agg(F.sum("n")).first()[0] or 0
