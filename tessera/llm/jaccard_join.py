@@ -108,7 +108,11 @@ def _ordered(docs: DataFrame, kept: DataFrame) -> DataFrame:
     wanted = kept.select(F.coalesce("id", F.lit(-(1 << 63)).cast("long")).alias("route")).distinct()
     size = kept.count()
     texts = docs.withColumn("route", route).join(_checked(wanted, size), "route", "left_semi").select("doc_id", "text")
-    sets = _sets(texts, first_part=False).select("k1", "k2", "hashes").join(_checked(kept, size), ["k1", "k2"]).dropDuplicates(["node"])
+    sets = _sets(texts, first_part=False).select("k1", "k2", "hashes").join(_checked(kept, size), ["k1", "k2"])
+    # only where ids repeat (or are missing) can a class come from several rows
+    again = docs.select(route.alias("route")).join(_checked(wanted, size), "route", "left_semi").groupBy("route").count().filter("count > 1")
+    if again.limit(1).count():
+        sets = sets.dropDuplicates(["node"])
     tokens = sets.select("node", "n", F.explode("hashes").alias("h"))
     counted = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     total = kept.agg(F.sum("n")).first()[0] or 0
@@ -141,13 +145,14 @@ def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
 
     Pivots with more than one in HOT_PIVOTS of the pairs are fewer than that; their segments are broadcast.
     """
-    share = max(1, pairs.count() // HOT_PIVOTS)
+    n = pairs.count()
     per_pivot = pairs.groupBy("a").agg(F.count("*").alias("pairs"))
-    hot = F.broadcast(per_pivot.filter(F.col("pairs") > share).select("a"))
+    share = max(1, n // HOT_PIVOTS)
+    hot, rest = (F.broadcast(per_pivot.filter(F.col("pairs") > share).select("a")), per_pivot.filter(F.col("pairs") <= share).select("a"))
     mine = segments.select(F.col("node").alias("a"), "fragment", F.col("hashes").alias("mine"))
     theirs = segments.select(F.col("node").alias("b"), "fragment", F.col("hashes").alias("theirs"))
-    many = pairs.join(hot, "a", "left_semi").join(theirs, "b").join(F.broadcast(mine.join(hot, "a", "left_semi")), ["a", "fragment"])
-    few = pairs.join(hot, "a", "left_anti").join(mine, "a").join(theirs, ["b", "fragment"])
+    many = theirs.join(_checked(pairs.join(hot, "a", "left_semi"), n), "b").join(F.broadcast(mine.join(hot, "a", "left_semi")), ["a", "fragment"])
+    few = theirs.join(_checked(pairs.join(hot, "a", "left_anti"), n), "b").join(mine.join(_checked(rest, n), "a", "left_semi"), ["a", "fragment"])
     overlap = F.size(F.array_intersect("mine", "theirs")).cast("long").alias("overlap")
     partial = many.select("a", "na", "b", "nb", overlap).unionByName(few.select("a", "na", "b", "nb", overlap))
     total = partial.groupBy("a", "na", "b", "nb").agg(F.sum("overlap").alias("overlap"))
