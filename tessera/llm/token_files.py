@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.bpe import codec, encoded_slices, read_vocabulary
+from tessera.session import checkpoint_dir
 
 FRAME_IDS = 1 << 16
 LEVEL = 1
@@ -196,8 +197,6 @@ def crc32(ids: np.ndarray) -> int:
 
 
 def new_folder(spark: SparkSession, kind: str) -> str:
-    """A fresh folder in the cluster's shared folder; fails where spark.checkpoint.dir is unset."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    """A fresh folder in the folder that the cluster shares."""
+    base = checkpoint_dir(spark)
     return f"{base.rstrip('/')}/{kind}-{uuid.uuid4().hex}"
