@@ -42,12 +42,16 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts.
 
-    A cluster names it in ``spark.checkpoint.dir``; we only create our own
-    folder when the setting is absent (local tests).
+    A cluster names it in ``spark.checkpoint.dir``. Where that is unset, a session
+    whose tasks run in the driver's own process (tests) gets a folder of its own; a
+    cluster is an error, as its executors would not see a folder of the driver's machine.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
-        path = tempfile.mkdtemp(prefix="tessera-ckpt-")
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        path = "file://" + tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)
     return path
