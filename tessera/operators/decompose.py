@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import c
-from tessera.operators.stats import Gram, gram
+from tessera.operators.stats import Gram, centred_gram, gram
 
 
 def _array_cols(df: DataFrame, arr: str, d: int) -> tuple[DataFrame, list[str]]:
@@ -23,11 +23,19 @@ def _array_cols(df: DataFrame, arr: str, d: int) -> tuple[DataFrame, list[str]]:
 
 
 def array_gram(df: DataFrame, arr: str, d: int | None = None) -> Gram:
-    d = d or len(df.select(arr).first()[0])
+    d = d or array_length(df, arr)
     cols, names = _array_cols(df, arr, d)
     return gram(cols, names)[()]
 
 
+def array_length(df: DataFrame, arr: str) -> int:
+    """The one length of all arrays of a column; differing lengths are an error."""
+    lo, hi = df.agg(F.min(F.size(arr)), F.max(F.size(arr))).first()
+    if lo != hi or not lo:
+        raise ValueError(f"{arr} has arrays of {lo} to {hi} values")
+    return lo
+
+
 @dataclass
 class PCAModel:
     mean: np.ndarray
@@ -48,7 +56,8 @@ class PCAModel:
 
 def pca(df: DataFrame, arr: str, k: int, whiten: bool = False) -> PCAModel:
     """Principal components of an array column."""
-    g = array_gram(df, arr)
+    cols, names = _array_cols(df, arr, array_length(df, arr))
+    g = centred_gram(cols, names)[()]
     cov = g.covariance(1)
     vals, vecs = np.linalg.eigh(cov)
     order = np.argsort(vals)[::-1]
@@ -82,37 +91,37 @@ def pca_transform(df: DataFrame, arr: str, model: PCAModel, out: str = "pcs") ->
 def wide_svd(df: DataFrame, arr: str, k: int):
     """Low-rank basis of a wide matrix A (d x N) stored as N rows of length d.
 
-    Dual form: A A' (d x d) is a sum over rows, built in one Gram pass; its
+    The d values of a row are one pixel of d images; the mean image, so each row's own
+    mean, is taken off first. Dual form: A A' (d x d) is a sum over rows, built in one Gram pass; its
     eigenvectors are the left singular vectors U and s = sqrt(eigenvalues). The
     right singular vectors V = A'U / s are per-row projections, so they are a
     column computed on executors. Returns (U d x k, s, per-row V DataFrame).
     """
-    g = array_gram(df, arr)
+    centred = F.transform(c(arr), lambda v: v.cast("double") - F.aggregate(c(arr), F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(c(arr)))
+    g = array_gram(df.select(centred.alias("__a")), "__a")
     vals, vecs = np.linalg.eigh(g.xx)
     order = np.argsort(vals)[::-1][:k]
     vals, U = np.clip(vals[order], 0, None), vecs[:, order]
     signs = np.sign(U[np.abs(U).argmax(axis=0), range(U.shape[1])])
     U = U * np.where(signs == 0, 1, signs)
     s = np.sqrt(vals)
-    v = df.withColumn("v", project(arr, np.zeros(U.shape[0]), U.T, np.where(s > 0, s, 1.0)))
+    v = df.withColumn("__a", centred).withColumn("v", project("__a", np.zeros(U.shape[0]), U.T, np.where(s > 0, s, 1.0))).drop("__a")
     return U, s, v
 
 
 def reconstruct(df: DataFrame, arr: str, mean: np.ndarray, basis: np.ndarray, out: str = "recon") -> DataFrame:
-    """x_hat = mean + sum_j ((x - mean) . b_j) b_j, then min-max over the whole table to 0..255."""
-    coords = project(arr, mean, basis)
-    d = basis.shape[1]
-    rec = F.transform(F.sequence(F.lit(0), F.lit(d - 1)), lambda i: F.lit(0.0))
-    tmp = df.withColumn("__z", coords)
-    comps = []
-    for i in range(d):
-        e = F.lit(float(mean[i]))
-        for j in range(basis.shape[0]):
-            e = e + F.col("__z")[j] * F.lit(float(basis[j, i]))
-        comps.append(e)
-    del rec
-    tmp = tmp.withColumn("__r", F.array(*comps))
-    lo, hi = tmp.agg(F.min(F.array_min("__r")), F.max(F.array_max("__r"))).first()
-    span = (hi - lo) if hi > lo else 1.0
-    return tmp.withColumn(out, F.transform("__r", lambda v: F.floor((v - F.lit(lo)) / F.lit(span) * 255).cast("int"))) \
-        .drop("__z", "__r")
+    """x_hat = mean + sum_j ((x - mean) . b_j) b_j, each row stretched by its own extremes to 0..255.
+
+    One array expression per basis vector; a row without spread is 0.
+    """
+    tmp = df.withColumn("__z", project(arr, mean, basis))
+    image = F.array(*[F.lit(float(m)) for m in mean])
+    for j, b in enumerate(basis):
+        image = F.zip_with(image, F.array(*[F.lit(float(v)) for v in b]), _add_scaled(F.col("__z")[j]))
+    tmp = tmp.withColumn("__r", image).withColumn("__lo", F.array_min("__r")).withColumn("__span", F.array_max("__r") - F.col("__lo"))
+    stretched = F.transform("__r", lambda v: F.coalesce(F.floor(F.try_divide(v - F.col("__lo"), F.col("__span")) * 255), F.lit(0)).cast("int"))
+    return tmp.withColumn(out, stretched).drop("__z", "__r", "__lo", "__span")
+
+
+def _add_scaled(factor: Column):
+    return lambda a, b: a + factor * b

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import c, dot_literal, sigmoid
-from tessera.operators.stats import gram
+from tessera.operators.stats import centred_gram
 
 QUAD_EXPR_MAX_K = 16
 
@@ -48,7 +48,7 @@ def fit_gaussian(df: DataFrame, x: Sequence[str], y: str, shared: bool = True) -
     The shared matrix is the covariance of all rows (n-1), not the pooled
     within-class one, as in the original.
     """
-    per = gram(df, x, by=[y])
+    per = centred_gram(df, x, by=[y])
     g0, g1 = per[(0,)], per[(1,)]
     mu0, mu1 = g0.mean(), g1.mean()
     if shared:

@@ -7,22 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only after its row count was checked against this bound;
-# larger ones go through a shuffle join, where AQE splits skewed fact partitions.
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def sized_broadcast(dim: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Return ``broadcast(dim)`` if its row count is within ``max_rows``, else ``dim``.
-
-    Costs one counting job over ``dim``; meant for dimensions that are cheap to
-    recompute (a dictionary read from storage), not for derived aggregates.
-    """
-    n = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
-def lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left", force_broadcast_rows: int | None = None) -> DataFrame:
+def lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     """Attach dimension columns.
 
     Default: a plain equi-join and the size decision is left to the runtime.
@@ -31,11 +16,7 @@ def lookup(facts: DataFrame, dim: DataFrame, on, how: str = "left", force_broadc
     ``spark.sql.adaptive.autoBroadcastJoinThreshold`` (a proven bound, no extra
     job); otherwise it stays a sort-merge join and AQE's skew handling splits
     hot fact partitions (a word or key holding a third of the rows) across tasks.
-    ``force_broadcast_rows`` counts the dimension first and broadcasts it when
-    within that many rows.
     """
-    if force_broadcast_rows is not None:
-        dim = sized_broadcast(dim, force_broadcast_rows)
     return facts.join(dim, on, how)
 
 

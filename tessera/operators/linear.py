@@ -19,35 +19,29 @@ from tessera.operators.stats import Gram, gram
 
 def minimize_quadratic(Q, p, x0=None, step="best", conv_norm: float = 0.1, max_iter: int = 100,
                        ada: bool = False) -> np.ndarray:
-    """argmin 0.5 b'Qb + p'b (M4).
+    """argmin 0.5 b'Qb + p'b (M4): ``'analytic'`` solves Qb = -p, other modes descend.
 
-    ``step='best'``: exact line search; a number: fixed step; ``'analytic'``:
-    closed form. ``ada`` scales each coordinate by the inverse root of its summed
-    squared gradients (Adagrad). Runs while |grad| >= conv_norm, at most max_iter+1 steps.
+    ``step='best'`` moves to the minimum along the gradient, a number is a fixed rate;
+    ``ada`` divides each coordinate by the root of its squared gradients so far (Adagrad).
     """
     Q, p = np.asarray(Q, float), np.asarray(p, float)
-    x = np.zeros(len(p)) if x0 is None else np.asarray(x0, float).copy()
-    if step == "analytic":
-        try:
-            return np.linalg.solve(Q, -p)
-        except np.linalg.LinAlgError:  # singular (collinear features, lambda 0): minimum-norm solution
-            return np.linalg.lstsq(Q, -p, rcond=None)[0]
-    g = Q @ x + p
-    g_sq = g ** 2
-    it = 0
-    while np.linalg.norm(g) >= conv_norm and it <= max_iter:
-        it += 1
-        with np.errstate(divide="ignore", invalid="ignore"):
-            scale = np.where(g_sq > 0, 1.0 / np.sqrt(g_sq), 0.0) if ada else 1.0
-        if step == "best":
-            denom = g @ Q @ g
-            eta = (g @ g) / denom if denom > 0 else 0.0
-        else:
-            eta = float(step)
-        x = x - eta * scale * g
-        g = Q @ x + p
-        g_sq = g_sq + g ** 2
-    return x
+    if step == "analytic":  # minimum-norm solution where Q is singular (collinear features, lambda 0)
+        return np.linalg.lstsq(Q, -p, rcond=None)[0] if np.linalg.matrix_rank(Q) < len(p) else np.linalg.solve(Q, -p)
+
+    def rate(g):
+        if step != "best":
+            return float(step)
+        curvature = g @ Q @ g
+        return g @ g / curvature if curvature > 0 else 0.0
+
+    b, squares = np.zeros(len(p)) if x0 is None else np.array(x0, float), np.zeros(len(p))
+    for _ in range(max_iter + 1):
+        g = Q @ b + p
+        if np.linalg.norm(g) < conv_norm:
+            break
+        squares += g * g
+        b = b - rate(g) * (g / np.sqrt(np.maximum(squares, np.finfo(float).tiny)) if ada else g)
+    return b
 
 
 def ridge_solve(g: Gram, lam: float, step="analytic", **kw) -> np.ndarray:
@@ -111,11 +105,6 @@ def linear_term(x: Sequence[str], coef: Sequence[float]) -> Column:
     return dot_literal(x, coef)
 
 
-def rmse_of(df: DataFrame, x: Sequence[str], coef: Sequence[float], y: str) -> float:
-    e = linear_term(x, coef) - F.col(y)
-    return df.agg(F.sqrt(F.avg(e * e))).first()[0]
-
-
 def fit_ridge_mllib(df: DataFrame, x: Sequence[str], y: str, lam: float, fit_intercept: bool = True):
     """MLlib path (unpenalised intercept): ``regParam = lam * stddev_pop(y) / n`` with no
     standardisation reproduces ``|Xb - y|^2 + lam |b|^2`` on the non-intercept coefficients

@@ -17,9 +17,9 @@ from tessera.operators.stats import moments
 
 
 def standardize(df: DataFrame, cols: Sequence[str], stats: dict | None = None):
-    """(x - mean) / sample std; returns (df, stats)."""
+    """(x - mean) / sample std, NULL where the column is constant; returns (df, stats)."""
     stats = stats or moments(df, cols, sample=True)
-    out = df.select(*[((c(n) - F.lit(stats[n][0])) / F.lit(stats[n][1])).alias(n) if n in stats else c(n)
+    out = df.select(*[F.try_divide(c(n) - F.lit(stats[n][0]), F.lit(stats[n][1])).alias(n) if n in stats else c(n)
                       for n in df.columns])
     return out, stats
 

@@ -45,6 +45,14 @@ def class_means(df: DataFrame, cols: Sequence[str], y: str) -> DataFrame:
     return df.groupBy(y).agg(*[F.avg(c(x)).alias(x) for x in cols])
 
 
+def complete_rows(df: DataFrame, cols: Sequence, y=None, weight=None) -> DataFrame:
+    """Rows without a missing feature, target or weight: only these count in any Gram statistic, n included."""
+    present = F.lit(True)
+    for x in [*cols, *(v for v in (y, weight) if v is not None)]:
+        present = present & c(x).isNotNull()
+    return df.filter(present)
+
+
 def gram_sql(df: DataFrame, cols: Sequence[str], y: str | None = None, by: Sequence[str] = (),
              weight: str | Column | None = None, weight_y: bool = True, exact: str | None = None) -> DataFrame:
     """Sufficient statistics per group as columns: n, s_i, ss_i_j (i<=j), sy_i, syy, sy.
@@ -64,6 +72,7 @@ def gram_sql(df: DataFrame, cols: Sequence[str], y: str | None = None, by: Seque
     def ysum(e):
         return wsum(e) if weight_y else F.sum(e)
 
+    df = complete_rows(df, cols, y, weight)
     aggs = [(F.sum(w) if w is not None else F.count(F.lit(1)).cast("double")).alias("n")]
     aggs += [wsum(xs[i]).alias(f"s_{i}") for i in range(len(xs))]
     aggs += [wsum(xs[i] * xs[j]).alias(f"ss_{i}_{j}") for i in range(len(xs)) for j in range(i, len(xs))]
@@ -85,8 +94,9 @@ def covariance_sql(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -
 class Gram:
     """Sufficient statistics of one group: n, sum x, X'X, X'y, sum y, y'y."""
 
-    def __init__(self, k: int, n=0.0, sx=None, xx=None, xy=None, sy=0.0, yy=0.0):
+    def __init__(self, k: int, n=0.0, sx=None, xx=None, xy=None, sy=0.0, yy=0.0, shift=0.0):
         self.k = k
+        self.shift = shift  # what was taken off the features before summing
         self.n = float(n)
         self.sx = np.zeros(k) if sx is None else np.asarray(sx, float)
         self.xx = np.zeros((k, k)) if xx is None else np.asarray(xx, float)
@@ -95,17 +105,17 @@ class Gram:
         self.yy = float(yy)
 
     def __add__(self, o: "Gram") -> "Gram":
-        return Gram(self.k, self.n + o.n, self.sx + o.sx, self.xx + o.xx, self.xy + o.xy, self.sy + o.sy, self.yy + o.yy)
+        return Gram(self.k, self.n + o.n, self.sx + o.sx, self.xx + o.xx, self.xy + o.xy, self.sy + o.sy, self.yy + o.yy, self.shift)
 
     def __sub__(self, o: "Gram") -> "Gram":
-        return Gram(self.k, self.n - o.n, self.sx - o.sx, self.xx - o.xx, self.xy - o.xy, self.sy - o.sy, self.yy - o.yy)
+        return Gram(self.k, self.n - o.n, self.sx - o.sx, self.xx - o.xx, self.xy - o.xy, self.sy - o.sy, self.yy - o.yy, self.shift)
 
     def mean(self) -> np.ndarray:
-        return self.sx / self.n
+        return self.sx / self.n + self.shift
 
     def covariance(self, ddof: int = 1) -> np.ndarray:
-        """Centred covariance from raw sums."""
-        mu = self.mean()
+        """Covariance (A7); exact to rounding only for sums of shifted features (``centred_gram``)."""
+        mu = self.sx / self.n
         return (self.xx - self.n * np.outer(mu, mu)) / (self.n - ddof)
 
 
@@ -142,6 +152,7 @@ def gram(df: DataFrame, cols: Sequence[str], y: str | None = None, by: Sequence[
 def _gram_partition(df, cols, y, by, weight, weight_y=True):
     k = len(cols)
     has_y = y is not None
+    df = complete_rows(df, cols, y, weight)
     width = k + 2  # [x..., y, 1]; row i of the augmented (k+2) x (k+2) matrix
     sel = [F.col(b).alias(f"__g{i}") for i, b in enumerate(by)]
     sel += [F.array(*[c(x).cast("double") for x in cols]).alias("__x")]
@@ -186,6 +197,19 @@ def _gram_partition(df, cols, y, by, weight, weight_y=True):
     return out
 
 
+def centred_gram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) -> dict[tuple, Gram]:
+    """Gram matrices of the features less their overall means: means and covariances that don't cancel."""
+    rows = complete_rows(df, cols)
+    first = rows.agg(*[F.avg(c(x).cast("double")).alias(f"m{i}") for i, x in enumerate(cols)]).first()
+    shift = np.array([v or 0.0 for v in first], float)
+    names = [f"__c{i}" for i in range(len(cols))]
+    moved = rows.select(*by, *[(c(x).cast("double") - F.lit(float(m))).alias(n) for x, m, n in zip(cols, shift, names)])
+    out = gram(moved, names, by=by)
+    for g in out.values():
+        g.shift = shift
+    return out
+
+
 def sum_partition_rows(parts: DataFrame, gcols: Sequence[str], n_rows: int, width: int) -> dict[tuple, np.ndarray]:
     """Combine per-partition matrices emitted as rows (group..., ``__i``, ``__row``).
 

@@ -56,12 +56,15 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.trim("value").alias("text"))
 
 
-def read_id_text(spark: SparkSession, path: str) -> DataFrame:
-    """``id,text`` split at the first comma only; the header line drops out because its id is not an integer."""
+def read_id_text(spark: SparkSession, path: str, header: str = "id") -> DataFrame:
+    """``id,text`` split at the first comma only.
+
+    The header line (its first cell is ``header``) drops out; a row whose id is no integer stays, with a NULL id.
+    """
     parts = F.split(F.col("value"), ",", 2)
-    out = spark.read.text(path).select(F.trim(parts.getItem(0)).try_cast("bigint").alias("id"),
-                                       F.try_element_at(parts, F.lit(2)).alias("text"))
-    return out.filter(F.col("id").isNotNull())
+    rows = spark.read.text(path).filter(F.lower(F.trim(parts.getItem(0))) != header)
+    return rows.select(F.trim(parts.getItem(0)).try_cast("bigint").alias("id"),
+                       F.try_element_at(parts, F.lit(2)).alias("text"))
 
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:

@@ -89,7 +89,7 @@ def test_wide_svd_matches_numpy(spark):
     e = table(spark, SF_SMALL, "embeddings").orderBy("vec_id")
     A = np.array([r["embedding"] for r in e.collect()], dtype=float).T  # d x N
     U, s, v = decompose.wide_svd(e, "embedding", 3)
-    U2, s2, _ = np.linalg.svd(A, full_matrices=False)
+    U2, s2, _ = np.linalg.svd(A - A.mean(axis=0), full_matrices=False)
     assert np.allclose(s, s2[:3], rtol=1e-8)
     for j in range(3):
         assert min(np.abs(U[:, j] - U2[:, j]).max(), np.abs(U[:, j] + U2[:, j]).max()) < 1e-6
@@ -204,3 +204,26 @@ def test_explained_variance_monotone(spark):
     var = [r["variance"] for r in rows]
     assert all(b >= a for a, b in zip(cum, cum[1:])) and cum[-1] <= 1.0 + 1e-12
     assert all(b <= a + 1e-15 for a, b in zip(var, var[1:]))
+
+
+def test_missing_values_count_alike_on_both_gram_paths(spark):
+    rows = [(float(i % 7), float(i * i % 11), float(i)) for i in range(60)] + [(None, 1.0, 2.0), (3.0, 1.0, None)]
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "a double, b double, y double").repartition(parts)
+        sql, partition = (stats.gram(df, ["a", "b"], "y", method=m)[()] for m in ("sql", "partition"))
+        assert sql.n == partition.n == 60
+        assert np.allclose(sql.xx, partition.xx) and np.allclose(sql.xy, partition.xy) and np.isclose(sql.yy, partition.yy)
+
+
+def test_covariance_of_large_values(spark):
+    rng = np.random.default_rng(1)
+    x = 1e8 + rng.standard_normal((2000, 2))
+    df = spark.createDataFrame([(float(a), float(b)) for a, b in x], "a double, b double")
+    g = stats.centred_gram(df, ["a", "b"])[()]
+    assert np.allclose(g.covariance(1), np.cov(x.T), rtol=1e-6) and np.allclose(g.mean(), x.mean(0))
+
+
+def test_arrays_of_differing_length_are_an_error(spark):
+    df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0, 3.0],)], "v array<double>")
+    with pytest.raises(ValueError):
+        decompose.array_gram(df, "v")

@@ -22,7 +22,7 @@ def exchanges(p):
 def test_column_pruning(spark):
     df = QUERIES["q_floor_null_clip"](spark, SF_MID)
     p = df._jdf.queryExecution().executedPlan().toString()
-    assert "ReadSchema: struct<c_custkey:bigint,c_acctbal:double>" in p or "c_acctbal" in p
+    assert re.search(r"ReadSchema: struct<[^>]*c_acctbal", p)
     assert "c_name" not in p and "c_mktsegment" not in p
 
 
@@ -46,7 +46,7 @@ def test_no_inlined_tokeniser_filter(spark):
     p, _ = plan(spark, "q_vocab")
     # the generator's inferred size filter must not re-run the tokenising expression
     assert not re.search(r"Filter \(?\(size\(CASE", p)
-    assert "ReadSchema: struct<doc_id:bigint,text:string>" in p or "text" in p
+    assert re.search(r"ReadSchema: struct<[^>]*text:string", p) and "lang" not in p
 
 
 def test_gram_is_partial_aggregate(spark):
@@ -60,7 +60,7 @@ def test_segmented_windows_partition_by_segment(spark):
     for name in ("q_ffill", "q_event_lags"):
         p, _ = plan(spark, name)
         specs = re.findall(r"Window \[.*?\], \[([^\]]*)\]", p)
-        assert specs and all("user_id" in s_ and "day" in s_ for s_ in specs if "user_id" in s_ and "day" in s_)
+        assert specs
         assert any("day" in s_ for s_ in specs)
 
 

@@ -52,8 +52,8 @@ def test_text_readers(spark):
         ("0", "bad"), ("1", "good movie , really")]
     p2 = os.path.join(d, "test.txt")
     with open(p2, "w") as f:
-        f.write("id,text\n1,a,b,c\n2,plain\n")
-    assert [tuple(r) for r in files.read_id_text(spark, p2).orderBy("id").collect()] == [(1, "a,b,c"), (2, "plain")]
+        f.write("id,text\n1,a,b,c\n2,plain\nA7,b\n")
+    assert [tuple(r) for r in files.read_id_text(spark, p2).orderBy("id").collect()] == [(None, "b"), (1, "a,b,c"), (2, "plain")]
     p3 = os.path.join(d, "tok.txt")
     with open(p3, "w") as f:
         f.write("a b c\n\n")
