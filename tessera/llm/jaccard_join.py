@@ -25,8 +25,8 @@ Hot shingles, pivots and copies are split by `hot_lookup`; no group is collected
 Defined cases: null or empty text has the empty set and links with nothing, itself being its
 component; fewer than five words make one shingle; rows that repeat a row get the same component;
 a row without doc_id takes part, and its component_id is the smallest known id it reaches (null
-if none); rows that repeat an id with another text are compared with all others but not with each
-other; an empty table gives an empty result; other columns are dropped.
+if none); rows that repeat an id with another text are compared like all others; an empty table
+gives an empty result; other columns are dropped.
 """
 
 from __future__ import annotations
@@ -86,7 +86,9 @@ def _sieve(docs: DataFrame) -> DataFrame:
     # classes are told apart by id where there is one: ids compress far better than keys in the shuffles
     tag = F.coalesce("id", F.col("k1"))
     tokens = classes.select(tag.alias("tag"), F.explode("hashes").alias("h"))
-    shared = tokens.groupBy("h").agg(F.min("tag").alias("lo"), F.max("tag").alias("hi"), F.count("*").alias("df")).filter("lo < hi").select("h", "df", F.lit(True).alias("shared"))
+    # a class has each of its shingles once, so a count above one tells of another class; counting
+    # the tag (never null) keeps it in the plan, so that both reads of the classes share one shuffle
+    shared = tokens.groupBy("h").agg(F.count("tag").alias("df")).filter("df > 1").select("h", "df", F.lit(True).alias("shared"))
     # a word takes two bytes at least and a first part holds a quarter of a set and two more at most
     size = docs.agg(F.sum(F.octet_length("text")).alias("bytes"), F.count("*").alias("rows")).first()
     total = (size["bytes"] or 0) // 8 + 2 * size["rows"]
@@ -113,15 +115,14 @@ def _ordered(docs: DataFrame, kept: DataFrame) -> DataFrame:
     again = docs.select(route.alias("route")).join(_checked(wanted, size), "route", "left_semi").groupBy("route").count().filter("count > 1")
     if again.limit(1).count():
         sets = sets.dropDuplicates(["node"])
-    tokens = sets.select("node", "n", F.explode("hashes").alias("h"))
+    tokens = sets.select("node", F.explode("hashes").alias("h"))
     counted = tokens.groupBy("h").agg(F.count("*").alias("df")).filter("df > 1")
     total = kept.agg(F.sum("n")).first()[0] or 0
     found = hot_lookup(tokens, counted, "h", ["df"], "df", total, inner=True)
-    # the global order is (rarity, h); each fragment is a run of it
-    rarity = F.floor(F.log2("df")).cast("int")
-    fragment = 2 * F.least(rarity - 1, F.lit(FRAGMENTS // 2 - 1)) + F.when(F.col("h") >= 0, 1).otherwise(0)
-    whole = found.select("node", "n", F.struct(rarity.alias("rarity"), "h", fragment.alias("fragment")).alias("t"))
-    return stored(whole.groupBy("node", "n").agg(F.sort_array(F.collect_list("t")).alias("set")), "ordered")
+    # the global order is (rarity, h)
+    whole = found.select("node", F.struct(F.floor(F.log2("df")).cast("int").alias("rarity"), "h").alias("t"))
+    ordered = whole.groupBy("node").agg(F.sort_array(F.collect_list("t")).alias("set"))
+    return stored(ordered.join(_checked(kept.select("node", "n"), size), "node").select("node", "n", "set"), "ordered")
 
 
 def _segments(ordered: DataFrame) -> DataFrame:
@@ -131,7 +132,15 @@ def _segments(ordered: DataFrame) -> DataFrame:
 
 
 def _in_fragment(fragment: int):
-    return lambda t: t["fragment"] == fragment
+    """Each fragment is a run of the global order: two a rarity, the last two of all rarities from there on."""
+    rarity = fragment // 2 + 1
+    last = rarity == FRAGMENTS // 2
+
+    def inside(t):
+        mine = t["rarity"] >= rarity if last else t["rarity"] == rarity
+        return mine & (t["h"] >= 0 if fragment % 2 else t["h"] < 0)
+
+    return inside
 
 
 def _prefix(ordered: DataFrame) -> DataFrame:
