@@ -9,6 +9,8 @@ from tessera.llm.token_files import new_folder
 
 #: A key is hot if more than one in HOT_SHARE of the rows has it; so there are fewer hot keys than this.
 HOT_SHARE = 1000
+#: Tables of at most so many rows of a few numbers each are broadcast; larger ones are joined by shuffle.
+BROADCAST_ROWS = 500_000
 
 
 def stored(df: DataFrame, kind: str) -> DataFrame:
@@ -22,9 +24,13 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
 def hot_lookup(left: DataFrame, right: DataFrame, key: str, values: list[str], count: str, total: int, inner: bool = False) -> DataFrame:
     """left with right's values for its long key; right has one row a key, and how many rows of left have it.
 
-    Keys with more than total / HOT_SHARE rows are fewer than HOT_SHARE: they are broadcast. The others
-    are joined by shuffle, in which the rows already served are dealt by a hash of their own.
+    total is at least left's number of rows, so right has no more rows either and is broadcast where
+    total is small enough. Else keys with more than total / HOT_SHARE rows, which are fewer than
+    HOT_SHARE, are broadcast. The others are joined by shuffle, in which the rows already served are
+    dealt by a hash of their own.
     """
+    if total <= BROADCAST_ROWS:
+        return left.join(F.broadcast(right.select(key, *values)), key, "inner" if inner else "left").select(*left.columns, *values)
     share = max(1, total // HOT_SHARE)
     hot = right.filter(F.col(count) > share).select(key, F.lit(True).alias("_hot"), *[F.col(v).alias(f"_hot_{v}") for v in values])
     rest = right.filter(F.col(count) <= share).select(F.col(key).alias("_key"), F.lit(False).alias("_served"), F.lit(True).alias("_cold"), *[F.col(v).alias(f"_cold_{v}") for v in values])
@@ -42,7 +48,8 @@ def connected(edges: DataFrame) -> DataFrame:
     """node, label: the smallest node that each node of the edges (a, b: long) can reach.
 
     Alternating large-star and small-star steps; each is one grouped minimum and one lookup, so the
-    edges of a node are never together. Stops when a pair of steps changes no edge.
+    edges of a node are never together. Stops when a pair of steps changes no edge, as two 64-bit
+    sums over the edges tell.
     """
 
     def star(pairs: DataFrame, n: int) -> DataFrame:
@@ -50,17 +57,22 @@ def connected(edges: DataFrame) -> DataFrame:
         out = hot_lookup(pairs, least, "a", ["least"], "n", n)
         return out.withColumn("least", F.least("least", "a"))
 
+    def state(pairs: DataFrame):
+        return pairs.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"), F.sum(F.xxhash64("b", "a").cast("decimal(20,0)")).alias("y")).first()
+
+    def edge(a: str, b: str):
+        return F.struct(F.col(a).alias("a"), F.col(b).alias("b"))
+
     edges = stored(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).filter("a != b").distinct(), "edges")
-    n = edges.count()
-    while n:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = star(both, 2 * n).filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b")).distinct()
-        small = star(large, n)
-        small = small.select(F.col("b").alias("a"), F.col("least").alias("b")).unionByName(small.select("a", F.col("least").alias("b"))).filter("a != b").distinct()
-        new = stored(small, "edges")
-        changed = new.exceptAll(edges).limit(1).count() or new.count() != n
-        edges, n = new, new.count()
-        if not changed:
+    was = state(edges)
+    while was["n"]:
+        both = edges.select(F.explode(F.array(edge("a", "b"), edge("b", "a"))).alias("e")).select("e.*")
+        large = star(both, 2 * was["n"]).filter("b > a").select(F.col("b").alias("a"), F.col("least").alias("b"))
+        small = star(large, was["n"]).select(F.explode(F.array(edge("b", "least"), edge("a", "least"))).alias("e")).select("e.*")
+        edges = stored(small.filter("a != b").distinct(), "edges")
+        now = state(edges)
+        if now == was:
             break
+        was = now
     return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
 

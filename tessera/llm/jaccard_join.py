@@ -14,7 +14,7 @@ Equal sets are one class; all steps after that work on one row a class.
 4. Candidates. Classes that share a shingle of their prefixes meet in that shingle's group. A group
    emits no pairs of all its members: each round takes a few pivots of it from outside its largest
    component (the smallest by a hash that is the same in all groups) and pairs them with the
-   members that are in another component so far. Pivots then leave the group, found links merge
+   members that are in another component so far and have enough shingles from there on. Pivots then leave the group, found links merge
    components, and groups within one component are done. Every pair is so either compared or known
    to be connected.
 5. Partial overlaps. For each candidate pair the segments of a fragment are intersected separately
@@ -38,15 +38,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import connected, hot_lookup, stored
+from tessera.llm._spark import BROADCAST_ROWS, connected, hot_lookup, stored
 from tessera.llm._text import LOWER, NON_SPACE, flat, row_sets, shingle_hashes, slices, word_hashes, words
 
 K = 5
 FRAGMENTS = 8
 HOT_PIVOTS = 200
-MOST_PIVOTS = 512
-#: Tables of at most so many rows of a few numbers each are broadcast; larger ones are joined by shuffle.
-BROADCAST_ROWS = 1_000_000
+#: Pivots of a group in each round: one, then so many times more, up to a most.
+MORE_PIVOTS, MOST_PIVOTS = 32, 512
 SLICE_BYTES = 2 << 20
 
 
@@ -144,18 +143,23 @@ def _in_fragment(fragment: int):
 
 
 def _prefix(ordered: DataFrame) -> DataFrame:
-    """h, node, n of the prefixes; shingles of one class only come first in the order and use it up."""
+    """h, node, n, rest of the prefixes: rest counts the set's shingles from h on.
+
+    Shingles of one class only come first in the order and use the prefix up.
+    """
     size = F.col("n") - F.floor((8 * F.col("n") + 9) / 10) + 1 - (F.col("n") - F.size("set"))
-    return ordered.filter(size > 0).select("node", "n", F.explode(F.slice("set", F.lit(1), size.cast("int"))).alias("t")).select("t.h", "node", "n")
+    rows = ordered.filter(size > 0).select("node", "n", F.size("set").alias("shared"), F.posexplode(F.slice("set", F.lit(1), size.cast("int"))).alias("at", "t"))
+    return rows.select("t.h", "node", "n", (F.col("shared") - F.col("at")).cast("long").alias("rest"))
 
 
-def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
-    """Pairs (a, na, b, nb) that link, by partial overlaps of each fragment.
+def _linked(pairs: DataFrame, pivots: DataFrame, segments: DataFrame) -> DataFrame:
+    """The labels (a, b) of the pairs (a, b, nb, lb) that link, by partial overlaps of each fragment; pivots has a, na, la.
 
     Pivots with more than one in HOT_PIVOTS of the pairs are fewer than that; their segments are broadcast.
     """
     n = pairs.count()
-    per_pivot = pairs.groupBy("a").agg(F.count("*").alias("pairs"))
+    per_pivot = pairs.groupBy("a").agg(F.count("*").alias("pairs")).join(pivots, "a")
+    pairs = hot_lookup(pairs, per_pivot, "a", ["na", "la"], "pairs", n)
     share = max(1, n // HOT_PIVOTS)
     hot, rest = (F.broadcast(per_pivot.filter(F.col("pairs") > share).select("a")), per_pivot.filter(F.col("pairs") <= share).select("a"))
     mine = segments.select(F.col("node").alias("a"), "fragment", F.col("hashes").alias("mine"))
@@ -163,9 +167,21 @@ def _linked(pairs: DataFrame, segments: DataFrame) -> DataFrame:
     many = theirs.join(_checked(pairs.join(hot, "a", "left_semi"), n), "b").join(F.broadcast(mine.join(hot, "a", "left_semi")), ["a", "fragment"])
     few = theirs.join(_checked(pairs.join(hot, "a", "left_anti"), n), "b").join(mine.join(_checked(rest, n), "a", "left_semi"), ["a", "fragment"])
     overlap = F.size(F.array_intersect("mine", "theirs")).cast("long").alias("overlap")
-    partial = many.select("a", "na", "b", "nb", overlap).unionByName(few.select("a", "na", "b", "nb", overlap))
-    total = partial.groupBy("a", "na", "b", "nb").agg(F.sum("overlap").alias("overlap"))
-    return total.filter(100 * F.col("overlap") >= 80 * (F.col("na") + F.col("nb") - F.col("overlap"))).select("a", "b")
+    pair = ["a", "na", "la", "b", "nb", "lb"]
+    partial = many.select(*pair, overlap).unionByName(few.select(*pair, overlap))
+    total = partial.groupBy(*pair).agg(F.sum("overlap").alias("overlap"))
+    return total.filter(100 * F.col("overlap") >= 80 * (F.col("na") + F.col("nb") - F.col("overlap"))).select(F.col("la").alias("a"), F.col("lb").alias("b"))
+
+
+def _may_link(p):
+    """Whether a member of a group (node, n, rest, label, own) is to be compared with its pivot p.
+
+    If h is the first shingle that both share, their overlap is at most the smaller rest; it has to
+    be 4/9 of both sizes. A pair that links so passes in the group of its first shared shingle. Of
+    two pivots, the larger node is compared with the smaller.
+    """
+    sizes = (10 * F.least(p["n"], "n") >= 8 * F.greatest(p["n"], "n")) & (9 * F.least(p["rest"], "rest") >= 4 * (p["n"] + F.col("n")))
+    return (p["label"] != F.col("label")) & sizes & (~F.col("own") | (p["node"] < F.col("node")))
 
 
 def _components(ordered: DataFrame) -> DataFrame | None:
@@ -174,7 +190,8 @@ def _components(ordered: DataFrame) -> DataFrame | None:
     segments, labels, pivots = _segments(ordered), None, 1
     total = groups.count()
     while total:
-        per_label = groups.groupBy("h", "label").agg(F.count("*").alias("c"))
+        # at first each class is a component of its own
+        per_label = groups.groupBy("h", "label").agg(F.count("*").alias("c")) if labels is not None else groups.select("h", "label", F.lit(1).cast("long").alias("c"))
         sizes = per_label.groupBy("h").agg(F.sum("c").alias("size"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top")).filter("labels > 1")
         sizes = sizes.select("h", "size", F.col("top.label").alias("major"), (F.col("size") - F.col("top.c")).alias("minor"))
         live = stored(hot_lookup(groups, sizes, "h", ["size", "major", "minor"], "size", total, inner=True), "live")
@@ -184,27 +201,30 @@ def _components(ordered: DataFrame) -> DataFrame | None:
         # every pair of two labels has a member outside the largest: only those are pivots, a few a round
         place = F.pmod(F.xxhash64("node"), F.lit(1 << 32)) / float(1 << 32)
         is_pivot = (F.col("label") != F.col("major")) & (place * F.col("minor") < pivots)
-        chosen = live.filter(is_pivot).groupBy("h", "size").agg(F.collect_list(F.struct(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la"))).alias("p"))
-        met = hot_lookup(live.select("h", "node", "n", "label"), chosen, "h", ["p"], "size", total, inner=True).groupBy("node", "n", "label").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p"))
-        met = met.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb"), F.explode("p").alias("p")).select("p.*", "b", "nb", "lb")
-        pairs = stored(met.filter((F.col("la") != F.col("lb")) & (10 * F.least("na", "nb") >= 8 * F.greatest("na", "nb"))), "pairs")
-        links = _linked(pairs.select("a", "na", "b", "nb"), segments).join(pairs.select("a", "b", "la", "lb"), ["a", "b"])
-        merged = connected(links.select(F.col("la").alias("a"), F.col("lb").alias("b"))).select(F.col("node").alias("label"), F.col("label").alias("new"))
-        groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "label"), merged), "groups")
+        members = live.withColumn("own", is_pivot).select("h", "node", "n", "rest", "label", "size", "own")
+        chosen = members.filter("own").groupBy("h", "size").agg(F.collect_list(F.struct("node", "n", "rest", "label")).alias("p"))
+        met = hot_lookup(members.drop("size"), chosen, "h", ["p"], "size", total, inner=True).select("node", "n", "label", F.transform(F.filter("p", _may_link), lambda p: p["node"]).alias("p"))
+        met = met.filter(F.size("p") > 0).groupBy("node", "n", "label").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p"))
+        pairs = stored(met.select(F.explode("p").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb")), "pairs")
+        known = members.filter("own").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")).distinct()
+        merged = connected(_linked(pairs, known, segments)).select(F.col("node").alias("label"), F.col("label").alias("new"))
+        groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "rest", "label"), merged), "groups")
         total = groups.count()
         fresh = merged.select(F.col("label").alias("node"), F.col("new").alias("label"))
         fresh = fresh.unionByName(fresh.select(F.col("label").alias("node"), "label").distinct())
         if labels is not None:
             old = _relabel(labels, merged)
             fresh = old.unionByName(fresh.join(old.select("node"), "node", "left_anti"))
-        labels, pivots = stored(fresh, "labels"), min(MOST_PIVOTS, 8 * pivots)
+        labels, pivots = stored(fresh, "labels"), min(MOST_PIVOTS, MORE_PIVOTS * pivots)
     return labels
 
 
 def _relabel(rows: DataFrame, merged: DataFrame) -> DataFrame:
-    per_label = rows.groupBy("label").agg(F.count("*").alias("rows"))
-    right = merged.join(per_label, "label")
-    out = hot_lookup(rows, right, "label", ["new"], "rows", rows.count())
+    if merged.count() <= BROADCAST_ROWS:
+        out = rows.join(F.broadcast(merged), "label", "left")
+    else:
+        per_label = rows.groupBy("label").agg(F.count("*").alias("rows"))
+        out = hot_lookup(rows, merged.join(per_label, "label"), "label", ["new"], "rows", rows.count())
     return out.select(*[c for c in rows.columns if c != "label"], F.coalesce("new", "label").alias("label"))
 
 

@@ -346,8 +346,11 @@ def brute_components(rows):
     return sorted((doc, len(sets[i]), least[root(i)]) for i, (doc, _) in enumerate(rows))
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_components_equal_all_pairs(llm_spark, seed):
+@pytest.mark.parametrize(("seed", "broadcast_rows"), [(1, None), (2, None), (2, 0), (3, None)])
+def test_components_equal_all_pairs(llm_spark, monkeypatch, seed, broadcast_rows):
+    if broadcast_rows is not None:  # all lookups by shuffle
+        monkeypatch.setattr("tessera.llm._spark.BROADCAST_ROWS", broadcast_rows)
+        monkeypatch.setattr("tessera.llm.jaccard_join.BROADCAST_ROWS", broadcast_rows)
     rng = random.Random(seed)
     rows, common = [], " ".join(f"c{i}" for i in range(12))
     for family in range(8):
