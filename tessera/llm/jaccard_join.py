@@ -44,6 +44,8 @@ from tessera.llm._text import LOWER, NON_SPACE, flat, row_sets, shingle_hashes,
 K = 5
 FRAGMENTS = 8
 HOT_PIVOTS = 200
+#: Segments of at most so many shingles (8 bytes each) are broadcast whatever their pivots' pairs.
+BROADCAST_SHINGLES = 1_000_000
 #: Pivots of a group in each round: one, then so many times more, up to a most.
 MORE_PIVOTS, MOST_PIVOTS = 32, 512
 SLICE_BYTES = 2 << 20
@@ -155,20 +157,28 @@ def _prefix(ordered: DataFrame) -> DataFrame:
 def _linked(pairs: DataFrame, pivots: DataFrame, segments: DataFrame) -> DataFrame:
     """The labels (a, b) of the pairs (a, b, nb, lb) that link, by partial overlaps of each fragment; pivots has a, na, la.
 
-    Pivots with more than one in HOT_PIVOTS of the pairs are fewer than that; their segments are broadcast.
+    The pivots' segments are broadcast if they are few enough. Else those of pivots with more than one
+    in HOT_PIVOTS of the pairs are, which are fewer than that, and the others are joined by shuffle.
     """
     n = pairs.count()
-    per_pivot = pairs.groupBy("a").agg(F.count("*").alias("pairs")).join(pivots, "a")
-    pairs = hot_lookup(pairs, per_pivot, "a", ["na", "la"], "pairs", n)
-    share = max(1, n // HOT_PIVOTS)
-    hot, rest = (F.broadcast(per_pivot.filter(F.col("pairs") > share).select("a")), per_pivot.filter(F.col("pairs") <= share).select("a"))
     mine = segments.select(F.col("node").alias("a"), "fragment", F.col("hashes").alias("mine"))
     theirs = segments.select(F.col("node").alias("b"), "fragment", F.col("hashes").alias("theirs"))
-    many = theirs.join(_checked(pairs.join(hot, "a", "left_semi"), n), "b").join(F.broadcast(mine.join(hot, "a", "left_semi")), ["a", "fragment"])
-    few = theirs.join(_checked(pairs.join(hot, "a", "left_anti"), n), "b").join(mine.join(_checked(rest, n), "a", "left_semi"), ["a", "fragment"])
     overlap = F.size(F.array_intersect("mine", "theirs")).cast("long").alias("overlap")
+    if n <= BROADCAST_ROWS and (pivots.agg(F.sum("na")).first()[0] or 0) <= BROADCAST_SHINGLES:
+        pairs = pairs.join(F.broadcast(pivots), "a")
+        hot, few = F.broadcast(pivots.select("a")), None
+    else:
+        per_pivot = pairs.groupBy("a").agg(F.count("*").alias("pairs")).join(pivots, "a")
+        pairs = hot_lookup(pairs, per_pivot, "a", ["na", "la"], "pairs", n)
+        share = max(1, n // HOT_PIVOTS)
+        hot, rest = (F.broadcast(per_pivot.filter(F.col("pairs") > share).select("a")), per_pivot.filter(F.col("pairs") <= share).select("a"))
+        few = theirs.join(_checked(pairs.join(hot, "a", "left_anti"), n), "b").join(mine.join(_checked(rest, n), "a", "left_semi"), ["a", "fragment"])
+        pairs = pairs.join(hot, "a", "left_semi")
+    many = theirs.join(_checked(pairs, n), "b").join(F.broadcast(mine.join(hot, "a", "left_semi")), ["a", "fragment"])
     pair = ["a", "na", "la", "b", "nb", "lb"]
-    partial = many.select(*pair, overlap).unionByName(few.select(*pair, overlap))
+    partial = many.select(*pair, overlap)
+    if few is not None:
+        partial = partial.unionByName(few.select(*pair, overlap))
     total = partial.groupBy(*pair).agg(F.sum("overlap").alias("overlap"))
     return total.filter(100 * F.col("overlap") >= 80 * (F.col("na") + F.col("nb") - F.col("overlap"))).select(F.col("la").alias("a"), F.col("lb").alias("b"))
 
@@ -210,13 +220,11 @@ def _components(ordered: DataFrame) -> DataFrame | None:
         merged = connected(_linked(pairs, known, segments)).select(F.col("node").alias("label"), F.col("label").alias("new"))
         groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "rest", "label"), merged), "groups")
         total = groups.count()
+        # labels has the nodes that aren't labels themselves; merged those that no longer are
         fresh = merged.select(F.col("label").alias("node"), F.col("new").alias("label"))
-        fresh = fresh.unionByName(fresh.select(F.col("label").alias("node"), "label").distinct())
-        if labels is not None:
-            old = _relabel(labels, merged)
-            fresh = old.unionByName(fresh.join(old.select("node"), "node", "left_anti"))
-        labels, pivots = stored(fresh, "labels"), min(MOST_PIVOTS, MORE_PIVOTS * pivots)
-    return labels
+        labels = stored(fresh if labels is None else fresh.unionByName(_relabel(labels, merged)), "labels")
+        pivots = min(MOST_PIVOTS, MORE_PIVOTS * pivots)
+    return labels if labels is None else labels.unionByName(labels.select(F.col("label").alias("node"), "label").distinct())
 
 
 def _relabel(rows: DataFrame, merged: DataFrame) -> DataFrame:

@@ -351,6 +351,7 @@ def test_components_equal_all_pairs(llm_spark, monkeypatch, seed, broadcast_rows
     if broadcast_rows is not None:  # all lookups by shuffle
         monkeypatch.setattr("tessera.llm._spark.BROADCAST_ROWS", broadcast_rows)
         monkeypatch.setattr("tessera.llm.jaccard_join.BROADCAST_ROWS", broadcast_rows)
+        monkeypatch.setattr("tessera.llm.jaccard_join.BROADCAST_SHINGLES", 0)
     rng = random.Random(seed)
     rows, common = [], " ".join(f"c{i}" for i in range(12))
     for family in range(8):
