@@ -145,13 +145,16 @@ def _in_fragment(fragment: int):
 
 
 def _prefix(ordered: DataFrame) -> DataFrame:
-    """h, node, n, rest of the prefixes: rest counts the set's shingles from h on.
+    """h, node, n, rest, lone, bits of the prefixes: rest counts the set's shingles from h on.
 
+    lone counts those that no other class has; bits is the parity, for 256 hash values, of how many of
+    the others have that value.
     Shingles of one class only come first in the order and use the prefix up.
     """
     size = F.col("n") - F.floor((8 * F.col("n") + 9) / 10) + 1 - (F.col("n") - F.size("set"))
-    rows = ordered.filter(size > 0).select("node", "n", F.size("set").alias("shared"), F.posexplode(F.slice("set", F.lit(1), size.cast("int"))).alias("at", "t"))
-    return rows.select("t.h", "node", "n", (F.col("shared") - F.col("at")).cast("long").alias("rest"))
+    bits = F.struct(*[F.expr(f"aggregate(set, 0L, (b, t) -> b ^ if((t.h & 3L) = {i}L, shiftleft(1L, cast(shiftright(t.h, 2) & 63L as int)), 0L))").alias(f"b{i}") for i in range(4)])
+    rows = ordered.filter(size > 0).select("node", "n", F.size("set").alias("shared"), bits.alias("bits"), F.posexplode(F.slice("set", F.lit(1), size.cast("int"))).alias("at", "t"))
+    return rows.select("t.h", "node", "n", (F.col("shared") - F.col("at")).cast("long").alias("rest"), (F.col("n") - F.col("shared")).alias("lone"), "bits")
 
 
 def _linked(pairs: DataFrame, pivots: DataFrame, segments: DataFrame) -> DataFrame:
@@ -184,14 +187,16 @@ def _linked(pairs: DataFrame, pivots: DataFrame, segments: DataFrame) -> DataFra
 
 
 def _may_link(p):
-    """Whether a member of a group (node, n, rest, label, own) is to be compared with its pivot p.
+    """Whether a member of a group (node, n, rest, lone, bits, label, own) is to be compared with its pivot p.
 
     If h is the first shingle that both share, their overlap is at most the smaller rest; it has to
     be 4/9 of both sizes. A pair that links so passes in the group of its first shared shingle. Of
-    two pivots, the larger node is compared with the smaller.
+    two pivots, the larger node is compared with the smaller. The shingles that only one of both has
+    may be a ninth of both sizes; they are at least the lone ones and the bits that differ.
     """
     sizes = (10 * F.least(p["n"], "n") >= 8 * F.greatest(p["n"], "n")) & (9 * F.least(p["rest"], "rest") >= 4 * (p["n"] + F.col("n")))
-    return (p["label"] != F.col("label")) & sizes & (~F.col("own") | (p["node"] < F.col("node")))
+    differ = sum((F.bit_count(p["bits"][f"b{i}"].bitwiseXOR(F.col(f"bits.b{i}"))) for i in range(4)), p["lone"] + F.col("lone"))
+    return (p["label"] != F.col("label")) & sizes & (9 * differ <= p["n"] + F.col("n")) & (~F.col("own") | (p["node"] < F.col("node")))
 
 
 def _components(ordered: DataFrame) -> DataFrame | None:
@@ -211,14 +216,14 @@ def _components(ordered: DataFrame) -> DataFrame | None:
         # every pair of two labels has a member outside the largest: only those are pivots, a few a round
         place = F.pmod(F.xxhash64("node"), F.lit(1 << 32)) / float(1 << 32)
         is_pivot = (F.col("label") != F.col("major")) & (place * F.col("minor") < pivots)
-        members = live.withColumn("own", is_pivot).select("h", "node", "n", "rest", "label", "size", "own")
-        chosen = members.filter("own").groupBy("h", "size").agg(F.collect_list(F.struct("node", "n", "rest", "label")).alias("p"))
+        members = live.withColumn("own", is_pivot).select("h", "node", "n", "rest", "lone", "bits", "label", "size", "own")
+        chosen = members.filter("own").groupBy("h", "size").agg(F.collect_list(F.struct("node", "n", "rest", "lone", "bits", "label")).alias("p"))
         met = hot_lookup(members.drop("size"), chosen, "h", ["p"], "size", total, inner=True).select("node", "n", "label", F.transform(F.filter("p", _may_link), lambda p: p["node"]).alias("p"))
         met = met.filter(F.size("p") > 0).groupBy("node", "n", "label").agg(F.array_distinct(F.flatten(F.collect_list("p"))).alias("p"))
         pairs = stored(met.select(F.explode("p").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb")), "pairs")
         known = members.filter("own").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")).distinct()
         merged = connected(_linked(pairs, known, segments)).select(F.col("node").alias("label"), F.col("label").alias("new"))
-        groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "rest", "label"), merged), "groups")
+        groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "rest", "lone", "bits", "label"), merged), "groups")
         total = groups.count()
         # labels has the nodes that aren't labels themselves; merged those that no longer are
         fresh = merged.select(F.col("label").alias("node"), F.col("new").alias("label"))
