@@ -16,7 +16,7 @@ Equal sets are one class; all steps after that work on one row a class.
    component (the smallest by a hash that is the same in all groups) and pairs them with the
    members that are in another component so far and have enough shingles from there on. Pivots then leave the group, found links merge
    components, and groups within one component are done. Every pair is so either compared or known
-   to be connected.
+   to be connected. A group whose m members don't link takes about m / `MOST_PIVOTS` rounds.
 5. Partial overlaps. For each candidate pair the segments of a fragment are intersected separately
    and the counts are summed per pair; 100 * overlap >= 80 * union makes a link.
 
@@ -201,21 +201,25 @@ def _may_link(p):
 
 def _components(ordered: DataFrame) -> DataFrame | None:
     """node, label of the classes that link with another."""
-    groups = stored(_prefix(ordered).withColumn("label", F.col("node")), "groups")
+    # done: up to which place the members outside a group's largest component have been pivots
+    groups = stored(_prefix(ordered).withColumn("label", F.col("node")).withColumn("done", F.lit(0.0)), "groups")
     segments, labels, pivots = _segments(ordered), None, 1
     total = groups.count()
     while total:
         # at first each class is a component of its own
-        per_label = groups.groupBy("h", "label").agg(F.count("*").alias("c")) if labels is not None else groups.select("h", "label", F.lit(1).cast("long").alias("c"))
-        sizes = per_label.groupBy("h").agg(F.sum("c").alias("size"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top")).filter("labels > 1")
-        sizes = sizes.select("h", "size", F.col("top.label").alias("major"), (F.col("size") - F.col("top.c")).alias("minor"))
-        live = stored(hot_lookup(groups, sizes, "h", ["size", "major", "minor"], "size", total, inner=True), "live")
+        per_label = groups.groupBy("h", "label").agg(F.count("*").alias("c"), F.max("done").alias("done")) if labels is not None else groups.select("h", "label", F.lit(1).cast("long").alias("c"), "done")
+        sizes = per_label.groupBy("h").agg(F.sum("c").alias("size"), F.count("*").alias("labels"), F.max(F.struct("c", "label")).alias("top"), F.max("done").alias("done")).filter("labels > 1")
+        # those left have places from done on, so this share of the rest has as many pivots as wanted;
+        # 1 - done shrinks in each round, also in one that has no pivot in a group, so all get their turn
+        upto = F.col("done") + (1 - F.col("done")) * F.least(F.lit(1.0), pivots / (F.col("size") - F.col("top.c")))
+        sizes = sizes.select("h", "size", F.col("top.label").alias("major"), upto.alias("upto"))
+        live = stored(hot_lookup(groups.drop("done"), sizes, "h", ["size", "major", "upto"], "size", total, inner=True), "live")
         total = live.count()
         if not total:
             break
         # every pair of two labels has a member outside the largest: only those are pivots, a few a round
         place = F.pmod(F.xxhash64("node"), F.lit(1 << 32)) / float(1 << 32)
-        is_pivot = (F.col("label") != F.col("major")) & (place * F.col("minor") < pivots)
+        is_pivot = (F.col("label") != F.col("major")) & (place < F.col("upto"))
         members = live.withColumn("own", is_pivot).select("h", "node", "n", "rest", "lone", "bits", "label", "size", "own")
         chosen = members.filter("own").groupBy("h", "size").agg(F.collect_list(F.struct("node", "n", "rest", "lone", "bits", "label")).alias("p"))
         met = hot_lookup(members.drop("size"), chosen, "h", ["p"], "size", total, inner=True).select("node", "n", "label", F.transform(F.filter("p", _may_link), lambda p: p["node"]).alias("p"))
@@ -223,7 +227,7 @@ def _components(ordered: DataFrame) -> DataFrame | None:
         pairs = stored(met.select(F.explode("p").alias("a"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("label").alias("lb")), "pairs")
         known = members.filter("own").select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("label").alias("la")).distinct()
         merged = connected(_linked(pairs, known, segments)).select(F.col("node").alias("label"), F.col("label").alias("new"))
-        groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "rest", "lone", "bits", "label"), merged), "groups")
+        groups = stored(_relabel(live.filter(~is_pivot).select("h", "node", "n", "rest", "lone", "bits", "label", F.col("upto").alias("done")), merged), "groups")
         total = groups.count()
         # labels has the nodes that aren't labels themselves; merged those that no longer are
         fresh = merged.select(F.col("label").alias("node"), F.col("new").alias("label"))

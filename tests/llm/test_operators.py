@@ -369,6 +369,31 @@ def test_components_equal_all_pairs(llm_spark, monkeypatch, seed, broadcast_rows
     assert got == brute_components(table)
 
 
+def test_pivots_reach_every_member_of_a_large_group(llm_spark, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MOST_PIVOTS", 2)
+    rounds, store = [], jaccard_join.stored
+
+    def counting(df, kind):
+        rounds.append(kind)
+        assert rounds.count("pairs") <= 40, "the rounds don't end"
+        return store(df, kind)
+
+    monkeypatch.setattr(jaccard_join, "stored", counting)
+    # each block is in about half of the texts and any two texts differ in a block at least, so that
+    # groups of some 16 share shingles without linking; the marks keep shingles within a block
+    rng = random.Random(7)
+    blocks = [" ".join(f"b{b}w{i}" for i in range(20)) for b in range(12)]
+    picks = set()
+    while len(picks) < 32:
+        picks.add(tuple(sorted(rng.sample(range(12), 6))))
+    rows = [" | | | | ".join(blocks[b] for b in pick) for pick in sorted(picks)]
+    rows += [rows[3].replace("w19", "x19", 1), rows[30].replace("w0", "x0", 1)]
+    table = [(i * 3, t) for i, t in enumerate(rows)]
+    docs = llm_spark.createDataFrame(table, "doc_id long, text string")
+    got = sorted((r["doc_id"], r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(docs).collect())
+    assert got == brute_components(table) and len({r[2] for r in got}) == 32 and rounds.count("pairs") > 4
+
+
 def test_near_duplicates_of_odd_rows(llm_spark):
     got = jaccard_join.jaccard_components(docs_of(llm_spark)).collect()
     assert sorted((r["doc_id"], r["component_id"]) for r in got if r["doc_id"]) == [(1, 1), (2, 2), (3, 3), (3, 3), (4, 4), (5, 5)] and len(got) == 7
