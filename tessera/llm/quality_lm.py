@@ -4,10 +4,12 @@ The model is over characters (order 4): a text's perplexity is that of its code
 the three before it. One pass over the documents counts the trusted rows' n-grams and notes
 the n-grams that any row needs; all later steps are joins between count tables sharded by n-gram:
 continuation counts of the lower orders, discounts from the counts of counts, context totals and
-back-off weights, and so the log probability of every n-gram needed. The n-gram table is then read
-in blocks of at most `BLOCK` n-grams, each of which is broadcast (bounded by that parameter), and
-one narrow pass over the documents per block adds its share to the log probability of each row; so
-no text is shuffled, and the table may have any size.
+back-off weights, and so the log probability of every n-gram needed. The distinct texts are dealt
+by their hash into lots of about `LOT_CHARS` characters. A lot's distinct n-grams are joined with
+the table, and the lot's texts are summed with the rows that come back; so the table is
+neither collected nor broadcast and may have any size, and a task holds one lot and its n-grams. A
+task sends each text once, and rows get the perplexity of their text by its hash (128 bits). A single
+text longer than a lot is a lot of its own.
 
 A row is kept if its perplexity lies between two quantiles of the trusted rows of its language
 (too high: noise; too low: repetition).
@@ -27,13 +29,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_schema
 
-from tessera.llm._spark import stored
+from tessera.llm._spark import hot_lookup, stored
 
 ORDER = 4
-BLOCK = 4_000_000
+LOT_CHARS = 4_000_000
 SLICE_CHARS = 1 << 20
 #: Trusted ids up to this many go to the documents as a broadcast; more are joined by shuffle.
 BROADCAST_IDS = 4_000_000
@@ -144,37 +144,64 @@ def _mark_trusted(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(0)).cast("double"))
 
 
+def _texts_by_lot(rows: DataFrame, lots: int) -> DataFrame:
+    """k1, k2, text, lot: the texts that are not empty, each once a task."""
+
+    def run(batches):
+        seen = set()
+        for batch in batches:
+            keep = []
+            for r, key in enumerate(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)):
+                if key not in seen:
+                    seen.add(key)
+                    keep.append(r)
+            yield batch.take(pa.array(keep, pa.int64()))
+
+    texts = rows.filter(F.length("text") > 0).select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, text string")
+    return texts.withColumn("lot", F.pmod("k2", F.lit(lots)))
+
+
+def _grams(texts: pa.Table) -> pa.Table:
+    found = [np.zeros(0, np.uint64)]
+    for batch in texts.to_batches():
+        found += [np.unique(gram_codes(held)[0]) for _, held in _text_slices(batch)]
+    g = np.unique(np.concatenate(found))
+    return pa.table({"lot": pa.array(np.full(len(g), texts.column("lot")[0].as_py(), np.int64)), "g": g.view(np.int64)})
+
+
+def _sums(texts: pa.Table, probabilities: pa.Table) -> pa.Table:
+    grams, lp = probabilities.column("g").to_numpy().view(np.uint64), probabilities.column("lp").to_numpy()
+    order = np.argsort(grams)
+    grams, lp = grams[order], lp[order]
+    out: dict[tuple[int, int], tuple[int, float]] = {}
+    for batch in texts.to_batches():
+        k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
+        for lo, held in _text_slices(batch):
+            codes, bounds = gram_codes(held)
+            # each text has a character at least; its sum is of its own values only, whatever its lot
+            sums = np.add.reduceat(lp[np.searchsorted(grams, codes)], bounds[:-1])
+            for r, (chars, total) in enumerate(zip(np.diff(bounds).tolist(), sums.tolist(), strict=True), lo):
+                out[k1[r], k2[r]] = chars, total
+    columns = zip(*[(*key, *value) for key, value in out.items()], strict=True) if out else [[]] * 4
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["k1", "k2", "chars", "lp"])
+
+
 def perplexities(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     """doc_id, lang, trusted, chars, perplexity of each row of docs (doc_id, text, lang)."""
-    spark = docs.sparkSession
     marked = _mark_trusted(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")), trusted_ids)
     table = stored(log_probabilities(stored(_count(marked), "grams")), "probabilities")
-    blocks = max(1, math.ceil(table.count() / BLOCK * 1.1))
-    schema = T.StructType([*marked.schema.fields, T.StructField("chars", T.LongType()), T.StructField("lp", T.DoubleType())])
-    arrow = to_arrow_schema(schema)
-    out = marked
-    for b in range(blocks):
-        mine = table if blocks == 1 else table.filter(F.pmod(F.xxhash64("g"), F.lit(blocks)) == b)
-        got = mine.toPandas()
-        g = got["g"].to_numpy(np.int64).view(np.uint64)
-        order = np.argsort(g)
-        block = spark.sparkContext.broadcast((g[order], got["lp"].to_numpy(float)[order]))
-
-        def run(batches, block=block):
-            grams, lp = block.value
-            for batch in batches:
-                again = "lp" in batch.schema.names
-                for lo, texts in _text_slices(batch):
-                    codes, bounds = gram_codes(texts)
-                    at = np.minimum(np.searchsorted(grams, codes), max(len(grams) - 1, 0))
-                    found = np.where(grams[at] == codes, lp[at], 0.0) if len(grams) else np.zeros(len(codes))
-                    sums = np.concatenate([[0.0], np.cumsum(found)])[bounds]
-                    rows = batch.slice(lo, len(texts))
-                    total = np.diff(sums) + (rows.column("lp").to_numpy() if again else 0.0)
-                    columns = {n: rows.column(n) for n in rows.schema.names} | {"chars": pa.array(np.diff(bounds)), "lp": pa.array(total)}
-                    yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
-
-        out = out.mapInArrow(run, schema)
+    rows = marked.withColumn("k1", F.xxhash64("text")).withColumn("k2", F.xxhash64(F.lit(1), "text"))
+    size = rows.agg(F.sum(F.length("text")).alias("chars"), F.count("*").alias("rows")).first()
+    texts = _texts_by_lot(rows, max(1, math.ceil((size["chars"] or 0) / LOT_CHARS)))
+    # a lot has each of its n-grams once, so no n-gram is hot here
+    found = texts.groupBy("lot").applyInArrow(_grams, "lot long, g long").join(table, "g").select("lot", "g", "lp")
+    scored = stored(texts.groupBy("lot").cogroup(found.groupBy("lot")).applyInArrow(_sums, "k1 long, k2 long, chars long, lp double"), "scored")
+    per_key = scored.groupBy("k1").agg(F.collect_list(F.struct("k2", "chars", "lp")).alias("texts"))
+    per_key = rows.groupBy("k1").agg(F.count("*").alias("copies")).join(per_key, "k1", "left")
+    named = hot_lookup(rows.select("doc_id", "lang", "trusted", "k1", "k2"), per_key, "k1", ["texts"], "copies", size["rows"])
+    own = F.get(F.filter("texts", lambda t: t["k2"] == F.col("k2")), 0)
+    out = named.select("doc_id", "lang", "trusted", F.coalesce(own["chars"], F.lit(0)).cast("long").alias("chars"), own["lp"].alias("lp"))
     return out.select("doc_id", "lang", "trusted", "chars", F.when(F.col("chars") > 0, F.exp(-F.col("lp") / F.col("chars"))).alias("perplexity"))
 
 

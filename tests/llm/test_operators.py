@@ -225,6 +225,29 @@ def test_perplexity_is_that_of_interpolated_kneser_ney(llm_spark):
     assert not any(r["keep"] for r in quality_lm.classify(docs, trusted.limit(0)).collect())
 
 
+def test_probabilities_are_neither_collected_nor_broadcast(llm_spark, monkeypatch):
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcé世 ") for _ in range(rng.randrange(1, 60))) for _ in range(40)]
+    rows = [(i, t, "en") for i, t in enumerate(texts)] + [(50, texts[0], "fr"), (50, texts[0], "fr"), (None, texts[1], None), (60, None, "en"), (61, "", "en")]
+    docs = llm_spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    trusted = llm_spark.createDataFrame([(i,) for i in range(20)], "doc_id long")
+
+    def scores():
+        return sorted(((r["doc_id"] is None, r["doc_id"] or 0), r["lang"] or "", r["chars"], r["perplexity"] or 0.0) for r in quality_lm.perplexities(docs, trusted).collect())
+
+    def refuse(*_):
+        raise AssertionError("the table passes through the driver")
+
+    monkeypatch.setattr(type(docs), "toPandas", refuse)
+    monkeypatch.setattr(type(llm_spark.sparkContext), "broadcast", refuse)
+    whole = scores()
+    monkeypatch.setattr(quality_lm, "LOT_CHARS", 90)
+    monkeypatch.setattr("tessera.llm._spark.BROADCAST_ROWS", 0)
+    parts = scores()
+    assert len(whole) == len(rows) and [r[:3] for r in whole] == [r[:3] for r in parts]
+    assert [r[3] for r in parts] == pytest.approx([r[3] for r in whole], rel=1e-12)
+
+
 # 5 toxicity ----------------------------------------------------------------------------------
 
 
