@@ -6,9 +6,12 @@ loose ones (national phone numbers, spelled-out addresses, digits in odd groupin
 becomes a row of format and context features; gradient-boosted trees score it, and a threshold for
 each kind, calibrated on candidates that the trees have not seen, selects what is added to the base.
 
-The trees are trained here, on the candidates of at most `TRAIN_DOCS` documents (those with the
-smallest text hash; a parameter). The label of a candidate is weak supervision: it is a valid strict
-match of its kind, or overlaps one. Model and thresholds are small and broadcast; documents are
+The trees are trained here, on the candidates of two thirds of at most `TRAIN_DOCS` distinct texts
+(those with the smallest hash; a parameter). The thresholds come from the candidates of all documents
+with another text, counted by kind, score and label where they are read. The label of a candidate is
+weak supervision: 1 if it is a valid strict match of its kind (also without the mark that makes it
+strict: a phone's plus, an address's at sign) or overlaps one; 0 if it overlaps one of another kind or
+fails the check of its kind. The others, which no strict format speaks about, have no label. Model and thresholds are small and broadcast; documents are
 scanned where they are read, in time linear in their length.
 
 Defined cases: null text is empty; a text without candidates has no spans; equal texts have equal
@@ -37,6 +40,8 @@ DEPTH = 3
 RATE = 0.2
 BINS = 32
 PRECISION = 0.95
+#: Steps of the score that a threshold can take.
+STEPS = 1_000
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.LongType()), T.StructField("end", T.LongType())])
 
 _LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
@@ -212,46 +217,87 @@ class Model(NamedTuple):
     thresholds: tuple[float, ...]  # by kind; above 1: nothing is added
 
 
+def _passes(kind: str, span: str) -> bool:
+    """Whether a loose form holds the check of its kind."""
+    digits = _digits(span)
+    if kind == "ip":
+        return all(int(g) <= 255 for g in re.findall("[0-9]{1,9}", span))
+    if kind == "card":
+        return 12 <= len(digits) <= 19 and luhn(digits)
+    return kind == "email" or 9 <= len(digits) <= 15
+
+
+def _labelled(text: str) -> Iterator[tuple[list[float], int]]:
+    """Features and label of the candidates that have one."""
+    found = list(strict(text))
+    base = base_spans(found)
+    for kind, s, e in base:
+        yield describe(text, kind, s, e), 1
+        if kind in ("phone", "email"):
+            mark, loose = ("+", "") if kind == "phone" else ("@", "(at)")
+            span = text[s:e].replace(mark, loose)
+            # a candidate's features reach 24 characters back and 12 ahead
+            before = text[max(0, s - 24) : s]
+            yield describe(before + span + text[e : e + 12], kind, len(before), len(before) + len(span)), 1
+    for kind, s, e in candidates(text, found):
+        over = {k for k, a, z in base if a < e and s < z}
+        if kind in over:
+            yield describe(text, kind, s, e), 1
+        elif over or not _passes(kind, text[s:e]):
+            yield describe(text, kind, s, e), 0
+
+
 def fit(docs: DataFrame, text_col: str = "text") -> Model:
-    """Trees and thresholds from the candidates of at most TRAIN_DOCS documents."""
-    texts = docs.select(F.col(text_col).cast("string").alias("text")).filter(F.length("text") > 0)
-    # rows far above the wanted quantile of the hash need not be sorted
-    share = min(1.0, 4 * TRAIN_DOCS / max(1, docs.count()))
-    some = texts.withColumn("order", F.xxhash64("text")).filter(F.col("order") <= min((1 << 63) - 1, int(share * 2.0**64) - (1 << 63))).orderBy("order", "text").limit(TRAIN_DOCS)
+    """Trees from the candidates of at most TRAIN_DOCS distinct texts, thresholds from those of all others."""
+    texts = docs.select(F.col(text_col).cast("string").alias("text")).filter(F.length("text") > 0).withColumn("order", F.xxhash64("text"))
+    last = texts.select("order").distinct().orderBy("order").limit(TRAIN_DOCS).agg(F.max("order")).first()[0]
+    nothing = Model(None, (2.0,) * len(KINDS))
+    if last is None:
+        return nothing
+    # by the text, so that copies are on one side
+    seen = (F.col("order") <= last) & (F.pmod(F.xxhash64(F.lit(3), "text"), F.lit(3)) > 0)
 
     def run(batches):
         for batch in batches:
-            x, y, fold = [], [], []
-            for n, text in enumerate(batch.column("text").to_pylist()):
-                found = list(strict(text))
-                base = base_spans(found)
-                spans = base + candidates(text, found)
-                for kind, s, e in spans:
-                    x.append(describe(text, kind, s, e))
-                    y.append(int(any(k == kind and a < e and s < z for k, a, z in base)))
-                    fold.append(n % 3)
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), pa.array(y, pa.int32()), pa.array(fold, pa.int32())], names=["x", "y", "fold"])
-
-    rows = some.select("text").mapInArrow(run, "x array<double>, y int, fold int").collect()
-    nothing = Model(None, (2.0,) * len(KINDS))
+            rows = [row for text in batch.column("text").to_pylist() for row in _labelled(text)]
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.list_(pa.float64())), pa.array([y for _, y in rows], pa.int32())], names=["x", "y"])
+
+    rows = texts.filter(seen).dropDuplicates(["order"]).select("text").mapInArrow(run, "x array<double>, y int").collect()
     if len(rows) < 50:
         return nothing
-    rows.sort(key=lambda r: (r["fold"], r["y"], r["x"]))
-    x, y, fold = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float), np.array([r["fold"] for r in rows])
-    seen = fold > 0
-    if len(np.unique(y[seen])) < 2 or seen.all():
+    rows.sort(key=lambda r: (r["y"], r["x"]))
+    x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)
+    if len(np.unique(y)) < 2:
         return nothing
-    trees = boost(x[seen], y[seen])
-    p, truth, kind = trees.probability(x[~seen]), y[~seen], x[~seen, 0]
-    return Model(trees, tuple(_threshold(p[kind == k], truth[kind == k]) for k in range(len(KINDS))))
+    trees = boost(x, y)
+    shared = docs.sparkSession.sparkContext.broadcast(trees)
 
-
-def _threshold(p: np.ndarray, y: np.ndarray) -> float:
-    """The lowest score, one half at least, from which on the unseen candidates reach PRECISION."""
-    order = np.argsort(-p, kind="stable")
-    precision = np.cumsum(y[order]) / np.arange(1, len(p) + 1)
-    good = np.flatnonzero((precision >= PRECISION) & (p[order] >= 0.5))
-    return float(p[order][good[-1]]) if len(good) else 2.0
+    def score(batches):
+        edges = np.arange(STEPS + 1) / STEPS
+        counts = np.zeros(len(KINDS) * (STEPS + 1) * 2, np.int64)
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                rows = [row for text in batch.slice(lo, 512).column("text").to_pylist() for row in _labelled(text)]
+                if rows:
+                    x, y = np.array([x for x, _ in rows]), np.array([y for _, y in rows])
+                    step = np.searchsorted(edges, shared.value.probability(x), "right") - 1
+                    counts += np.bincount((x[:, 0].astype(np.int64) * (STEPS + 1) + step) * 2 + y, minlength=len(counts))
+        at = np.flatnonzero(counts)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(counts[at], pa.int64())], names=["at", "c"])
+
+    counts = np.zeros(len(KINDS) * (STEPS + 1) * 2, np.int64)
+    for r in texts.filter(~seen).select("text").mapInArrow(score, "at long, c long").groupBy("at").agg(F.sum("c").alias("c")).collect():
+        counts[r["at"]] = r["c"]
+    return Model(trees, tuple(_threshold(c) for c in counts.reshape(len(KINDS), STEPS + 1, 2)))
+
+
+def _threshold(counts: np.ndarray) -> float:
+    """The lowest score, one half at least, from which on the unseen candidates (by step, label) reach PRECISION."""
+    above = np.cumsum(counts[::-1], 0)[::-1]
+    every = above.sum(1)
+    steps = np.arange(len(counts))
+    good = np.flatnonzero((every > 0) & (above[:, 1] >= PRECISION * every) & (counts.sum(1) > 0) & (2 * steps >= STEPS))
+    return float(good[0] / STEPS) if len(good) else 2.0
 
 
 def find(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:

@@ -488,6 +488,38 @@ def test_boosted_trees_add_spans(llm_spark):
     assert nothing.trees is None and pii.find(docs.limit(0), nothing).count() == 0
 
 
+def test_copies_do_not_fill_the_training_sample(llm_spark, monkeypatch):
+    monkeypatch.setattr(pii, "TRAIN_DOCS", 200)
+    rng = random.Random(6)
+    texts = []
+    for _ in range(500):
+        number = f"({rng.randrange(200, 999)}) {rng.randrange(200, 999)}-{rng.randrange(1000, 9999)}"
+        texts.append(f"word word {rng.choice(['call +1 ' + number, 'serial ' + str(rng.randrange(10**8))])} and more")
+    docs = llm_spark.createDataFrame([(t,) for t in texts], "text string")
+    # the text with the smallest hash of all, without a candidate, in 1,000 copies
+    plain = llm_spark.range(20_000).selectExpr("concat('plain ', id) AS text").orderBy("text").selectExpr("text", "xxhash64(text) AS h").orderBy("h").first()["text"]
+    many = docs.unionByName(llm_spark.range(1000).selectExpr(f"'{plain}' AS text"))
+    few, model = pii.fit(docs.unionByName(llm_spark.createDataFrame([(plain,)], "text string"))), pii.fit(many)
+    assert model.trees is not None and model.thresholds == few.thresholds and (model.trees.leaf == few.trees.leaf).all()
+    assert model.thresholds[pii.KINDS.index("phone")] <= 1
+
+
+def test_loose_candidates_without_a_check_against_them_have_no_label():
+    assert [x for x, _ in pii._labelled("call (415) 555-2671 now") if x[0] == pii.KINDS.index("phone")] == []
+    assert [y for _, y in pii._labelled("on 2021-05-04 and 300.1.2.3")] == [0] * len(pii.candidates("on 2021-05-04 and 300.1.2.3", list(pii.strict("on 2021-05-04 and 300.1.2.3"))))
+    rows = list(pii._labelled("call +1 (415) 555-2671 now"))
+    assert [y for x, y in rows if x[0] == pii.KINDS.index("phone")] == [1, 1, 1] and [x[12] for x, _ in rows][:2] == [1.0, 0.0]
+
+
+def test_thresholds_come_from_counts():
+    counts = np.zeros((pii.STEPS + 1, 2), np.int64)
+    counts[900] = 0, 95
+    counts[700] = 5, 0
+    counts[600] = 1, 0
+    counts[300] = 0, 1000
+    assert pii._threshold(counts) == 0.7 and pii._threshold(np.zeros_like(counts)) == 2.0
+
+
 # queries and pipeline ------------------------------------------------------------------------
 
 
