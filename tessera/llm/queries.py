@@ -10,12 +10,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import chat, pii, quality_lm, toxicity
+from tessera.llm import chat, pii, quality_lm, toxicity, vector_codes
 from tessera.llm.bpe import decode, encode
 from tessera.llm.chat import format_chats
 from tessera.llm.decontaminate import find_contamination
 from tessera.llm.fingerprints import fingerprint_with_next
 from tessera.llm.jaccard_join import jaccard_components
+from tessera.llm.ranked_search import rank
+from tessera.llm.suffix_dedup import remove_repeats
 from tessera.llm.token_files import crc32, new_folder, read_tokens, write_tokens
 from tessera.llm.warc import read_archives, write_archives
 
@@ -205,3 +207,38 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_quality_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return quality_lm.classify(docs, table(spark, sf_dir, "labels").filter("quality = 1").select("doc_id"))
+
+
+@query()
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, codebooks = vector_codes.compress(table(spark, sf_dir, "embeddings"))
+    code = F.array_join(F.transform("code", lambda e: F.lower(F.lpad(F.hex(e), 2, "0"))), "")
+    return coded.select("vec_id", code.alias("code"), "error", "label_error", F.lit(vector_codes.codebooks_digest(codebooks)).alias("codebooks_sha256"))
+
+
+@query()
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = remove_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda a, s: a + s["end"] - s["start"])
+    return cut.select("doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+#: Terms of ranked search: only A-Z are lower-cased, whole texts.
+_TERMS = r"coalesce(regexp_extract_all(translate({0}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []::VARCHAR[])"
+
+
+@query(
+    f"""
+WITH d AS (SELECT row_number() OVER () r, doc_id, {_TERMS.format("text")} w FROM documents),
+g AS (SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) nn, CAST(sum(len(w)) AS BIGINT) ll FROM d),
+i AS (SELECT item_id, t, count(*) c FROM (SELECT item_id, unnest({_TERMS.format("text")}) t FROM benchmark) GROUP BY ALL),
+p AS (SELECT r, t, count(*) tf FROM (SELECT r, unnest(w) t FROM d) WHERE t IN (SELECT t FROM i) GROUP BY ALL),
+f AS (SELECT t, CAST(floor(1000 * ln(CAST(2 * (SELECT nn FROM g) + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) wt FROM p GROUP BY t),
+m AS (SELECT r, doc_id, 75 + (25 * len(w) * nn) // ll m FROM d, g),
+s AS (SELECT item_id, r, doc_id, CAST(sum(c * wt * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) score FROM i JOIN p USING (t) JOIN f USING (t) JOIN m USING (r) GROUP BY ALL),
+o AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) rank, doc_id, score FROM o WHERE rank <= 20
+"""
+)
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
