@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm.token_files import new_folder
@@ -13,6 +13,17 @@ HOT_SHARE = 1000
 BROADCAST_ROWS = 500_000
 
 
+#: Rows of an Arrow batch where rows are whole texts: 10,000, as Spark has it, take a task 64 MB and more on either side.
+TEXTS_PER_BATCH = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batches to TEXTS_PER_BATCH rows; a smaller setting stays."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= TEXTS_PER_BATCH:
+        spark.conf.set(key, str(TEXTS_PER_BATCH))
+
+
 def stored(df: DataFrame, kind: str) -> DataFrame:
     """df written as a table to the cluster's shared folder and read back: lineage ends here."""
     spark = df.sparkSession

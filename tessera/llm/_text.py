@@ -8,10 +8,14 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 #: Bytes handled at once by the word hash: bounds its scratch arrays to a few MB.
 CHUNK = 1 << 20
 
+#: Longest word that the polynomial hash is used for.
+LONG = 256
+
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
@@ -101,7 +105,11 @@ def words(data: np.ndarray, bounds: np.ndarray, kind: np.ndarray) -> tuple[np.nd
 
 
 def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each word: a polynomial over random byte values, from prefix sums."""
+    """A 64-bit hash of each word: a polynomial over random byte values, from prefix sums.
+
+    The polynomial is modulo 2^64, where words of 1,024 letters and more can be made to collide whatever
+    the values are, so words of over LONG bytes have XXH3 of their bytes instead.
+    """
     out = np.empty(len(starts), np.uint64)
     lo = 0
     while lo < len(starts):
@@ -114,7 +122,10 @@ def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nd
         s, e = starts[lo:hi] - base, ends[lo:hi] - base
         out[lo:hi] = (sums[e] - sums[s]) * down[s]
         lo = hi
-    return mix(out)
+    out = mix(out)
+    for i in np.flatnonzero(ends - starts > LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(data[starts[i] : ends[i]])
+    return out
 
 
 _STEP = seeds(64, 77)

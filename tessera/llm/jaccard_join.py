@@ -106,7 +106,10 @@ def _checked(rows: DataFrame, n: int) -> DataFrame:
 
 
 def _ordered(docs: DataFrame, kept: DataFrame) -> DataFrame:
-    """node, n, set: the shingles that another class has too, each with its fragment, in the global order."""
+    """node, n, set, bits: the shingles that another class has too, in the global order.
+
+    bits is the parity, for 256 hash values, of how many of them have that value.
+    """
     route = F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long"))
     wanted = kept.select(F.coalesce("id", F.lit(-(1 << 63)).cast("long")).alias("route")).distinct()
     size = kept.count()
@@ -122,8 +125,11 @@ def _ordered(docs: DataFrame, kept: DataFrame) -> DataFrame:
     found = hot_lookup(tokens, counted, "h", ["df"], "df", total, inner=True)
     # the global order is (rarity, h)
     whole = found.select("node", F.struct(F.floor(F.log2("df")).cast("int").alias("rarity"), "h").alias("t"))
-    ordered = whole.groupBy("node").agg(F.sort_array(F.collect_list("t")).alias("set"))
-    return stored(ordered.join(_checked(kept.select("node", "n"), size), "node").select("node", "n", "set"), "ordered")
+    parity = [F.expr(f"bit_xor(if((t.h & 3L) = {i}L, shiftleft(1L, cast(shiftright(t.h, 2) & 63L as int)), 0L))").alias(f"b{i}") for i in range(4)]
+    # once a node, before anything is generated from the set
+    ordered = whole.groupBy("node").agg(F.sort_array(F.collect_list("t")).alias("set"), *parity)
+    bits = F.struct("b0", "b1", "b2", "b3").alias("bits")
+    return stored(ordered.join(_checked(kept.select("node", "n"), size), "node").select("node", "n", "set", bits), "ordered")
 
 
 def _segments(ordered: DataFrame) -> DataFrame:
@@ -147,13 +153,11 @@ def _in_fragment(fragment: int):
 def _prefix(ordered: DataFrame) -> DataFrame:
     """h, node, n, rest, lone, bits of the prefixes: rest counts the set's shingles from h on.
 
-    lone counts those that no other class has; bits is the parity, for 256 hash values, of how many of
-    the others have that value.
+    lone counts those that no other class has.
     Shingles of one class only come first in the order and use the prefix up.
     """
     size = F.col("n") - F.floor((8 * F.col("n") + 9) / 10) + 1 - (F.col("n") - F.size("set"))
-    bits = F.struct(*[F.expr(f"aggregate(set, 0L, (b, t) -> b ^ if((t.h & 3L) = {i}L, shiftleft(1L, cast(shiftright(t.h, 2) & 63L as int)), 0L))").alias(f"b{i}") for i in range(4)])
-    rows = ordered.filter(size > 0).select("node", "n", F.size("set").alias("shared"), bits.alias("bits"), F.posexplode(F.slice("set", F.lit(1), size.cast("int"))).alias("at", "t"))
+    rows = ordered.filter(size > 0).select("node", "n", F.size("set").alias("shared"), "bits", F.posexplode(F.slice("set", F.lit(1), size.cast("int"))).alias("at", "t"))
     return rows.select("t.h", "node", "n", (F.col("shared") - F.col("at")).cast("long").alias("rest"), (F.col("n") - F.col("shared")).alias("lone"), "bits")
 
 

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from tessera.llm._spark import stored
+from tessera.llm._spark import small_batches, stored
 from tessera.llm._text import ALNUM, LOWER, flat, slices, word_hashes, words
 from tessera.llm.token_files import new_folder, open_fs
 
@@ -306,6 +306,7 @@ class _Best:
 def rank(docs: DataFrame, items: DataFrame, k: int = BEST, doc_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """item_id, rank, doc_id, score: the k best documents of each item."""
     spark = docs.sparkSession
+    small_batches(spark)
     folder = _new_place(spark, "search")
     terms = stored(item_terms(items, item_col, text_col), "terms")
     kind = terms.schema["item_id"].dataType

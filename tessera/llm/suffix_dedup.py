@@ -13,9 +13,10 @@ which anchors occur twice, so text that repeats nothing isn't shuffled. Pieces a
 their anchor, sorted by it, and read as a stream: blocks of about BLOCK bytes, cut between anchors, each get
 their array. Equal pieces enter a block's text once, with their number.
 
-An anchor of more than HOT pieces (a second bitmap) is split further: its distinct pieces are cut
-into single windows, which are counted by 128-bit digests, summed per task before the shuffle; so no
-group of a shard has more than HOT pieces and no key gathers in one task. Both bitmaps may name
+An anchor of more than HOT pieces (a second bitmap) is split further: pieces are counted by digest,
+and where one occurs once, the distinct ones are cut into single windows, which are counted by 128-bit
+digests, summed per task before the shuffle; so no group of a shard has more than HOT pieces and no
+key gathers in one task. Both bitmaps may name
 anchors too many; that costs time and changes no result. From some 10^8 repeated anchors on (30 GB
 of repeated text) more is shuffled than needed; BITS is the parameter for that.
 
@@ -37,7 +38,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm._spark import hot_lookup, stored
+from tessera.llm._spark import hot_lookup, small_batches, stored
 from tessera.llm._text import flat, mix, slices
 
 LENGTH = 200
@@ -483,39 +484,38 @@ def _has(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (bitmap[(bit >> np.uint64(3)).astype(np.int64)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
 
-#: An occurrence of a piece: its anchor, whether that is hot, digest of the bytes, digest of its text, first byte there; the bytes at least once a task.
-_PIECE = "h long, hot boolean, c1 long, c2 long, k1 long, k2 long, at long, piece binary"
+#: An occurrence of a piece: its anchor, digest of the bytes, digests of its text, first byte there; the bytes at least once a task.
+_PIECE = "h long, c long, k1 long, k2 long, at long, size long, piece binary"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
 
-def _pieces(docs: DataFrame, anchors: DataFrame, length: int) -> DataFrame:
-    spark = docs.sparkSession
-    maps = spark.sparkContext.broadcast(_bitmaps(anchors))
-    second = spark.range(1).select(F.xxhash64(F.lit(1))).first()[0] % (1 << 64)
+def _pieces(docs: DataFrame, maps, length: int, hot: bool) -> DataFrame:
+    """Occurrences of the pieces under repeated anchors: those under hot ones or the others."""
+    second = docs.sparkSession.range(1).select(F.xxhash64(F.lit(1))).first()[0] % (1 << 64)
 
     def pieces(batches):
         bitmap, hot_map = (np.frombuffer(m, np.uint8) for m in maps.value)
-        seen: set[bytes] = set()
+        seen: set[tuple[int, int]] = set()
         for data, bounds in _rows(batches):
             h, row, start, count, _ = _anchor_runs(data, bounds, length)
-            keep = _has(bitmap, h)
-            h, row, start, count = h[keep], row[keep], start[keep], count[keep]
+            keep = _has(hot_map, h) if hot else _has(bitmap, h) & ~_has(hot_map, h)
+            h, row, start, size = h[keep], row[keep], start[keep], count[keep] + length - 1
             raw, sent, digests = data.tobytes(), [], []
-            for a, z in zip(start.tolist(), (start + count + length - 1).tolist(), strict=True):
-                piece = raw[a:z]
-                digest = xxhash.xxh3_128_digest(piece)
+            for anchor, a, n in zip(h.tolist(), start.tolist(), size.tolist(), strict=True):
+                piece = raw[a : a + n]
+                digest = xxhash.xxh3_64_intdigest(piece, anchor)
                 digests.append(digest)
-                if digest in seen:
+                if (anchor, digest) in seen:
                     sent.append(None)
                 else:
-                    seen.add(digest)
+                    seen.add((anchor, digest))
                     sent.append(piece)
             if len(seen) > SEEN:
                 seen.clear()
-            c = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
             rows, place = np.unique(row, return_inverse=True)
             texts = [raw[bounds[r] : bounds[r + 1]] for r in rows]
-            k = [np.array([xxhash.xxh64_intdigest(t, seed) for t in texts], np.uint64).view(np.int64)[place] for seed in (42, second)]
-            columns = [h.view(np.int64), _has(hot_map, h), c[:, 0], c[:, 1], *k, start - bounds[row]]
+            k = [np.array([xxhash.xxh64_intdigest(t, seed) for t in texts], np.uint64)[place] for seed in (42, second)]
+            columns = [x.view(np.int64) for x in (h, np.array(digests, np.uint64), *k, start - bounds[row], size)]
             yield pa.RecordBatch.from_arrays([*[pa.array(x) for x in columns], pa.array(sent, pa.binary())], names=[x.split()[0] for x in _PIECE.split(", ")])
 
     return docs.select("text").mapInArrow(pieces, _PIECE)
@@ -537,7 +537,7 @@ def _shard_spans(pieces: DataFrame, length: int) -> DataFrame:
 
     def solve(blocks: list[pa.Table]) -> pa.RecordBatch:
         table = pa.concat_tables(blocks)
-        c = np.column_stack([table.column(x).to_numpy() for x in ("h", "c1", "c2")])
+        c = np.column_stack([table.column(x).to_numpy() for x in ("h", "c")])
         new = np.concatenate([[True], (c[1:] != c[:-1]).any(axis=1)])
         which = np.cumsum(new) - 1
         column = table.column("piece")
@@ -585,34 +585,35 @@ def _shard_spans(pieces: DataFrame, length: int) -> DataFrame:
             yield solve(waiting)
 
     n = int(pieces.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = pieces.filter("not hot").drop("hot").repartition(n, "h").sortWithinPartitions("h", "c1", "c2")
+    dealt = pieces.drop("size").repartition(n, "h").sortWithinPartitions("h", "c")
     return dealt.mapInArrow(shards, _SPAN)
 
 
-def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
-    """k1, k2, start, end of repeated strings under hot anchors, whose windows are counted one by one."""
-    hot = pieces.filter("hot")
-    contents = hot.groupBy("c1", "c2").agg(F.count("*").alias("n"))
+def _hot_spans(hot: DataFrame, length: int) -> DataFrame:
+    """k1, k2, start, end of repeated strings under hot anchors, from stored occurrences of their pieces.
+
+    A piece that occurs twice repeats itself; the windows of the others are counted one by one, with
+    those of all pieces under the same anchors.
+    """
+    contents = stored(hot.groupBy("h", "c").agg(F.count("*").alias("n"), F.max("size").alias("size")), "contents")
+    opened = contents.groupBy("h").agg(F.min("n").alias("least"), F.count("*").alias("n")).filter("least = 1")
 
     def windows(batches):
         for batch in batches:
-            for c1, c2, piece in zip(batch.column("c1").to_pylist(), batch.column("c2").to_pylist(), batch.column("piece").to_pylist(), strict=True):
+            for h, c, piece in zip(batch.column("h").to_pylist(), batch.column("c").to_pylist(), batch.column("piece").to_pylist(), strict=True):
                 digests = [xxhash.xxh3_128_digest(piece[i : i + length]) for i in range(len(piece) - length + 1)]
                 d = np.frombuffer(b"".join(digests), np.int64).reshape(-1, 2)
-                columns = [np.full(len(d), c1), np.full(len(d), c2), np.arange(len(d)), d[:, 0], d[:, 1]]
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["c1", "c2", "i", "d1", "d2"])
-
-    # tasks may have sent a piece's bytes more than once; its windows are the same each time
-    sent = hot.filter("piece is not null").dropDuplicates(["c1", "c2"]).select("c1", "c2", "piece")
-    cut = stored(sent.mapInArrow(windows, "c1 long, c2 long, i long, d1 long, d2 long"), "windows")
-    total, rows = cut.count(), hot.count()
-    twice = contents.filter("n > 1").select("c1", F.lit(True).alias("all"), "c2", "n")
+                columns = [np.full(len(d), h), np.full(len(d), c), np.arange(len(d)), d[:, 0], d[:, 1]]
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in columns], names=["h", "c", "i", "d1", "d2"])
+
+    # tasks may have sent a piece's bytes more than once
+    sent = hot.filter("piece is not null").select("h", "c", "piece").dropDuplicates(["h", "c"])
+    sent = hot_lookup(sent, opened, "h", ["least"], "n", contents.count(), inner=True)
+    cut = stored(sent.select("h", "c", "piece").mapInArrow(windows, "h long, c long, i long, d1 long, d2 long"), "windows")
     often = cut.groupBy("d1", "d2").agg(F.count("*").alias("n")).filter("n > 1")
     often = often.groupBy("d1").agg(F.collect_set("d2").alias("d2s"), F.sum("n").alias("n"))
-    again = hot_lookup(cut, often, "d1", ["d2s"], "n", total, inner=True).filter(F.array_contains("d2s", F.col("d2"))).select("c1", "c2", "i")
-    # windows of a piece that occurs twice repeat, and so do those of other pieces that are equal to one of them
-    copied = cut.join(twice.select("c1", "c2"), ["c1", "c2"], "left_semi")
-    again = again.unionByName(copied.select("c1", "c2", "i")).groupBy("c1", "c2").agg(F.sort_array(F.collect_set("i")).alias("windows"))
+    again = hot_lookup(cut, often, "d1", ["d2s"], "n", cut.count(), inner=True).filter(F.array_contains("d2s", F.col("d2")))
+    again = again.groupBy("h", "c").agg(F.sort_array(F.collect_set("i")).alias("windows"))
 
     def spans(batches):
         for batch in batches:
@@ -623,28 +624,31 @@ def _hot_spans(pieces: DataFrame, length: int) -> DataFrame:
                 lo = at[first]
                 hi = at[np.concatenate([first[1:], [True]])] + length
                 out.append([{"start": a, "end": z} for a, z in zip(lo.tolist(), hi.tolist(), strict=True)])
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("c1"), batch.column("c2"), pa.array(out, kind)], names=["c1", "c2", "spans"])
-
-    marked = again.mapInArrow(spans, "c1 long, c2 long, spans array<struct<start: long, end: long>>")
-    marked = marked.join(contents, ["c1", "c2"]).groupBy("c1").agg(F.collect_list(F.struct("c2", "spans")).alias("marks"), F.sum("n").alias("n"))
-    placed = hot_lookup(hot.select("c1", "c2", "k1", "k2", "at").distinct(), stored(marked, "marks"), "c1", ["marks"], "n", rows, inner=True)
-    each = placed.select("k1", "k2", "at", F.explode(F.flatten(F.transform(F.filter("marks", lambda m: m["c2"] == F.col("c2")), lambda m: m["spans"]))).alias("s"))
+            yield pa.RecordBatch.from_arrays([batch.column("h"), batch.column("c"), pa.array(out, _SPANS)], names=["h", "c", "spans"])
+
+    lone = again.mapInArrow(spans, "h long, c long, spans array<struct<start: long, end: long>>").join(contents.filter("n = 1").select("h", "c", "n"), ["h", "c"])
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("start"), F.col("size").alias("end")))
+    marks = contents.filter("n > 1").select("h", "c", whole.alias("spans"), "n").unionByName(lone)
+    marks = stored(marks.groupBy("c").agg(F.collect_list(F.struct("h", "spans")).alias("marks"), F.sum("n").alias("n")), "marks")
+    placed = hot_lookup(hot.select("h", "c", "k1", "k2", "at").distinct(), marks, "c", ["marks"], "n", hot.count(), inner=True)
+    each = placed.select("k1", "k2", "at", F.explode(F.flatten(F.transform(F.filter("marks", lambda m: m["h"] == F.col("h")), lambda m: m["spans"]))).alias("s"))
     return each.select("k1", "k2", (F.col("at") + F.col("s.start")).alias("start"), (F.col("at") + F.col("s.end")).alias("end"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """k1, k2, spans: for each text (known by two hashes) its repeated bytes as unmerged spans."""
-    anchors = stored(_anchors(docs, length), "anchors")
-    pieces = stored(_pieces(docs, anchors, length), "pieces")
-    found = _shard_spans(pieces, length)
-    if pieces.filter("hot").limit(1).count():
-        found = found.unionByName(_hot_spans(pieces, length))
+    spark = docs.sparkSession
+    bits = _bitmaps(_anchors(docs, length))
+    maps = spark.sparkContext.broadcast(bits)
+    found = _shard_spans(_pieces(docs, maps, length, hot=False), length)
+    if any(bits[1]):
+        found = found.unionByName(_hot_spans(stored(_pieces(docs, maps, length, hot=True), "hot"), length))
     return found.groupBy("k1", "k2").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, spans (start, end of each removed run), kept (bytes)."""
+    small_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     spans = repeated_spans(rows, length).groupBy("k1").agg(F.collect_list(F.struct("k2", "spans")).alias("marks"))
     keyed = rows.withColumn("k1", F.xxhash64("text")).withColumn("k2", F.xxhash64(F.lit(1), F.col("text")))
@@ -670,8 +674,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 a, z = a[first].tolist(), z[np.concatenate([first[1:], [True]])].tolist() if len(first) else []
                 spans.append([{"start": x, "end": y} for x, y in zip(a, z, strict=True)])
                 kept.append(b"".join(text[x:y] for x, y in zip([0, *z], [*a, len(text)], strict=True)))
-            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes), pa.array(spans, kind), pa.array(kept, pa.large_binary()).cast(pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n_bytes), pa.array(spans, _SPANS), pa.array(kept, pa.large_binary()).cast(pa.binary())], names=["doc_id", "n_bytes", "spans", "kept"])
 
     id_type = marked.schema["doc_id"].dataType.simpleString()
     return marked.mapInArrow(cut, f"doc_id {id_type}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary")

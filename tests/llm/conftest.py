@@ -4,10 +4,8 @@ import pytest
 
 
 @pytest.fixture(scope="session")
-def llm_spark(spark, tmp_path_factory):
-    """The session with a shared folder; the setting is made only where it is unset, as here."""
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", f"file://{tmp_path_factory.mktemp('shared')}")
+def llm_spark(spark):
+    """The session; its shared folder is the one that the setting names, or one of its own where it is unset."""
     return spark
 
 
