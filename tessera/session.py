@@ -13,6 +13,10 @@ TABLES = (
 ).split()
 
 
+#: By application, the folder of a local session without the setting.
+_OWN_FOLDERS: dict[str, str] = {}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "tessera") -> SparkSession:
     """Local session for tests and benchmarks.
 
@@ -46,13 +50,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     whose tasks run in the driver's own process (tests) gets a folder of its own; a
     cluster is an error, as its executors would not see a folder of the driver's machine.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    app = spark.sparkContext.applicationId
+    path = spark.conf.get("spark.checkpoint.dir", None) or _OWN_FOLDERS.get(app)
     if not path:
         master = spark.sparkContext.master
         if master != "local" and not master.startswith("local["):
             raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        path = "file://" + tempfile.mkdtemp(prefix="tessera-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
+        # a running session does not take the setting, so the folder is kept here
+        path = _OWN_FOLDERS[app] = "file://" + tempfile.mkdtemp(prefix="tessera-ckpt-")
     spark.sparkContext.setCheckpointDir(path)
     return path
 

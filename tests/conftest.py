@@ -14,6 +14,3 @@ def spark():
     checkpoint_dir(s)
     yield s
 
-
-SF_SMALL = "/root/testdata/sf0.001"
-SF_MID = "/root/testdata/sf0.01"

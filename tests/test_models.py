@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_MID, SF_SMALL
+from sf_paths import SF_MID, SF_SMALL
 from tessera.operators import cluster, decompose, logistic, stats
 from tessera.operators.gaussian import fit_gaussian, gaussian_logit
 from tessera.operators.linear import fit_bagged, fit_ridge_cv, ridge_solve

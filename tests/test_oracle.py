@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from oracle_compare import compare, duck
 from tessera.plans.registry import ORACLE, QUERIES, load_all
 

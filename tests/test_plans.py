@@ -2,7 +2,7 @@
 
 import re
 
-from conftest import SF_MID
+from sf_paths import SF_MID
 from tessera.plans.registry import QUERIES, load_all
 
 load_all()

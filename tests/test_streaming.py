@@ -6,7 +6,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from sf_paths import SF_SMALL
 from tessera.functions import scalar as S
 from tessera.session import table
 from tessera.streaming.scoring import open_stream, run_scoring
