@@ -88,6 +88,17 @@ def pca_transform(df: DataFrame, arr: str, model: PCAModel, out: str = "pcs") ->
     return df.withColumn(out, project(arr, model.mean, model.components, scale))
 
 
+def _centred_rows(df: DataFrame, arr: str) -> DataFrame:
+    """df with __a: each row's values less their mean, in time linear in the row.
+
+    The mean is an element of an array that is generated and exploded, so it is a value of the row
+    when the values are looped over; as an expression it would be summed up again for each of them.
+    """
+    mean = F.aggregate(c(arr), F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(c(arr))
+    with_mean = df.select("*", F.explode(F.array(mean)).alias("__mean"))
+    return with_mean.withColumn("__a", F.transform(c(arr), lambda v: v.cast("double") - F.col("__mean"))).drop("__mean")
+
+
 def wide_svd(df: DataFrame, arr: str, k: int):
     """Low-rank basis of a wide matrix A (d x N) stored as N rows of length d.
 
@@ -97,15 +108,15 @@ def wide_svd(df: DataFrame, arr: str, k: int):
     right singular vectors V = A'U / s are per-row projections, so they are a
     column computed on executors. Returns (U d x k, s, per-row V DataFrame).
     """
-    centred = F.transform(c(arr), lambda v: v.cast("double") - F.aggregate(c(arr), F.lit(0.0), lambda a, x: a + x.cast("double")) / F.size(c(arr)))
-    g = array_gram(df.select(centred.alias("__a")), "__a")
+    rows = _centred_rows(df, arr)
+    g = array_gram(rows.select("__a"), "__a")
     vals, vecs = np.linalg.eigh(g.xx)
     order = np.argsort(vals)[::-1][:k]
     vals, U = np.clip(vals[order], 0, None), vecs[:, order]
     signs = np.sign(U[np.abs(U).argmax(axis=0), range(U.shape[1])])
     U = U * np.where(signs == 0, 1, signs)
     s = np.sqrt(vals)
-    v = df.withColumn("__a", centred).withColumn("v", project("__a", np.zeros(U.shape[0]), U.T, np.where(s > 0, s, 1.0))).drop("__a")
+    v = rows.withColumn("v", project("__a", np.zeros(U.shape[0]), U.T, np.where(s > 0, s, 1.0))).drop("__a")
     return U, s, v
 
 

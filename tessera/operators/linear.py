@@ -13,8 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import dot_literal
-from tessera.operators.split import bootstrap
-from tessera.operators.stats import Gram, gram
+from tessera.operators.split import poisson_weights
+from tessera.operators.stats import Gram, complete_rows, gram, sum_partition_rows
 
 
 def minimize_quadratic(Q, p, x0=None, step="best", conv_norm: float = 0.1, max_iter: int = 100,
@@ -84,14 +84,46 @@ def predict_linear(df: DataFrame, x: Sequence[str], coef: Sequence[float], out:
     return df.withColumn(out, dot_literal(x, coef))
 
 
+def bagged_grams(df: DataFrame, x: Sequence[str], y: str, key: str, times: int, seed: int = 0) -> list[Gram]:
+    """The Gram matrices of ``times`` bootstrap samples from one read of the rows.
+
+    Each batch draws its rows' multiplicities for all bags (the draws of ``bootstrap``) and one
+    product of (bags x rows) by (rows x pairs of columns) adds it to every bag's matrix; no row is
+    copied per bag. A partition emits one row a bag, summed in two levels. Rows with a NULL in the design, target or key are left out.
+    """
+    import pandas as pd
+
+    x = list(x)
+    k = len(x)
+    i, j = np.triu_indices(k + 2)
+    packed = complete_rows(df, [*x, y]).filter(F.col(key).isNotNull()).select(
+        F.col(key).cast("long").alias("__key"), F.array(*[F.col(v).cast("double") for v in [*x, y]]).alias("__z"))
+
+    def run(batches):
+        total = np.zeros((times, len(i)))
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            z = np.vstack(pdf["__z"].to_numpy())
+            z = np.column_stack([z, np.ones(len(z))])
+            total += poisson_weights(pdf["__key"].to_numpy(), times, seed).T.astype(float) @ (z[:, i] * z[:, j])
+        yield pd.DataFrame({"__i": np.arange(times, dtype=np.int32), "__row": list(total)})
+
+    sums = sum_partition_rows(packed.mapInPandas(run, "__i int, __row array<double>"), [], times, len(i)).get((), np.zeros((times, len(i))))
+    out = []
+    for row in sums:
+        m = np.zeros((k + 2, k + 2))
+        m[i, j] = m[j, i] = row
+        out.append(Gram(k, m[k + 1, k + 1], m[k + 1, :k], m[:k, :k], m[:k, k], m[k + 1, k], m[k, k]))
+    return out
+
+
 def fit_bagged(df: DataFrame, x: Sequence[str], y: str, key: str, times: int, lam: float = 0.0,
                seed: int = 0) -> tuple[np.ndarray, list[np.ndarray]]:
-    """Bagged ridge (M7): ``times`` bootstrap fits from one weighted Gram pass keyed
-    by bag. The mean of linear models is one linear model, so scoring uses the
-    averaged coefficients. Returns (mean coefficients, per-bag coefficients)."""
-    bags = bootstrap(df.select(key, *x, y), key, times, seed)
-    per_bag = gram(bags, x, y, by=["bag"], weight="w")
-    coefs = [ridge_solve(per_bag[key], lam) for key in sorted(per_bag)]
+    """Bagged ridge (M7): ``times`` bootstrap fits from one pass over the rows. The mean of linear
+    models is one linear model, so scoring uses the averaged coefficients. Returns (mean
+    coefficients, per-bag coefficients)."""
+    coefs = [ridge_solve(g, lam) for g in bagged_grams(df, x, y, key, times, seed)]
     return np.mean(coefs, axis=0), coefs
 
 

@@ -1,4 +1,4 @@
-"""Rating models: bias baseline, factor fitting, factor scoring.
+"""Rating models: bias baseline, biases of ids and of their attributes, factor fitting, factor scoring.
 
 Scoring joins the fact table to user and item factor tables (size-checked
 broadcast or shuffle join) and evaluates u.m + biases as array expressions;
@@ -7,11 +7,15 @@ no per-row Python.
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import clip, dot
+from tessera.operators.dictionary import dictionary
 from tessera.operators.joins import lookup
+from tessera.session import cut_lineage
 
 
 def bias_baseline(ratings: DataFrame, user: str, item: str, rating: str, reg: float = 0.0):
@@ -23,28 +27,155 @@ def bias_baseline(ratings: DataFrame, user: str, item: str, rating: str, reg: fl
     return mu, bu, bi
 
 
+@dataclass
+class Side:
+    """One side of the ratings: its id and which biases it has.
+
+    ``own``: a bias of the id itself; ``one``: columns of ``table`` whose value has a bias (gender,
+    age, occupation, era); ``many``: array columns whose elements' biases are summed (genres).
+    """
+
+    key: str
+    table: DataFrame
+    one: list[str] = field(default_factory=list)
+    many: list[str] = field(default_factory=list)
+    own: bool = True
+
+
+@dataclass
+class Biases:
+    """Fitted biases: the mean, per id ``offset`` (the sum of all its biases), per attribute (level, bias)."""
+
+    mu: float
+    user: DataFrame
+    item: DataFrame
+    blocks: dict[str, DataFrame]
+
+
+def fit_biases(ratings: DataFrame, user: Side, item: Side, rating: str, epochs: int = 10, reg: float = 1.0) -> Biases:
+    """mean + id biases + attribute biases by block coordinate descent on squared error + reg |bias|^2.
+
+    Every attribute belongs to an id, so all blocks of a side are fitted on one row per id: how many
+    ratings it has and the sum of what they leave unexplained. Ratings are read twice an epoch (once a
+    side: the other side's offsets summed per id), whatever the number of blocks. A level's
+    step is (sum of residuals - reg * bias) / (weight + reg). With one level a row the weight is the number
+    of ratings and the step solves the block's normal equations; with several (genres) each rating
+    weighs as much as it has levels, which bounds the block's curvature, so no step raises the error.
+
+    Ids that no rating has are not in the result; NULL ids of ratings are dropped; NULL levels and
+    empty arrays have no bias; a level named twice in an array counts once; ids of any type.
+    """
+    sound = ratings.filter(F.col(user.key).isNotNull() & F.col(item.key).isNotNull() & F.col(rating).isNotNull())
+    mu = sound.agg(F.avg(rating)).first()[0]
+    if mu is None:
+        mu = 0.0
+    sides = {"user": user, "item": item}
+    state = {name: cut_lineage(_start(sound, side, rating, mu)) for name, side in sides.items()}
+    blocks: dict[str, DataFrame] = {}
+    for _ in range(epochs):
+        for name, other in (("user", "item"), ("item", "user")):
+            side, seen = sides[name], sides[other].key
+            carried = lookup(sound.select(side.key, seen), state[other].select(seen, "offset"), seen, "inner") \
+                .groupBy(side.key).agg(F.sum("offset").alias("__carried"))
+            t = state[name].join(carried, side.key).withColumn(
+                "__r", F.col("__s") - F.col("__carried") - F.col("__n") * F.col("offset")).drop("__carried")
+            if side.own:
+                t = _shift(t.withColumn("__d", (F.col("__r") - reg * F.col("own")) / (F.col("__n") + reg)), own=True)
+            t = cut_lineage(t)
+            for col in [*side.one, *side.many]:
+                t, blocks[col] = _fit_block(t, side.key, col, col in side.many, blocks.get(col), reg)
+                t = cut_lineage(t)
+            state[name] = t.drop("__r")
+    out = {name: state[name].select(sides[name].key, "offset", "own") for name in sides}
+    return Biases(float(mu), out["user"], out["item"], blocks)
+
+
+def _start(ratings: DataFrame, side: Side, rating: str, mu: float) -> DataFrame:
+    """A row per id: its attributes, number of ratings (__n), their sum above the mean (__s), biases of 0."""
+    sums = ratings.groupBy(side.key).agg(F.count(F.lit(1)).alias("__n"), F.sum(F.col(rating) - F.lit(mu)).alias("__s"))
+    known = side.table.select(side.key, *side.one, *[F.array_compact(F.array_distinct(m)).alias(m) for m in side.many]).dropDuplicates([side.key])
+    return sums.join(known, side.key, "left").withColumn("offset", F.lit(0.0)).withColumn("own", F.lit(0.0))
+
+
+def _shift(t: DataFrame, own: bool = False) -> DataFrame:
+    """Adds the step __d of each id to its offset."""
+    t = t.withColumn("offset", F.col("offset") + F.col("__d")).withColumn("__r", F.col("__r") - F.col("__n") * F.col("__d"))
+    return (t.withColumn("own", F.col("own") + F.col("__d")) if own else t).drop("__d")
+
+
+def _fit_block(t: DataFrame, key: str, col: str, many: bool, old: DataFrame | None, reg: float):
+    level = F.explode(col) if many else F.col(col)
+    weight = F.col("__n") * F.size(col) if many else F.col("__n")
+    rows = t.select(key, "__r", weight.alias("__w"), level.alias("level")).filter(F.col("level").isNotNull())
+    sums = rows.groupBy("level").agg(F.sum("__r").alias("__r"), F.sum("__w").alias("__w"))
+    sums = sums.join(old, "level") if old is not None else sums.withColumn("bias", F.lit(0.0))
+    step = (F.col("__r") - reg * F.col("bias")) / (F.col("__w") + reg)
+    steps = cut_lineage(sums.select("level", "bias", step.alias("__d")))
+    d = steps.select("level", "__d")
+    if many:
+        moved = lookup(rows.select(key, "level"), d, "level", "inner").groupBy(key).agg(F.sum("__d").alias("__d"))
+        t = t.join(moved, key, "left")
+    else:
+        t = lookup(t, d.withColumnRenamed("level", col), col, "left")
+    t = _shift(t.withColumn("__d", F.coalesce("__d", F.lit(0.0))))
+    return t, steps.select("level", (F.col("bias") + F.col("__d")).alias("bias"))
+
+
+def predict_biases(fact: DataFrame, fit: Biases, user: Side, item: Side, lo: float = 1.0, hi: float = 5.0, out: str = "pred") -> DataFrame:
+    """mean + offsets, clipped (C10). An id without ratings has the biases of its attributes."""
+    z = F.lit(fit.mu)
+    for side, fitted in ((user, fit.user), (item, fit.item)):
+        name = f"__{side.key}"
+        offsets = fitted.select(side.key, F.col("offset").alias(name))
+        fact = lookup(fact, _with_cold(offsets, side, fit.blocks, name), side.key, "left")
+        z = z + F.coalesce(name, F.lit(0.0))
+    return fact.withColumn(out, clip(z, lo, hi)).drop(f"__{user.key}", f"__{item.key}")
+
+
+def _with_cold(offsets: DataFrame, side: Side, blocks: dict[str, DataFrame], name: str) -> DataFrame:
+    """offsets and, for ids of the side's table that have none, the sums of their attributes' biases."""
+    cold = side.table.join(offsets, side.key, "left_anti").select(side.key, *side.one, *side.many).dropDuplicates([side.key])
+    total = F.lit(0.0)
+    for col in side.one:
+        cold = lookup(cold, blocks[col].select(F.col("level").alias(col), F.col("bias").alias(f"__b_{col}")), col, "left")
+        total = total + F.coalesce(f"__b_{col}", F.lit(0.0))
+    for col in side.many:
+        levels = cold.select(side.key, F.explode(F.array_distinct(col)).alias("level"))
+        sums = lookup(levels, blocks[col], "level", "inner").groupBy(side.key).agg(F.sum("bias").alias(f"__b_{col}"))
+        cold = cold.join(sums, side.key, "left")
+        total = total + F.coalesce(f"__b_{col}", F.lit(0.0))
+    return offsets.unionByName(cold.select(side.key, total.alias(name)))
+
+
 def fit_factors(ratings: DataFrame, user: str, item: str, rating: str, rank: int = 8, reg: float = 0.1,
-                max_iter: int = 10, seed: int = 0):
-    """Biases by aggregates, then MLlib ALS on the residuals.
+                max_iter: int = 10, seed: int = 0, biases: Biases | None = None):
+    """Biases, then MLlib ALS on the residuals.
 
+    ``biases``: fitted by ``fit_biases`` (ids and attributes); without them, of ids only. Ids may have
+    any type; ALS gets their dense tokens, so only their number is bounded (2^31).
     Returns (mu, user table (user, b_user, u_vec), item table (item, b_item, i_vec)).
     """
     from pyspark.ml.recommendation import ALS
 
-    mu, bu, bi = bias_baseline(ratings, user, item, rating)
+    if biases is None:
+        mu, bu, bi = bias_baseline(ratings, user, item, rating)
+    else:
+        mu = biases.mu
+        bu, bi = biases.user.select(user, F.col("offset").alias("b_user")), biases.item.select(item, F.col("offset").alias("b_item"))
+    tokens = {c: cut_lineage(dictionary(ratings, c, token="__token")) for c in (user, item)}
     res = lookup(lookup(ratings, bu, user, "left"), bi, item, "left")
-    res = res.select(F.col(user).cast("int").alias("__u"), F.col(item).cast("int").alias("__i"),
-                     (F.col(rating) - mu - F.col("b_user") - F.coalesce(F.col("b_item"), F.lit(0.0))).alias("__r"))
+    for c, t in ((user, "__u"), (item, "__i")):
+        res = lookup(res, tokens[c].select(c, F.col("__token").cast("int").alias(t)), c, "inner")
+    res = res.select("__u", "__i", (F.col(rating) - mu - F.coalesce("b_user", F.lit(0.0)) - F.coalesce("b_item", F.lit(0.0))).alias("__r"))
     als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="__u", itemCol="__i",
               ratingCol="__r", coldStartStrategy="drop", nonnegative=False)
     model = als.fit(res)
-    uf = model.userFactors.select(F.col("id").cast(ratings.schema[user].dataType).alias(user),
-                                  F.col("features").alias("u_vec"))
-    itf = model.itemFactors.select(F.col("id").cast(ratings.schema[item].dataType).alias(item),
-                                   F.col("features").alias("i_vec"))
-    users = bu.join(uf, user, "left")
-    items = bi.join(itf, item, "left")
-    return mu, users, items
+    tables = []
+    for c, bias, factors, vec in ((user, bu, model.userFactors, "u_vec"), (item, bi, model.itemFactors, "i_vec")):
+        named = factors.select(F.col("id").cast("long").alias("__token"), F.col("features").alias(vec))
+        named = tokens[c].select(c, F.col("__token").cast("long").alias("__token")).join(named, "__token").select(c, vec)
+        tables.append(bias.join(named, c, "left"))
+    return mu, *tables
 
 
 def score_factors(fact: DataFrame, users: DataFrame, items: DataFrame, user: str, item: str, mu: float,

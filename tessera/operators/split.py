@@ -76,6 +76,20 @@ def poisson1_cdf(terms: int = 20) -> list[float]:
     return cdf
 
 
+def poisson_weights(keys, times: int, seed: int = 0):
+    """The multiplicities of ``bootstrap`` for an array of integer keys: rows x bags, bags 1..times."""
+    import numpy as np
+
+    # products of two 32-bit values fit into 64 bits, and wrapping keeps the low 32
+    mod, mult = np.uint64(HASH_MOD), np.uint64(MIX_MULT)
+    base = (np.asarray(keys, np.int64).astype(np.uint64) + np.uint64(seed % (1 << 64))) * np.uint64(HASH_MULT) % mod
+    h = (base[:, None] + np.arange(1, times + 1, dtype=np.uint64)[None, :] * np.uint64(MIX_BAG)) % mod
+    for _ in range(2):
+        h = ((h >> np.uint64(16)) ^ h) * mult % mod
+    u = ((h >> np.uint64(16)) ^ h) / float(HASH_MOD)
+    return np.searchsorted(np.array(poisson1_cdf()), u.ravel(), side="right").reshape(u.shape)
+
+
 def bootstrap(df: DataFrame, key: str, times: int, seed: int = 0, bag: str = "bag", weight: str = "w") -> DataFrame:
     """One row per (row, bag) with a Poisson(1) multiplicity (M3).
 

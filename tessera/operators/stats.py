@@ -213,17 +213,16 @@ def centred_gram(df: DataFrame, cols: Sequence[str], by: Sequence[str] = ()) ->
 def sum_partition_rows(parts: DataFrame, gcols: Sequence[str], n_rows: int, width: int) -> dict[tuple, np.ndarray]:
     """Combine per-partition matrices emitted as rows (group..., ``__i``, ``__row``).
 
-    Element-wise sums in two levels: first within buckets of partitions
-    (salt = partition id mod 64), then across buckets, so no task ever holds more
-    than ~(partitions / 64) or 64 arrays; only the final n_rows x width matrix per
-    group reaches the driver.
+    Element-wise sums in two levels: first within buckets of partitions (the whole root of the
+    partition id), then across buckets, so of P partitions no task ever holds more than about
+    2 sqrt(P) arrays of one row; only the final n_rows x width matrix per group reaches the driver.
     """
     zero = F.array_repeat(F.lit(0.0), width)
 
     def vsum(col):
         return F.aggregate(F.collect_list(col), zero, lambda a, r: F.zip_with(a, r, lambda p, q: p + q))
 
-    salted = parts.withColumn("__s", F.pmod(F.spark_partition_id(), F.lit(64)))
+    salted = parts.withColumn("__s", F.floor(F.sqrt(F.spark_partition_id())))
     level1 = salted.groupBy(*gcols, "__i", "__s").agg(vsum("__row").alias("__row"))
     summed = level1.groupBy(*gcols, "__i").agg(vsum("__row").alias("__row"))
     mats: dict[tuple, np.ndarray] = {}

@@ -46,7 +46,7 @@ def _bagged_sql() -> str:
 WITH d AS (
   SELECT o_orderkey, CAST((CAST(o_orderkey AS HUGEINT) * 2654435761) % 4294967296 % 5 AS INTEGER) AS fold,
          1.0 AS x0, CAST(month(o_orderdate) AS DOUBLE) AS x1, o_totalprice / 1000.0 AS y FROM orders),
-b AS (SELECT d.*, bag FROM d, range(1, 21) r(bag) WHERE d.fold <> 0),
+b AS (SELECT d.*, bag FROM d, range(1, 151) r(bag) WHERE d.fold <> 0),
 h0 AS (SELECT *, (CAST((CAST(o_orderkey AS HUGEINT) * 2654435761) % 4294967296 AS BIGINT) + bag * 2246822519)
                    % 4294967296 AS h FROM b),
 h1 AS (SELECT *, (xor(h >> 16, h) * 73244475) % 4294967296 AS h1 FROM h0),
@@ -73,7 +73,7 @@ def q_bagged_ridge(spark, d):
         (F.col("o_totalprice") / 1000.0).alias("y"))
     o = with_folds(o, "o_orderkey", 5).cache()
     train, val = o.filter("fold != 0"), o.filter("fold = 0")
-    mean_coef, coefs = fit_bagged(train, ["x0", "x1"], "y", "o_orderkey", times=20)
+    mean_coef, coefs = fit_bagged(train, ["x0", "x1"], "y", "o_orderkey", times=150)
     curve = bagging_curve(coefs)
     # validation RMSE after the first b bags: one aggregate with one column per b
     e = [(F.lit(float(c[0])) + F.col("x1") * float(c[1]) - F.col("y")) for c in curve]
@@ -235,14 +235,6 @@ def _ratings(spark, d):
         (F.lit(1.0) + F.pmod(F.sum("l_quantity").cast("bigint"), F.lit(5))).alias("rating"))
 
 
-@query("q_factor_score", "M20, M21, J2, C10")
-def q_factor_score(spark, d):
-    r = _ratings(spark, d).cache()
-    mu, users, items = recsys.fit_factors(r, "user", "item", "rating", rank=4, max_iter=5)
-    scored = recsys.score_factors(r, users, items, "user", "item", mu, out="pred")
-    return scored.select("user", "item", "rating", "pred")
-
-
 @query("q_genre_score", "M24, F30, F19, U3, W5", """
 WITH w AS (SELECT p_partkey, string_split(p_name, ' ') AS words FROM part),
 dict AS (SELECT word, row_number() OVER (ORDER BY word) - 1 AS tok FROM (SELECT DISTINCT unnest(words) AS word FROM w) u),

@@ -51,8 +51,7 @@ SELECT DISTINCT doc_id FROM (SELECT doc_id, unnest(tokens) AS word FROM tok) u
 WHERE word NOT IN (SELECT word FROM vocab)
 """)
 def q_oov(spark, d):
-    t = _tokens(spark, d)
-    return text.oov_docs(t, "doc_id", "tokens", text.vocabulary(t, "doc_id", "tokens", 3))
+    return text.rare_docs(_tokens(spark, d), "doc_id", "tokens", 3)
 
 
 @query("q_filter_vocab", "T5, J4", f"""
@@ -63,11 +62,28 @@ SELECT t.doc_id, COALESCE(k.joined, '') AS joined, CAST(COALESCE(k.n, 0) AS INTE
 FROM tok t LEFT JOIN kept k ON t.doc_id = k.doc_id
 """)
 def q_filter_vocab(spark, d):
-    t = _tokens(spark, d)
-    f = text.filter_vocab(t, "doc_id", "tokens", text.vocabulary(t, "doc_id", "tokens", 3))
+    f = text.drop_rare(_tokens(spark, d), "doc_id", "tokens", 3)
     return f.select("doc_id", F.array_join("tokens", " ").alias("joined"), F.size("tokens").alias("n_kept"))
 
 
+@query("q_filter_given", "J4, T4, T5 (a given vocabulary)", f"""
+WITH {TOK_CTE}, {POS_CTE},
+given AS (SELECT DISTINCT unnest(string_split(p_name, ' ')) AS word FROM part UNION SELECT unnest(tokens) FROM tok WHERE doc_id % 7 = 0),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY pos) AS joined, COUNT(*) AS n FROM ex WHERE word IN (SELECT word FROM given) GROUP BY doc_id),
+oov AS (SELECT DISTINCT doc_id FROM ex WHERE word NOT IN (SELECT word FROM given))
+SELECT t.doc_id, COALESCE(k.joined, '') AS joined, CAST(COALESCE(k.n, 0) AS INTEGER) AS n_kept, o.doc_id IS NOT NULL AS has_oov
+FROM tok t LEFT JOIN kept k ON t.doc_id = k.doc_id LEFT JOIN oov o ON t.doc_id = o.doc_id
+""")
+def q_filter_given(spark, d):
+    t = _tokens(spark, d)
+    names = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word"))
+    given = names.unionByName(text.exploded(t.filter("doc_id % 7 = 0"), "doc_id", "tokens")\
+                              .select("word")).distinct()
+    oov = text.oov_docs(t, "doc_id", "tokens", given).withColumn("has_oov", F.lit(True))
+    f = text.filter_vocab(t, "doc_id", "tokens", given).join(oov, "doc_id", "left")
+    return f.select("doc_id", F.array_join("tokens", " ").alias("joined"), F.size("tokens").alias("n_kept"), F.coalesce("has_oov", F.lit(False)).alias("has_oov"))
+
+
 @query("q_pad", "T6, F19, W5", f"""
 WITH {TOK_CTE}, {VOCAB_CTE}, {POS_CTE},
 idx AS (SELECT word, row_number() OVER (ORDER BY word) AS idx FROM vocab),
@@ -107,8 +123,8 @@ SELECT t.doc_id, round(COALESCE(s.total, 0.0), 6) AS total FROM tok t LEFT JOIN
 """)
 def q_doc_embed_sum(spark, d):
     t = _tokens(spark, d)
-    weights = text.vocabulary(t, "doc_id", "tokens", 3).select("word", F.log(F.col("n").cast("double")).alias("weight"))
-    out = text.sum_lookup(t, "doc_id", "tokens", weights, "word", "weight")
+    weights = text.vocabulary(t, "doc_id", "tokens", 3).select("word", "n", F.log(F.col("n").cast("double")).alias("weight"))
+    out = text.sum_lookup(t, "doc_id", "tokens", weights, "word", "weight", rows="n")
     return out.select("doc_id", F.round("total", 6).alias("total"))
 
 

@@ -28,6 +28,7 @@ def load_all() -> None:
     from tessera.plans import (  # noqa: F401
         q_fits,
         q_models,
+        q_ratings,
         q_reshape,
         q_text,
         q_vectors,

@@ -35,7 +35,6 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("TESSERA_DRIVER_MEMORY", "16g"))
-        .config("spark.sql.legacy.javaCharsets", "true")
         .config("spark.ui.showConsoleProgress", "false")
     )
     spark = builder.getOrCreate()

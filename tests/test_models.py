@@ -227,3 +227,50 @@ def test_arrays_of_differing_length_are_an_error(spark):
     df = spark.createDataFrame([([1.0, 2.0],), ([1.0, 2.0, 3.0],)], "v array<double>")
     with pytest.raises(ValueError):
         decompose.array_gram(df, "v")
+
+
+def test_poisson_weights_equal_the_bootstrap_expression(spark):
+    from tessera.operators.split import bootstrap, poisson_weights
+
+    keys = [0, 1, 7, 2**31, 2**40 + 3, 123456789]
+    rows = bootstrap(spark.createDataFrame([(k,) for k in keys], "k long"), "k", 12, seed=3).collect()
+    want = np.zeros((len(keys), 12), int)
+    for r in rows:
+        want[keys.index(r["k"]), r["bag"] - 1] = r["w"]
+    assert np.array_equal(poisson_weights(keys, 12, seed=3), want)
+
+
+def test_fold_fits_hold_one_copy_of_the_rows(spark):
+    """Persisted rows don't grow with the number of models, and odd rows are in none of them."""
+    rng = np.random.default_rng(4)
+    rows = [(int(i % 6), 1.0, float(a), float(b), float(a + b + e > 0)) for i, (a, b, e) in enumerate(rng.normal(size=(600, 3)))]
+    odd = [(0, 1.0, None, 1.0, 1.0), (1, 1.0, 1.0, 1.0, None), (None, 1.0, 1.0, 1.0, 1.0)]
+    schema = "f int, c double, a double, b double, y double"
+    df = spark.createDataFrame(rows + odd, schema).repartition(3)
+    seen = []
+    persist = type(df).persist
+    try:
+        type(df).persist = lambda self, *a: (seen.append(self.count()), persist(self, *a))[1]
+        w, _ = logistic.logistic_steps(df, ["c", "a", "b"], "y", reg=0.5, fold="f", folds=range(6), include_all=True, conv_norm=1e-8)
+    finally:
+        type(df).persist = persist
+    assert seen == [len(rows) + len(odd)]
+    for m in [0, 5]:
+        alone, _ = logistic.logistic_steps(spark.createDataFrame([r for r in rows if r[0] != m], schema), ["c", "a", "b"], "y", reg=0.5, conv_norm=1e-8)
+        assert np.allclose(w[m], alone[None], atol=1e-9)
+    whole, _ = logistic.logistic_steps(spark.createDataFrame(rows, schema), ["c", "a", "b"], "y", reg=0.5, conv_norm=1e-8)
+    assert np.allclose(w[-1], whole[None], atol=1e-9)
+
+
+def test_bagging_reads_its_rows_once(spark):
+    from tessera.operators.linear import bagged_grams
+    from tessera.operators.split import bootstrap
+    from tessera.operators.stats import gram
+
+    rng = np.random.default_rng(5)
+    rows = [(i, 1.0, float(a), float(2 * a + e)) for i, (a, e) in enumerate(rng.normal(size=(300, 2)))] + [(None, 1.0, 1.0, 1.0), (900, 1.0, None, 1.0)]
+    df = spark.createDataFrame(rows, "k long, c double, a double, y double").repartition(4)
+    got = bagged_grams(df, ["c", "a"], "y", "k", 9, seed=2)
+    want = gram(bootstrap(df.filter("k is not null"), "k", 9, 2), ["c", "a"], "y", by=["bag"], weight="w")
+    for b in range(9):
+        assert np.allclose(got[b].xx, want[(b + 1,)].xx) and np.allclose(got[b].xy, want[(b + 1,)].xy)

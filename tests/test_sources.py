@@ -98,3 +98,37 @@ def test_sinks_and_params(spark):
     files.save_params(spark, os.path.join(d, "params"), "ridge", {"coef": np.array([1.0, 2.5]), "lam": 3.0})
     p = files.load_params(spark, os.path.join(d, "params"), "ridge")
     assert np.allclose(p["coef"], [1.0, 2.5]) and np.allclose(p["lam"], [3.0])
+
+
+def test_any_encoding_in_a_plain_session(spark, tmp_path):
+    assert spark.conf.get("spark.sql.legacy.javaCharsets", "false") == "false"
+    rows = [("日期", "測項"), ("2014/1/1", '"PM2.5, 細"'), ("", ""), ("2014/1/2", "許功蓋")]
+    for name in ("a.csv", "b.csv"):
+        (tmp_path / name).write_bytes("\r\n".join(",".join(r) if any(r) else "" for r in rows).encode("big5"))
+    got = files.read_string_csv(spark, str(tmp_path), encoding="big5")
+    assert got.columns == ["日期", "測項"]
+    assert sorted(map(tuple, got.collect())) == sorted([("2014/1/1", "PM2.5, 細"), ("2014/1/2", "許功蓋")] * 2)
+    (tmp_path / "c").mkdir()
+    (tmp_path / "c" / "x.dat").write_bytes("1::Ünïcode::2.5\n2::x::\n".encode("cp1252"))
+    typed = files.read_table_csv(spark, str(tmp_path / "c"), "id int, t string, v double", sep="::", encoding="cp1252", header=False)
+    assert sorted(map(tuple, typed.collect())) == [(1, "Ünïcode", 2.5), (2, "x", None)]
+    block = files.read_block_csv(spark, str(tmp_path / "c"), ["all"], encoding="cp1252")
+    assert block.columns == ["all"] and block.count() == 2
+    bad = tmp_path / "bad.txt"
+    bad.write_bytes(b"ok\n\xff\xff\n")
+    assert [r["value"] for r in files.decoded_lines(spark, str(bad), "big5").collect()] == ["ok", "��"]
+
+
+def test_images_are_widened_in_linear_time_and_broken_files_stay(spark, tmp_path):
+    import time
+
+    big = os.urandom(1 << 20)
+    df = spark.createDataFrame([(1, bytearray(big)), (2, None), (3, bytearray(b""))], "id int, d binary")
+    files.image_bytes_to_pixels(df, "d", "p").count()
+    t = time.time()
+    got = {r["id"]: r["n"] for r in files.image_bytes_to_pixels(df, "d", "p").selectExpr("id", "aggregate(p, 0L, (a, x) -> a + x) n").collect()}
+    assert got == {1: sum(big), 2: None, 3: 0}
+    assert time.time() - t < 5
+    (tmp_path / "broken.png").write_bytes(b"no image")
+    row = files.read_image_dir(spark, str(tmp_path)).first()
+    assert row["origin"].endswith("broken.png") and row["error"] and row["pixels"] is None and row["height"] is None
