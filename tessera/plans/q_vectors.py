@@ -79,45 +79,64 @@ def q_argmax(spark, d):
     return emb(spark, d).select("vec_id", S.argmax("embedding").alias("am"))
 
 
-@query("q_class_cov", "A4, A5, A7", """
-WITH x AS (SELECT label, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1 FROM embeddings)
-SELECT label, COUNT(*) AS n, round(avg(x0), 9) AS mean_0, round(avg(x1), 9) AS mean_1,
-       round(covar_samp(x0, x0), 9) AS cov_00, round(covar_samp(x0, x1), 9) AS cov_01,
-       round(covar_samp(x1, x1), 9) AS cov_11
-FROM x GROUP BY label
+#: Pairs i <= j of all 64 values of each embedding.
+_PAIRS_SQL = """u AS (SELECT vec_id, label, unnest(range(len(embedding))) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+pairs AS (SELECT a.label, a.i, b.i AS j, a.v AS x, b.v AS y FROM u a JOIN u b ON a.vec_id = b.vec_id AND a.i <= b.i)"""
+
+
+def _wide(spark, d, *keep):
+    """Embedding values as columns e0 .. e63, in doubles."""
+    names = [f"e{i}" for i in range(64)]
+    return emb(spark, d).select(*keep, *[F.col("embedding")[i].cast("double").alias(n) for i, n in enumerate(names)]), names
+
+
+@query("q_class_cov", "A4, A5, A7 (all 64 values)", f"""
+WITH {_PAIRS_SQL}
+SELECT label, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, COUNT(*) AS n, round(avg(x), 9) AS mean_i, round(avg(y), 9) AS mean_j,
+       round(covar_samp(x, y), 9) AS cov FROM pairs GROUP BY label, i, j
 """)
 def q_class_cov(spark, d):
-    x = emb(spark, d).select("label", F.col("embedding")[0].cast("double").alias("x0"),
-                             F.col("embedding")[1].cast("double").alias("x1"))
-    pri = stats.class_priors(x, "label")
-    means = stats.class_means(x, ["x0", "x1"], "label").select(
-        "label", F.round("x0", 9).alias("mean_0"), F.round("x1", 9).alias("mean_1"))
-    cov = stats.covariance_sql(x, ["x0", "x1"], ["label"]).select(
-        "label", *[F.round(f"cov_{p}", 9).alias(f"cov_{p}") for p in ["00", "01", "11"]])
-    return pri.join(means, "label").join(cov, "label")
+    x, names = _wide(spark, d, "label")
+    rows = []
+    for key, g in stats.centred_gram(x, names, by=["label"]).items():
+        mean, cov = g.mean(), g.covariance(1)
+        rows += [(key[0], i, j, int(g.n), *(round(float(v), 9) for v in (mean[i], mean[j], cov[i, j]))) for i in range(64) for j in range(i, 64)]
+    return spark.createDataFrame(rows, "label int, i int, j int, n bigint, mean_i double, mean_j double, cov double")
 
 
-@query("q_gaussian_score", "M12, M14", """
-WITH d AS (SELECT vec_id, CAST(embedding[1] AS DOUBLE) AS x0, CAST(embedding[2] AS DOUBLE) AS x1,
-                  CAST(label >= 5 AS INTEGER) AS y FROM embeddings),
-m AS (SELECT avg(x0) FILTER (WHERE y = 0) AS m00, avg(x1) FILTER (WHERE y = 0) AS m01,
-             avg(x0) FILTER (WHERE y = 1) AS m10, avg(x1) FILTER (WHERE y = 1) AS m11,
-             CAST(count(*) FILTER (WHERE y = 0) AS DOUBLE) AS n0, CAST(count(*) FILTER (WHERE y = 1) AS DOUBLE) AS n1,
-             var_samp(x0) AS s00, covar_samp(x0, x1) AS s01, var_samp(x1) AS s11 FROM d),
-w AS (SELECT *, s00 * s11 - s01 * s01 AS det FROM m),
-p AS (SELECT (s11 * (m10 - m00) - s01 * (m11 - m01)) / det AS w0,
-             (s00 * (m11 - m01) - s01 * (m10 - m00)) / det AS w1,
-             -0.5 * ((m10 * (s11 * m10 - s01 * m11) + m11 * (s00 * m11 - s01 * m10)) / det
-                   - (m00 * (s11 * m00 - s01 * m01) + m01 * (s00 * m01 - s01 * m00)) / det) + ln(n1 / n0) AS b
-      FROM w)
-SELECT vec_id, round(1.0 / (1.0 + exp(-(b + x0 * w0 + x1 * w1))), 6) AS p1 FROM d, p
+@query("q_class_means", "A4, A5 (aggregates)", """
+SELECT label, COUNT(*) AS n, round(avg(CAST(embedding[1] AS DOUBLE)), 9) AS mean_0, round(avg(CAST(embedding[64] AS DOUBLE)), 9) AS mean_63,
+       round(covar_samp(CAST(embedding[1] AS DOUBLE), CAST(embedding[64] AS DOUBLE)), 9) AS cov_01 FROM embeddings GROUP BY label
+""")
+def q_class_means(spark, d):
+    """The SQL forms of the class statistics, which take a few named columns: the first and last value."""
+    x = emb(spark, d).select("label", F.col("embedding")[0].cast("double").alias("x0"), F.col("embedding")[63].cast("double").alias("x1"))
+    means = stats.class_means(x, ["x0", "x1"], "label").select("label", F.round("x0", 9).alias("mean_0"), F.round("x1", 9).alias("mean_63"))
+    cov = stats.covariance_sql(x, ["x0", "x1"], ["label"]).select("label", F.round("cov_01", 9).alias("cov_01"))
+    return stats.class_priors(x, "label").join(means, "label").join(cov, "label")
+
+
+@query("q_gaussian_score", "M12, M14 (all 64 values)", """
+WITH RECURSIVE
+u AS (SELECT vec_id, CAST(label >= 5 AS INTEGER) AS y, unnest(range(64)) AS i, CAST(unnest(embedding) AS DOUBLE) AS v FROM embeddings),
+mu AS MATERIALIZED (SELECT i, avg(v) FILTER (WHERE y = 0) AS m0, avg(v) FILTER (WHERE y = 1) AS m1 FROM u GROUP BY i),
+n AS (SELECT ln(CAST(count(*) FILTER (WHERE label >= 5) AS DOUBLE) / count(*) FILTER (WHERE label < 5)) AS prior FROM embeddings),
+cov AS MATERIALIZED (SELECT a.i, b.i AS j, covar_samp(a.v, b.v) AS s FROM u a JOIN u b ON a.vec_id = b.vec_id GROUP BY a.i, b.i),
+-- Gauss-Jordan on [S | m1 - m0 | m1 | m0]
+g(k, i, row) AS (
+  SELECT 0, cov.i, list_concat(list(s ORDER BY j), [any_value(m1 - m0), any_value(m1), any_value(m0)]) FROM cov JOIN mu ON mu.i = cov.i GROUP BY cov.i
+  UNION ALL
+  SELECT a.k + 1, a.i, CASE WHEN a.i = a.k THEN list_transform(a.row, lambda v: v / p.row[a.k + 1])
+    ELSE list_transform(range(1, len(a.row) + 1), lambda c: a.row[c] - a.row[a.k + 1] / p.row[a.k + 1] * p.row[c]) END
+  FROM g a JOIN g p ON p.k = a.k AND p.i = a.k WHERE a.k < 64),
+w AS MATERIALIZED (SELECT g.i, row[65] AS w, -0.5 * (mu.m1 * row[66] - mu.m0 * row[67]) AS part FROM g JOIN mu ON mu.i = g.i WHERE k = 64),
+z AS (SELECT vec_id, sum(v * w) AS z FROM u JOIN w USING (i) GROUP BY vec_id)
+SELECT vec_id, round(1.0 / (1.0 + exp(-(z + (SELECT sum(part) FROM w) + prior))), 6) AS p1 FROM z, n
 """)
 def q_gaussian_score(spark, d):
-    x = emb(spark, d).select("vec_id", F.col("embedding")[0].cast("double").alias("x0"),
-                             F.col("embedding")[1].cast("double").alias("x1"),
-                             (F.col("label") >= 5).cast("int").alias("y"))
-    model = fit_gaussian(x, ["x0", "x1"], "y", shared=True)
-    return predict_gaussian(x, ["x0", "x1"], model).select("vec_id", F.round("p1", 6).alias("p1"))
+    x, names = _wide(spark, d, "vec_id", (F.col("label") >= 5).cast("int").alias("y"))
+    model = fit_gaussian(x, names, "y", shared=True)
+    return predict_gaussian(x, names, model).select("vec_id", F.round("p1", 6).alias("p1"))
 
 
 @query("q_mean_vector", "A19", """
@@ -225,19 +244,44 @@ def q_gaussian_own2(spark, d):
     return predict_gaussian(x, ["x0", "x1"], model).select("vec_id", F.round("p1", 6).alias("p1"))
 
 
-@query("q_gram_wide", "A6 (per-partition NumPy path), A7", """
-WITH u AS (SELECT vec_id, label, unnest(range(12)) AS i, unnest(embedding[1:12]) AS v FROM embeddings),
-pairs AS (SELECT a.label, a.i, b.i AS j, SUM(CAST(a.v AS DOUBLE) * CAST(b.v AS DOUBLE)) AS s
-          FROM u a JOIN u b ON a.vec_id = b.vec_id AND a.i <= b.i GROUP BY a.label, a.i, b.i)
-SELECT label, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(s, 9) AS xx FROM pairs
+@query("q_gram_wide", "A6 (per-partition NumPy path, all 64 values), A7", f"""
+WITH {_PAIRS_SQL}
+SELECT label, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j, round(SUM(x * y), 9) AS xx FROM pairs GROUP BY label, i, j
 """)
 def q_gram_wide(spark, d):
-    from tessera.operators import stats
-
-    x = emb(spark, d).select("label", *[F.col("embedding")[i].cast("double").alias(f"e{i}") for i in range(12)])
-    # 12 features: above the SQL threshold, so partitions build X'X with NumPy and the
-    # per-partition matrices are summed in two levels
-    g = stats.gram(x, [f"e{i}" for i in range(12)], by=["label"])
-    rows = [(int(key[0]), i, j, round(float(m.xx[i, j]), 9))
-            for key, m in g.items() for i in range(12) for j in range(i, 12)]
+    x, names = _wide(spark, d, "label")
+    # above the SQL threshold, so partitions build X'X with NumPy and the per-partition matrices
+    # are summed in two levels
+    g = stats.gram(x, names, by=["label"])
+    rows = [(int(key[0]), i, j, round(float(m.xx[i, j]), 9)) for key, m in g.items() for i in range(64) for j in range(i, 64)]
     return spark.createDataFrame(rows, "label int, i int, j int, xx double")
+
+
+@query("q_gaussian_own_wide", "M13, M14 (own covariances, all 64 values)", """
+WITH RECURSIVE
+e AS (SELECT vec_id, CAST(label >= 5 AS INTEGER) AS y, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS MATERIALIZED (SELECT vec_id, y, unnest(range(64)) AS i, unnest(x) AS v FROM e),
+mu AS MATERIALIZED (SELECT y, list(m ORDER BY i) AS m FROM (SELECT y, i, avg(v) AS m FROM u GROUP BY y, i) t GROUP BY y),
+n AS (SELECT y, CAST(count(*) AS DOUBLE) AS n FROM e GROUP BY y),
+cov AS MATERIALIZED (SELECT a.y, a.i, b.i AS j, covar_samp(a.v, b.v) AS s FROM u a JOIN u b ON a.vec_id = b.vec_id GROUP BY a.y, a.i, b.i),
+-- Gauss-Jordan on [S | 1] of each class; piv is the logarithm of a row's pivot
+g(k, y, i, row, piv) AS (
+  SELECT 0, y, i, list_concat(list(s ORDER BY j), list_transform(range(64), lambda c: CASE WHEN c = i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)), 0.0::DOUBLE
+  FROM cov GROUP BY y, i
+  UNION ALL
+  SELECT a.k + 1, a.y, a.i, CASE WHEN a.i = a.k THEN list_transform(a.row, lambda v: v / p.row[a.k + 1])
+    ELSE list_transform(range(1, 129), lambda c: a.row[c] - a.row[a.k + 1] / p.row[a.k + 1] * p.row[c]) END,
+    CASE WHEN a.i = a.k THEN ln(p.row[a.k + 1]) ELSE a.piv END
+  FROM g a JOIN g p ON p.k = a.k AND p.y = a.y AND p.i = a.k WHERE a.k < 64),
+inv AS MATERIALIZED (SELECT y, i, row[65:128] AS r, piv FROM g WHERE k = 64),
+ld AS (SELECT y, sum(piv) AS ld FROM inv GROUP BY y),
+dev AS MATERIALIZED (SELECT e.vec_id, mu.y, list_transform(range(1, 65), lambda c: e.x[c] - mu.m[c]) AS d FROM e, mu),
+q AS (SELECT dev.vec_id, dev.y, sum(d[inv.i + 1] * list_dot_product(d, inv.r)) AS q FROM dev JOIN inv ON inv.y = dev.y GROUP BY 1, 2),
+t AS (SELECT vec_id, sum(CASE WHEN q.y = 1 THEN 1 ELSE -1 END * (ln(n.n) - 0.5 * ld.ld - 0.5 * q.q)) AS z
+      FROM q JOIN ld ON ld.y = q.y JOIN n ON n.y = q.y GROUP BY vec_id)
+SELECT vec_id, round(1.0 / (1.0 + exp(-z)), 6) AS p1 FROM t
+""")
+def q_gaussian_own_wide(spark, d):
+    x, names = _wide(spark, d, "vec_id", (F.col("label") >= 5).cast("int").alias("y"))
+    model = fit_gaussian(x, names, "y", shared=False)
+    return predict_gaussian(x, names, model).select("vec_id", F.round("p1", 6).alias("p1"))
