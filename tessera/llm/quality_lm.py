@@ -8,7 +8,7 @@ back-off weights, and so the log probability of every n-gram needed. The distinc
 by their hash into lots of about `LOT_CHARS` characters. A lot's distinct n-grams are joined with
 the table, and the lot's texts are summed with the rows that come back; so the table is
 neither collected nor broadcast and may have any size, and a task holds one lot and its n-grams. A
-task sends each text once, and rows get the perplexity of their text by its hash (128 bits). A single
+task sends each text once, its texts of a lot as one Zstandard block, and rows get the perplexity of their text by its hash (128 bits). A single
 text longer than a lot is a lot of its own.
 
 A row is kept if its perplexity lies between two quantiles of the trusted rows of its language
@@ -27,6 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,10 @@ from tessera.llm._spark import hot_lookup, stored
 
 ORDER = 4
 LOT_CHARS = 4_000_000
+#: Text that a task holds (in bytes) before it packs and sends it.
+PACK_BYTES = 1 << 25
+#: Cuts of at most so many languages are broadcast.
+BROADCAST_LANGUAGES = 10_000
 SLICE_CHARS = 1 << 20
 #: Trusted ids up to this many go to the documents as a broadcast; more are joined by shuffle.
 BROADCAST_IDS = 4_000_000
@@ -123,13 +128,18 @@ def log_probabilities(counted: DataFrame) -> DataFrame:
             counts = stored(counts.groupBy(_suffix("g", order - 1).alias("g")).agg(F.count("*").alias("c")), f"order{order - 1}")
     for order, own, contexts in reversed(levels):
         code = _suffix("g", order)
-        out = out.withColumn("code", code).withColumn("h", _context(F.col("code")) if order > 1 else F.lit(0).cast("long"))
+        out = out.withColumn("code", code)
         own, contexts = own.withColumnRenamed("g", "code"), contexts.select("h", "total", "back")
-        if order <= 2:  # one row a symbol at most for contexts, and for order 1 for grams: at most SYMBOLS rows
-            contexts = F.broadcast(contexts)
-        if order == 1:
+        if order == 1:  # single symbols have one context, the empty one, and at most SYMBOLS rows
+            only = contexts.first()
+            total, back = (only["total"], only["back"]) if only else (None, None)
+            out = out.withColumn("total", F.lit(total).cast("double")).withColumn("back", F.lit(back).cast("double"))
             own = F.broadcast(own)
-        out = out.join(contexts, "h", "left").join(own, "code", "left")
+        else:
+            if order == 2:  # one row a symbol at most
+                contexts = F.broadcast(contexts)
+            out = out.withColumn("h", _context(F.col("code"))).join(contexts, "h", "left")
+        out = out.join(own, "code", "left")
         lower = F.lit(1.0 / SYMBOLS) if p is None else F.col("p")
         seen = F.coalesce(F.col("above"), F.lit(0.0)) / F.col("total") + F.col("back") * lower
         out = out.select("g", F.when(F.col("total").isNull(), lower).otherwise(seen).alias("p"))
@@ -144,44 +154,68 @@ def _mark_trusted(docs: DataFrame, trusted_ids: DataFrame) -> DataFrame:
     return docs.join(ids, "doc_id", "left").withColumn("trusted", F.coalesce("trusted", F.lit(0)).cast("double"))
 
 
-def _texts_by_lot(rows: DataFrame, lots: int) -> DataFrame:
-    """k1, k2, text, lot: the texts that are not empty, each once a task."""
+def _packed(held: dict[int, list[tuple[int, int, bytes]]]) -> pa.RecordBatch:
+    """A row a lot: its texts' keys and byte lengths, and the texts as one Zstandard block."""
+    pack = zstandard.ZstdCompressor(level=3).compress
+    keys = [np.array([(k1, k2, len(t)) for k1, k2, t in rows], "<i8").tobytes() for rows in held.values()]
+    bodies = [pack(b"".join(t for _, _, t in rows)) for rows in held.values()]
+    return pa.RecordBatch.from_arrays([pa.array(list(held), pa.int64()), pa.array(keys, pa.binary()), pa.array(bodies, pa.binary())], names=["lot", "keys", "body"])
 
-    def run(batches):
-        seen = set()
-        for batch in batches:
-            keep = []
-            for r, key in enumerate(zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)):
-                if key not in seen:
-                    seen.add(key)
-                    keep.append(r)
-            yield batch.take(pa.array(keep, pa.int64()))
 
-    texts = rows.filter(F.length("text") > 0).select("k1", "k2", "text").mapInArrow(run, "k1 long, k2 long, text string")
-    return texts.withColumn("lot", F.pmod("k2", F.lit(lots)))
+def _unpacked(packs: pa.Table) -> Iterator[tuple[list[tuple[int, int]], list[str]]]:
+    """Keys and texts of a lot, in slices of about SLICE_CHARS bytes or one text."""
+    for keys, body in zip(packs.column("keys"), packs.column("body"), strict=True):
+        rows = np.frombuffer(keys.as_py(), "<i8").reshape(-1, 3)
+        text = memoryview(zstandard.ZstdDecompressor().decompress(body.as_py()))
+        names, held, at, sent = [], [], 0, 0
+        for k1, k2, n in rows.tolist():
+            names.append((k1, k2))
+            held.append(str(text[at : at + n], "utf-8"))
+            at += n
+            if at - sent >= SLICE_CHARS or at == len(text):
+                yield names, held
+                names, held, sent = [], [], at
 
 
-def _grams(texts: pa.Table) -> pa.Table:
-    found = [np.zeros(0, np.uint64)]
-    for batch in texts.to_batches():
-        found += [np.unique(gram_codes(held)[0]) for _, held in _text_slices(batch)]
+def _texts_by_lot(rows: DataFrame, lots: int) -> DataFrame:
+    """lot, keys, body: the texts that are not empty, each once a task, packed by lot."""
+
+    def run(batches):
+        seen, held, size = set(), {}, 0
+        for batch in batches:
+            keys = zip(batch.column("k1").to_pylist(), batch.column("k2").to_pylist(), strict=True)
+            for key, text in zip(keys, batch.column("text"), strict=True):
+                if key in seen:
+                    continue
+                seen.add(key)
+                body = text.as_buffer().to_pybytes()
+                held.setdefault(key[1] % lots, []).append((*key, body))
+                size += len(body)
+                if size >= PACK_BYTES:
+                    yield _packed(held)
+                    held, size = {}, 0
+        if held:
+            yield _packed(held)
+
+    return rows.filter(F.length("text") > 0).select("k1", "k2", "text").mapInArrow(run, "lot long, keys binary, body binary")
+
+
+def _grams(packs: pa.Table) -> pa.Table:
+    found = [np.zeros(0, np.uint64)] + [np.unique(gram_codes(held)[0]) for _, held in _unpacked(packs)]
     g = np.unique(np.concatenate(found))
-    return pa.table({"lot": pa.array(np.full(len(g), texts.column("lot")[0].as_py(), np.int64)), "g": g.view(np.int64)})
+    return pa.table({"lot": pa.array(np.full(len(g), packs.column("lot")[0].as_py(), np.int64)), "g": g.view(np.int64)})
 
 
-def _sums(texts: pa.Table, probabilities: pa.Table) -> pa.Table:
+def _sums(packs: pa.Table, probabilities: pa.Table) -> pa.Table:
     grams, lp = probabilities.column("g").to_numpy().view(np.uint64), probabilities.column("lp").to_numpy()
     order = np.argsort(grams)
     grams, lp = grams[order], lp[order]
     out: dict[tuple[int, int], tuple[int, float]] = {}
-    for batch in texts.to_batches():
-        k1, k2 = batch.column("k1").to_pylist(), batch.column("k2").to_pylist()
-        for lo, held in _text_slices(batch):
-            codes, bounds = gram_codes(held)
-            # each text has a character at least; its sum is of its own values only, whatever its lot
-            sums = np.add.reduceat(lp[np.searchsorted(grams, codes)], bounds[:-1])
-            for r, (chars, total) in enumerate(zip(np.diff(bounds).tolist(), sums.tolist(), strict=True), lo):
-                out[k1[r], k2[r]] = chars, total
+    for names, held in _unpacked(packs):
+        codes, bounds = gram_codes(held)
+        # each text has a character at least; its sum is of its own values only, whatever its lot
+        sums = np.add.reduceat(lp[np.searchsorted(grams, codes)], bounds[:-1])
+        out.update(zip(names, zip(np.diff(bounds).tolist(), sums.tolist(), strict=True), strict=True))
     columns = zip(*[(*key, *value) for key, value in out.items()], strict=True) if out else [[]] * 4
     kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64())
     return pa.table([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["k1", "k2", "chars", "lp"])
@@ -210,10 +244,11 @@ def classify(docs: DataFrame, trusted_ids: DataFrame, quantiles: tuple[float, fl
     scored = stored(perplexities(docs, trusted_ids), "perplexities").withColumn("key", F.coalesce("lang", F.lit("\0")))
     known = scored.filter("trusted > 0 and perplexity is not null")
     cut = F.percentile_approx("perplexity", F.array(*[F.lit(q) for q in quantiles]), F.lit(10_000))
-    by_lang = known.groupBy("key").agg(cut.alias("cuts"))
+    by_lang = stored(known.groupBy("key").agg(cut.alias("cuts")), "cuts")
+    if by_lang.count() <= BROADCAST_LANGUAGES:  # beyond it a join by shuffle, where a hot language's stored rows are split
+        by_lang = F.broadcast(by_lang)
     overall = known.agg(cut.alias("all_cuts")).first()["all_cuts"]
     fallback = F.array(*[F.lit(x) for x in overall]) if overall else F.lit(None).cast("array<double>")
-    # one row a language: the optimiser broadcasts it only if it is measured to be small
     out = scored.join(by_lang, "key", "left").withColumn("cuts", F.coalesce("cuts", fallback))
     keep = F.coalesce((F.col("perplexity") >= F.col("cuts")[0]) & (F.col("perplexity") <= F.col("cuts")[1]), F.lit(False))
     return out.select("doc_id", "lang", "perplexity", F.col("cuts")[0].alias("low"), F.col("cuts")[1].alias("high"), keep.alias("keep"))

@@ -188,6 +188,22 @@ def test_seekable_file_reads_only_what_is_asked_for(tmp_path):
 # 4 quality -----------------------------------------------------------------------------------
 
 
+def test_packed_texts_come_back_in_slices(monkeypatch):
+    monkeypatch.setattr(quality_lm, "SLICE_CHARS", 10)
+    texts = ["é" * 30, "a", "bc", "\U0001f600" * 4, "x" * 9, "y"]
+    held = {3: [(-k, k, t.encode()) for k, t in enumerate(texts)]}
+    slices = list(quality_lm._unpacked(pa.Table.from_batches([quality_lm._packed(held), quality_lm._packed({3: [(7, 8, b"z")]})])))
+    assert [t for _, part in slices for t in part] == [*texts, "z"]
+    assert [n for names, _ in slices for n in names] == [*[(-k, k) for k in range(6)], (7, 8)]
+    assert len(slices) > 3
+
+
+def test_quality_of_no_documents(llm_spark):
+    docs = llm_spark.createDataFrame([], "doc_id long, text string, lang string")
+    trusted = llm_spark.createDataFrame([], "doc_id long")
+    assert quality_lm.classify(docs, trusted).collect() == []
+
+
 def test_perplexity_is_that_of_interpolated_kneser_ney(llm_spark):
     rng = random.Random(1)
     texts = ["".join(rng.choice("abc d") for _ in range(rng.randrange(1, 80))) for _ in range(60)]
