@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions import scalar as S
+from tessera.operators.ranges import with_range
 
 
 def _apply(df: DataFrame, cols: Sequence[str], fn) -> DataFrame:
@@ -50,25 +51,26 @@ def filter_contrast(df: DataFrame, col: str, min_range: float = 50) -> DataFrame
     return df.filter(S.contrast(col) > min_range)
 
 
-def with_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id", start: int = 1) -> DataFrame:
+def with_row_id(df: DataFrame, order: Sequence[str], name: str = "row_id", start: int = 1,
+                ranges: int | None = None) -> DataFrame:
     """Dense 1-based (or ``start``-based) row numbers in ``order`` (C12), without a
-    single-partition window: range-sort, number rows inside each partition, and add
-    the row count of all earlier partitions (one small row per partition)."""
-    ordered = df.orderBy(*order).withColumn("__pid", F.spark_partition_id()) \
-        .withColumn("__mid", F.monotonically_increasing_id())
-    ordered = ordered.persist()
-    counts = ordered.groupBy("__pid").agg(F.count(F.lit(1)).alias("__n"))
+    single-partition window: rows are dealt to ranges by literal bounds, numbered inside
+    their range, and the row count of all earlier ranges is added (one small row per range).
+
+    Nulls come first; rows tied in ``order`` are numbered by a hash of the whole row, so the
+    numbers depend on the rows alone and survive lost executors. An empty table stays empty.
+    """
     from pyspark.sql import Window
 
-    offsets = counts.select(
-        "__pid",
-        (F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1))).alias("__off"),
-    )
-    # one row per partition: bounded by the partition count, safe to broadcast
-    out = ordered.join(F.broadcast(offsets), "__pid")
-    local = F.col("__mid") - F.shiftleft(F.col("__pid").cast("long"), 33)
-    return out.withColumn(name, F.coalesce(F.col("__off"), F.lit(0)) + local + F.lit(start)) \
-        .drop("__pid", "__mid", "__off")
+    ranged = with_range(df, order, ranges)
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranged.groupBy("__range").agg(F.count(F.lit(1)).alias("__n")) \
+        .select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__off"))
+    inside = F.row_number().over(Window.partitionBy("__range").orderBy("__key"))
+    # one row per range: bounded by MAX_RANGES, safe to broadcast
+    out = ranged.withColumn("__local", inside).join(F.broadcast(offsets), "__range")
+    return out.withColumn(name, F.col("__off") + F.col("__local") + F.lit(start - 1)) \
+        .drop("__range", "__key", "__local", "__off")
 
 
 def split_at(df: DataFrame, n: int, order: Sequence[str], name: str = "row_id"):

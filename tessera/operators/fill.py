@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import c
+from tessera.operators.ranges import with_range
 
 
 def add_lags(df: DataFrame, items: Sequence[str], n: int, part: Sequence[str], order: Sequence[str],
@@ -146,26 +147,28 @@ def repair_zeros(df: DataFrame, cols: Sequence[str], key: str, hour: str, last:
     return out.select(*[F.coalesce(c(n), F.col(f"__k{idx[n]}")).alias(n) if n in idx else c(n) for n in df.columns])
 
 
-def carry_forward_sorted(df: DataFrame, order: str, cols: Sequence[str], exclusive: bool = False) -> DataFrame:
+def carry_forward_sorted(df: DataFrame, order: str, cols: Sequence[str], exclusive: bool = False,
+                         ranges: int | None = None) -> DataFrame:
     """Global forward fill over a table in ``order`` without a one-partition window.
 
-    The table is range-partitioned by the sort; each partition fills locally and
-    hands its last non-missing values (one row per partition) to the partitions
-    after it. With ``exclusive`` a row only sees values strictly before it.
+    Rows are dealt to ranges of the order by literal bounds; each range fills locally and
+    hands its last non-missing values (one row per range) to the ranges after it. With
+    ``exclusive`` a row only sees values strictly before it. Rows tied in ``order`` follow
+    each other by a hash of the whole row.
     """
     cols = list(cols)
-    s = df.orderBy(order).withColumn("__pid", F.spark_partition_id()).persist()
+    s = with_range(df, [order], ranges)
     hi = -1 if exclusive else 0
-    w_in = Window.partitionBy("__pid").orderBy(order).rowsBetween(Window.unboundedPreceding, hi)
-    local = s.select(*[c(n) for n in df.columns], "__pid",
+    w_in = Window.partitionBy("__range").orderBy("__key").rowsBetween(Window.unboundedPreceding, hi)
+    local = s.select(*[c(n) for n in df.columns], "__range",
                      *[F.last(c(x), ignorenulls=True).over(w_in).alias(f"__l{i}") for i, x in enumerate(cols)])
-    per_pid = s.groupBy("__pid").agg(*[F.max_by(c(x), F.when(c(x).isNotNull(), F.col(order))).alias(f"__p{i}")
+    edges = s.groupBy("__range").agg(*[F.max_by(c(x), F.when(c(x).isNotNull(), F.col("__key"))).alias(f"__p{i}")
                                        for i, x in enumerate(cols)])
-    wp = Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
-    # one row per partition: bounded, broadcast
-    carry = per_pid.select("__pid", *[F.last(f"__p{i}", ignorenulls=True).over(wp).alias(f"__c{i}")
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    # one row per range: bounded by MAX_RANGES, broadcast
+    carry = edges.select("__range", *[F.last(f"__p{i}", ignorenulls=True).over(before).alias(f"__c{i}")
                                       for i in range(len(cols))])
-    out = local.join(F.broadcast(carry), "__pid", "left")
+    out = local.join(F.broadcast(carry), "__range", "left")
     idx = {x: i for i, x in enumerate(cols)}
     return out.select(*[F.coalesce(F.col(f"__l{idx[n]}"), F.col(f"__c{idx[n]}")).alias(n) if n in idx else c(n)
                         for n in df.columns])
