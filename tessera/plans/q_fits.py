@@ -3,6 +3,8 @@ their properties are tested in tests/test_models.py)."""
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 from pyspark.sql import functions as F
 
@@ -10,9 +12,9 @@ from tessera.functions import scalar as S
 from tessera.operators import cluster, decompose, images, logistic, recsys, semi, text
 from tessera.operators.gaussian import fit_gaussian, predict_gaussian
 from tessera.operators.linear import bagging_curve, fit_bagged
-from tessera.operators.split import bootstrap, with_folds
+from tessera.operators.split import bootstrap, key_hash, with_folds
 from tessera.plans.registry import query
-from tessera.session import table
+from tessera.session import checkpoint_dir, table
 
 
 def _bootstrap_sql() -> str:
@@ -329,6 +331,47 @@ def q_self_train(spark, d):
     return state.select("doc_id", "pool", "label")
 
 
+def _self_train_batches_sql(rounds: int = 3) -> str:
+    """Three rounds, written out: counts per cell, the batch in hash order, the rows that move."""
+    parts = ["""base AS (SELECT doc_id, CAST(floor(n_chars / 50) AS BIGINT) AS cell,
+  CASE WHEN len(string_split(text, ' ')) >= 60 THEN '1' ELSE '0' END AS truth,
+  (CAST(doc_id AS HUGEINT) * 2654435761) % 4294967296 AS h FROM documents WHERE n_chars IS NOT NULL AND text IS NOT NULL),
+size AS (SELECT (count(*) + 1) // 2 AS n FROM base WHERE h % 3 != 0),
+t0 AS (SELECT doc_id, cell, truth AS label, 0 AS round, CAST(NULL AS DOUBLE) AS p0 FROM base WHERE h % 3 = 0)"""]
+    for r in range(1, rounds + 1):
+        parts.append(f"""m{r} AS (SELECT cell, count(*) AS n, count(*) FILTER (WHERE label = '0') AS n0 FROM t{r - 1} GROUP BY cell),
+b{r} AS (SELECT doc_id, cell FROM base WHERE doc_id NOT IN (SELECT doc_id FROM t{r - 1})
+  QUALIFY row_number() OVER (ORDER BY h, doc_id) <= (SELECT n FROM size)),
+s{r} AS (SELECT doc_id, cell, (coalesce(n0, 0) + 1.0::DOUBLE) / (coalesce(n, 0) + 2.0::DOUBLE) AS p0 FROM b{r} LEFT JOIN m{r} USING (cell)),
+t{r} AS (SELECT * FROM t{r - 1} UNION ALL
+  SELECT doc_id, cell, CASE WHEN p0 >= 0.87 THEN '0' ELSE '1' END, {r}, p0 FROM s{r} WHERE p0 >= 0.87 OR p0 <= 1.0::DOUBLE - 0.87::DOUBLE)""")
+    return f"""WITH {", ".join(parts)}
+SELECT b.doc_id, CASE WHEN t.doc_id IS NULL THEN 'semi' ELSE 'train' END AS pool, t.label, t.p0,
+  CASE WHEN t.round > 0 THEN t.round END AS round FROM base b LEFT JOIN t{rounds} t USING (doc_id)"""
+
+
+@query("q_self_train_batches", "M23, M22, U4", _self_train_batches_sql())
+def q_self_train_batches(spark, d):
+    """Whether a text has 60 words, learned from bands of its length: a third of the rows is labelled."""
+    docs = table(spark, d, "documents").filter("n_chars is not null and text is not null")
+    labelled = F.pmod(key_hash("doc_id"), F.lit(3)) == 0
+    long_text = F.when(F.size(F.split("text", " ")) >= 60, "1").otherwise("0")
+    df = docs.select("doc_id", F.floor(F.col("n_chars") / 50).alias("cell"), F.when(labelled, long_text).alias("label"),
+                     F.when(labelled, "train").otherwise("semi").alias("pool"))
+    pool = df.filter("pool = 'semi'").count()
+
+    def fit(train, _):
+        return train.groupBy("cell").agg(F.count("*").alias("n"), F.count(F.when(F.col("label") == "0", 1)).alias("n0"))
+
+    def score(rows, cells):
+        p0 = (F.coalesce("n0", F.lit(0)) + 1.0) / (F.coalesce("n", F.lit(0)) + 2.0)
+        return rows.join(cells, "cell", "left").withColumn("p0", p0).drop("n", "n0")
+
+    log_path = f"{checkpoint_dir(spark)}/self_train_{uuid.uuid4().hex}"
+    state, log, _ = semi.self_train_batches(df, "doc_id", fit, score, (pool + 1) // 2, 3, log_path)
+    return state.join(log.select("doc_id", "p0", "round"), "doc_id", "left").select("doc_id", "pool", "label", "p0", "round")
+
+
 @query("q_denoise", "M25, S11, A10", """
 WITH mm AS (SELECT CAST(min(list_min(embedding)) AS DOUBLE) AS lo, CAST(max(list_max(embedding)) AS DOUBLE) AS hi
             FROM embeddings),
