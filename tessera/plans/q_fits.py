@@ -208,11 +208,44 @@ def q_pca(spark, d):
 @query("q_kmeans", "M16, M17")
 def q_kmeans(spark, d):
     e = table(spark, d, "embeddings")
-    centres, cost, _ = cluster.kmeans_best(e, "embedding", k=3, restarts=3, seed=11)
+    centres, cost, _ = cluster.kmeans_best(e, "embedding", k=3, restarts=10, seed=11)
     return cluster.assign(e, "embedding", centres.tolist()).select("vec_id", "label", "cluster",
                                                                     F.lit(float(cost)).alias("cost"))
 
 
+def _lloyd_sql(restarts: int = 4, k: int = 3, steps: int = 3) -> str:
+    """Lloyd's steps written out: model m starts at the m-th k vectors in the order of their ids."""
+    near = """SELECT model, vec_id, x, cluster, dist FROM (
+    SELECT model, vec_id, x, cluster, list_sum(list_transform(range(1, 65), lambda i: (x[i] - c[i]) * (x[i] - c[i]))) AS dist FROM v, c{s})
+  QUALIFY row_number() OVER (PARTITION BY model, vec_id ORDER BY dist, cluster) = 1"""
+    parts = [f"""v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings WHERE embedding IS NOT NULL),
+r AS (SELECT x, row_number() OVER (ORDER BY vec_id) - 1 AS p FROM v),
+c0 AS MATERIALIZED (SELECT p // {k} AS model, p % {k} AS cluster, x AS c FROM r WHERE p < {restarts * k})"""]
+    for s in range(1, steps + 1):
+        parts.append(f"""n{s} AS MATERIALIZED ({near.format(s=s - 1)}),
+e{s} AS (SELECT model, cluster, i, avg(y) AS a FROM (
+  SELECT model, cluster, unnest(x) AS y, generate_subscripts(x, 1) AS i FROM n{s}) GROUP BY model, cluster, i),
+g{s} AS (SELECT model, cluster, list(a ORDER BY i) AS c FROM e{s} GROUP BY model, cluster),
+c{s} AS MATERIALIZED (SELECT model, cluster, coalesce(g{s}.c, old.c) AS c FROM c{s - 1} old LEFT JOIN g{s} USING (model, cluster))""")
+    parts.append(f"last AS ({near.format(s=steps)})")
+    return f"""WITH {", ".join(parts)}
+SELECT CAST(model AS INTEGER) AS model, CAST(cluster AS INTEGER) AS cluster, count(*) AS n, round(sum(dist), 4) AS cost
+FROM last GROUP BY ALL"""
+
+
+@query("q_lloyd_restarts", "M16", _lloyd_sql())
+def q_lloyd_restarts(spark, d):
+    e = table(spark, d, "embeddings").filter("embedding is not null")
+    first = [r[0] for r in e.orderBy("vec_id").limit(12).select("embedding").collect()]
+    starts = np.array(first, float).reshape(4, 3, -1)
+    vectors = cluster.finite_vectors(e, "embedding")
+    centers, _ = cluster.lloyd(vectors, starts, max_iter=3, tol=-1.0)
+    counts, _, costs = cluster.lloyd_step(vectors, centers)
+    rows = [(m, j, int(counts[m, j]), float(costs[m, j])) for m in range(4) for j in range(3) if counts[m, j]]
+    out = spark.createDataFrame(rows, "model int, cluster int, n long, cost double")
+    return out.withColumn("cost", F.round("cost", 4))
+
+
 @query("q_wide_svd", "M18")
 def q_wide_svd(spark, d):
     e = table(spark, d, "embeddings")
