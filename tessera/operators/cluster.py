@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 from tessera.functions.scalar import c
 from tessera.operators.stats import sum_partition_rows
 
+#: Tasks' sums of at most so many bytes in all go straight to the driver; more are added up by two shuffles first.
+DIRECT_BYTES = 1 << 24
+
 
 def sq_distance(arr, center: Sequence[float]) -> Column:
     """Squared Euclidean distance of an array column to a literal centre."""
@@ -56,7 +59,12 @@ def lloyd_step(vectors: DataFrame, centers: np.ndarray) -> tuple[np.ndarray, np.
         yield pa.RecordBatch.from_pydict({"__i": pa.array(np.arange(models * k), pa.int32()), "__row": total.tolist()})
 
     parts = vectors.mapInArrow(run, "__i int, __row array<double>")
-    sums = sum_partition_rows(parts, [], models * k, d + 2).get((), np.zeros((models * k, d + 2)))
+    if vectors.rdd.getNumPartitions() * models * k * (d + 2) * 8 <= DIRECT_BYTES:
+        sums = np.zeros((models * k, d + 2))
+        for i, row in parts.collect():
+            sums[i] += row
+    else:
+        sums = sum_partition_rows(parts, [], models * k, d + 2).get((), np.zeros((models * k, d + 2)))
     sums = sums.reshape(models, k, d + 2)
     return sums[:, :, 0], sums[:, :, 1:-1], sums[:, :, -1]
 

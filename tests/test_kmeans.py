@@ -19,7 +19,9 @@ def _loop(x, centers, steps):
     return centers, ((x[:, None] - centers[None]) ** 2).sum(axis=2).min(axis=1).sum()
 
 
-def test_models_equal_separate_loops(spark):
+@pytest.mark.parametrize("direct", [0, 1 << 24])
+def test_models_equal_separate_loops(spark, monkeypatch, direct):
+    monkeypatch.setattr(cluster, "DIRECT_BYTES", direct)
     x, df = _points(spark)
     starts = np.stack([x[:4], x[[0, 100, 200, 300]], np.vstack([x[:3], [[1e6, 1e6, 1e6]]])])
     vectors = cluster.finite_vectors(df, "v")
