@@ -6,13 +6,15 @@ loose ones (national phone numbers, spelled-out addresses, digits in odd groupin
 becomes a row of format and context features; gradient-boosted trees score it, and a threshold for
 each kind, calibrated on candidates that the trees have not seen, selects what is added to the base.
 
-The trees are trained here, on the candidates of two thirds of at most `TRAIN_DOCS` distinct texts
-(those with the smallest hash; a parameter). The thresholds come from the candidates of all documents
+The trees are trained here, on at most `TRAIN_ROWS` labelled candidates (those with the smallest hash)
+of two thirds of at most `TRAIN_DOCS` distinct texts (those with the smallest hash); both bounds are
+parameters. The thresholds come from the candidates of all documents
 with another text, counted by kind, score and label where they are read. The label of a candidate is
 weak supervision: 1 if it is a valid strict match of its kind (also without the mark that makes it
 strict: a phone's plus, an address's at sign) or overlaps one; 0 if it overlaps one of another kind or
 fails the check of its kind. The others, which no strict format speaks about, have no label. Model and thresholds are small and broadcast; documents are
-scanned where they are read, in time linear in their length.
+scanned where they are read, in time linear in their length but for looking up each candidate among
+the sorted spans (its logarithm).
 
 Defined cases: null text is empty; a text without candidates has no spans; equal texts have equal
 spans; without training candidates, or if no threshold reaches `PRECISION`, nothing is added to the
@@ -23,6 +25,7 @@ through, but those named like a result column are replaced.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left, insort
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -35,6 +38,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 KINDS = ("email", "ip", "card", "phone")
 TRAIN_DOCS = 4_000
+TRAIN_ROWS = 100_000
 TREES = 60
 DEPTH = 3
 RATE = 0.2
@@ -109,6 +113,27 @@ def _by_place(span: tuple[str, int, int]) -> tuple[int, int, int]:
     return span[1], KINDS.index(span[0]), span[2]
 
 
+class Taken:
+    """Spans in which no two of one group overlap; tells the groups that a further span overlaps."""
+
+    def __init__(self, spans: list[tuple[str, int, int]]):
+        self.groups: dict[str, list[tuple[int, int]]] = {}
+        for group, s, e in spans:
+            self.add(group, s, e)
+
+    def add(self, group: str, s: int, e: int) -> None:
+        insort(self.groups.setdefault(group, []), (s, e))
+
+    def over(self, s: int, e: int) -> set[str]:
+        out = set()
+        for group, spans in self.groups.items():
+            # the spans of a group end in the order of their starts, so the last that starts before e decides
+            at = bisect_left(spans, (e, -1))
+            if at and spans[at - 1][1] > s:
+                out.add(group)
+        return out
+
+
 def candidates(text: str, found: list[tuple[str, int, int, bool]]) -> list[tuple[str, int, int]]:
     """Spans that any generator proposes besides the base."""
     out = {(k, s, e) for k, s, e, ok in found if not ok and e - s >= 7}
@@ -239,8 +264,9 @@ def _labelled(text: str) -> Iterator[tuple[list[float], int]]:
             # a candidate's features reach 24 characters back and 12 ahead
             before = text[max(0, s - 24) : s]
             yield describe(before + span + text[e : e + 12], kind, len(before), len(before) + len(span)), 1
+    taken = Taken(base)
     for kind, s, e in candidates(text, found):
-        over = {k for k, a, z in base if a < e and s < z}
+        over = taken.over(s, e)
         if kind in over:
             yield describe(text, kind, s, e), 1
         elif over or not _passes(kind, text[s:e]):
@@ -262,13 +288,12 @@ def fit(docs: DataFrame, text_col: str = "text") -> Model:
             rows = [row for text in batch.column("text").to_pylist() for row in _labelled(text)]
             yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in rows], pa.list_(pa.float64())), pa.array([y for _, y in rows], pa.int32())], names=["x", "y"])
 
-    rows = texts.filter(seen).dropDuplicates(["order"]).select("text").mapInArrow(run, "x array<double>, y int").collect()
-    if len(rows) < 50:
-        return nothing
+    found = texts.filter(seen).dropDuplicates(["order"]).select("text").mapInArrow(run, "x array<double>, y int")
+    rows = found.orderBy(F.xxhash64("x", "y")).limit(TRAIN_ROWS).collect()
     rows.sort(key=lambda r: (r["y"], r["x"]))
-    x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)
-    if len(np.unique(y)) < 2:
+    if len({r["y"] for r in rows}) < 2:
         return nothing
+    x, y = np.array([r["x"] for r in rows]), np.array([r["y"] for r in rows], float)
     trees = boost(x, y)
     shared = docs.sparkSession.sparkContext.broadcast(trees)
 
@@ -308,45 +333,62 @@ def find(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
-        model = shared.value
-        for whole in batches:
-            for lo in range(0, whole.num_rows, 512):
-                batch = whole.slice(lo, 512)
-                base, x, where = [], [], []
-                for r, text in enumerate(batch.column(text_col).to_pylist()):
-                    found = list(strict(text)) if text else []
-                    base.append(base_spans(found))
-                    if text and model.trees:
-                        for span in candidates(text, found):
-                            x.append(describe(text, *span))
-                            where.append((r, span))
-                added: list[list] = [[] for _ in base]
-                if x:
-                    score = model.trees.probability(np.array(x))
-                    for i in np.argsort(-score, kind="stable").tolist():
-                        r, (kind, s, e) = where[i]
-                        if score[i] >= model.thresholds[KINDS.index(kind)] and all(e <= a or z <= s for _, a, z in base[r] + added[r]):
-                            added[r].append((kind, s, e))
-                every = [sorted(b + a, key=_by_place) for b, a in zip(base, added, strict=True)]
-                columns = {n: batch.column(n) for n in batch.schema.names}
-                for name, spans in (("base_spans", base), ("spans", every)):
-                    columns[name] = pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans], arrow.field(name).type)
-                yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
+        for batch, base, every in _scan(batches, shared.value, text_col):
+            columns = {n: batch.column(n) for n in batch.schema.names}
+            for name, spans in (("base_spans", base), ("spans", every)):
+                columns[name] = pa.array([[{"kind": k, "start": s, "end": e} for k, s, e in x] for x in spans], arrow.field(name).type)
+            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
 
     return kept.mapInArrow(run, schema)
 
 
+def _scan(batches: Iterator[pa.RecordBatch], model: Model, text_col: str) -> Iterator[tuple[pa.RecordBatch, list, list]]:
+    """Batches of a few rows with the base spans and all spans of each."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 512):
+            batch = whole.slice(lo, 512)
+            base, taken, x, where = [], [], [], []
+            for r, text in enumerate(batch.column(text_col).to_pylist()):
+                found = list(strict(text)) if text else []
+                base.append(base_spans(found))
+                taken.append(Taken(base[-1]))
+                if text and model.trees:
+                    for span in candidates(text, found):
+                        x.append(describe(text, *span))
+                        where.append((r, span))
+            added: list[list] = [[] for _ in base]
+            if x:
+                score = model.trees.probability(np.array(x))
+                for i in np.argsort(-score, kind="stable").tolist():
+                    r, (kind, s, e) = where[i]
+                    if score[i] >= model.thresholds[KINDS.index(kind)] and not taken[r].over(s, e):
+                        added[r].append((kind, s, e))
+                        taken[r].add("added", s, e)
+            yield batch, base, [sorted(b + a, key=_by_place) for b, a in zip(base, added, strict=True)]
+
+
+def replaced(text: str | None, spans: list[tuple[str, int, int]]) -> str | None:
+    """The text with every span replaced by its kind in brackets; overlapping spans become one."""
+    if not spans:
+        return text
+    parts, at = [], 0
+    for kind, s, e in spans:
+        # a span that begins inside the one before only lengthens it
+        if s >= at:
+            parts += (text[at:s], "[", kind.upper(), "]")
+        at = max(at, e)
+    return "".join((*parts, text[at:]))
+
+
 def redact(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     """docs with every span replaced by its kind in brackets; overlapping spans become one."""
-    found = find(docs, model, text_col)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
+    arrow = to_arrow_schema(docs.schema)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def step(state, span):
-        # a span that begins inside the one before only lengthens it
-        inside = span["start"] < state["at"]
-        gap = F.substring(F.col(text_col), (state["at"] + 1).cast("int"), (span["start"] - state["at"]).cast("int"))
-        out = F.when(inside, state["out"]).otherwise(F.concat(state["out"], gap, F.lit("["), F.upper(span["kind"]), F.lit("]")))
-        return F.struct(F.greatest(state["at"], span["end"]).alias("at"), out.alias("out"))
+    def run(batches):
+        for batch, _, every in _scan(batches, shared.value, text_col):
+            texts = [replaced(text, spans) for text, spans in zip(batch.column(text_col).to_pylist(), every, strict=True)]
+            columns = {n: batch.column(n) for n in batch.schema.names} | {text_col: pa.array(texts, pa.string())}
+            yield pa.RecordBatch.from_arrays([columns[f.name].cast(f.type) for f in arrow], schema=arrow)
 
-    done = F.aggregate("spans", start, step, lambda s: F.concat(s["out"], F.substring(F.col(text_col), (s["at"] + 1).cast("int"), F.length(text_col))))
-    return found.withColumn(text_col, F.when(F.size("spans") > 0, done).otherwise(F.col(text_col))).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.mapInArrow(run, docs.schema)

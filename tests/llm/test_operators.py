@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -527,6 +528,57 @@ def test_loose_candidates_without_a_check_against_them_have_no_label():
     assert [y for x, y in rows if x[0] == pii.KINDS.index("phone")] == [1, 1, 1] and [x[12] for x, _ in rows][:2] == [1.0, 0.0]
 
 
+def test_overlaps_equal_a_comparison_with_every_span():
+    rng = random.Random(3)
+    for _ in range(300):
+        spans = []
+        for kind in pii.KINDS:
+            at = 0
+            for _ in range(rng.randrange(6)):
+                s = at + rng.randrange(8)
+                at = s + 1 + rng.randrange(8)
+                spans.append((kind, s, at))
+        taken = pii.Taken(spans)
+        for s in range(40):
+            for e in (s + 1, s + 5):
+                assert taken.over(s, e) == {k for k, a, z in spans if a < e and s < z}
+
+
+def test_many_spans_in_one_text(llm_spark):
+    """Time limits are far above the linear time and far below a comparison of every two spans."""
+    text = "+1 (415) 555-2671 a.b@c.org (at) 41 12 7 - " * 40_000
+    begin = time.monotonic()
+    labelled = list(pii._labelled(text))
+    assert len(labelled) >= 160_000 and time.monotonic() - begin < 120
+    docs = llm_spark.createDataFrame([(1, text), (2, None), (3, "")], "doc_id long, text string")
+    begin = time.monotonic()
+    nothing = pii.Model(None, (2.0,) * len(pii.KINDS))
+    got = {r["doc_id"]: r["text"] for r in pii.redact(docs, nothing).collect()}
+    assert got == {1: "[PHONE] [EMAIL] (at) 41 12 7 - " * 40_000, 2: None, 3: ""} and time.monotonic() - begin < 60
+
+
+def test_replaced_text_equals_marking_each_character():
+    rng = random.Random(4)
+    for _ in range(500):
+        text = "".join(rng.choice("abé日") for _ in range(20))
+        spans = sorted(((rng.choice(pii.KINDS), s, s + rng.randrange(1, 6)) for s in rng.sample(range(15), rng.randrange(4))), key=pii._by_place)
+        covered = {i for _, s, e in spans for i in range(s, e)}
+        # a run of touching spans that don't overlap has a mark for each
+        out, end = "", -1
+        for i, ch in enumerate(text):
+            for kind, s, e in spans:
+                if s == i:
+                    out += "" if i < end else f"[{kind.upper()}]"
+                    end = max(end, e)
+            out += "" if i in covered else ch
+        assert pii.replaced(text, spans) == out
+
+
+def test_a_small_corpus_gets_trees_too(llm_spark):
+    texts = [(f"call +1 (415) 555-{n} now on 2021-05-{n % 28}",) for n in range(1000, 1012)]
+    assert pii.fit(llm_spark.createDataFrame(texts, "text string")).trees is not None
+
+
 def test_thresholds_come_from_counts():
     counts = np.zeros((pii.STEPS + 1, 2), np.int64)
     counts[900] = 0, 95
