@@ -20,6 +20,7 @@ import json
 import re
 from collections.abc import Iterator
 from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -44,12 +45,12 @@ def byte_alphabet() -> dict[str, int]:
 
 
 class Codec:
-    """Encoder and decoder of one vocabulary; made in each worker from the file's text."""
+    """Encoder and decoder of one vocabulary; made in each worker from the file's text.
 
-    def __init__(self, source: str):
-        import tiktoken
-        from tokenizers import Tokenizer
+    A worker that only decodes holds the tokens' bytes alone: the encoder is built at its first use.
+    """
 
+    def __init__(self, source: str):
         spec = json.loads(source)
         pre, added = spec["pre_tokenizer"], spec["added_tokens"]
         plain = spec["model"]["type"] == "BPE" and pre["type"] == "ByteLevel" and pre["use_regex"] and not pre["add_prefix_space"] and not spec["normalizer"]
@@ -57,10 +58,8 @@ class Codec:
             raise ValueError("only plain byte-level BPE vocabularies are supported")
         alphabet, special = byte_alphabet(), {x["content"]: x["id"] for x in added}
         ranks = {bytes(alphabet[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
-        self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
         self.special = special
         self.cut = re.compile("(" + "|".join(map(re.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.pieces = Tokenizer.from_str(source).pre_tokenizer.pre_tokenize_str
         tokens = {i: b for b, i in ranks.items()} | {i: s.encode() for s, i in special.items()}
         self.lengths = np.zeros(max(tokens) + 1, np.int64)
         self.known = np.zeros(max(tokens) + 1, bool)
@@ -68,8 +67,27 @@ class Codec:
             self.lengths[i], self.known[i] = len(b), True
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(tokens.get(i, b"") for i in range(max(tokens) + 1)), np.uint8)
-        self.token = tokens
-        self.pool = ThreadPoolExecutor(THREADS)
+
+    def token(self, i: int) -> bytes:
+        return self.bytes[self.starts[i] : self.starts[i] + self.lengths[i]].tobytes()
+
+    @cached_property
+    def encoding(self):
+        import tiktoken
+
+        special = set(self.special.values())
+        ranks = {self.token(i): i for i in np.flatnonzero(self.known).tolist() if i not in special}
+        return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=self.special)
+
+    @cached_property
+    def pieces(self):
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        return ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+
+    @cached_property
+    def pool(self) -> ThreadPoolExecutor:
+        return ThreadPoolExecutor(THREADS)
 
     def encode(self, text: str) -> np.ndarray:
         if len(text) * 4 > LEAF and (max(map(len, text.split()), default=0) * 4 > LEAF or _RUN_OF_SPACE.search(text)):
@@ -104,11 +122,17 @@ class Codec:
         w = 2
         while True:
             a, b = left[-w:], right[:w]
-            middle = self.encoding._encode_single_piece(b"".join(self.token[t] for t in a + b))
+            middle = self.encoding._encode_single_piece(b"".join(self.token(t) for t in a + b))
             if (w >= len(left) or middle[0] == a[0]) and (w >= len(right) or middle[-1] == b[-1]):
                 return left[:-w] + middle + right[w:]
             w *= 2
 
+    def decode_lists(self, ids: np.ndarray, bounds: np.ndarray) -> list[str]:
+        """The texts of lists of ids that lie one after the other."""
+        at = np.concatenate([[0], np.cumsum(self.lengths[ids])])[bounds]
+        data = self.decode_bytes(ids).tobytes()
+        return [data[a:z].decode("utf-8", "replace") for a, z in zip(at[:-1], at[1:], strict=True)]
+
     def decode_bytes(self, ids: np.ndarray) -> np.ndarray:
         if len(ids) and (ids.min() < 0 or ids.max() >= len(self.known) or not self.known[ids].all()):
             raise ValueError("unknown token id")
@@ -166,9 +190,31 @@ def encode(docs: DataFrame, path: str, text_col: str = "text", out: str = "ids")
         coder = codec(source.value)
         for batch in batches:
             for rows, ids in encoded_slices(batch, text_col, coder):
-                bounds = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
-                lists = pa.LargeListArray.from_arrays(bounds, np.concatenate(ids).astype(np.int32)).cast(pa.list_(pa.int32()))
-                yield _with(arrow, rows, **{out: lists})
+                yield _with(arrow, rows, **{out: _lists(ids)[0]})
+
+    return kept.mapInArrow(run, schema)
+
+
+def _lists(ids: list[np.ndarray]) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """Lists of ids as an Arrow column, all ids, and the bounds of each list in them."""
+    bounds, every = np.concatenate([[0], np.cumsum([len(x) for x in ids])]), np.concatenate(ids).astype(np.int32)
+    return pa.LargeListArray.from_arrays(bounds, every).cast(pa.list_(pa.int32())), every, bounds
+
+
+def round_trip(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids", out: str = "decoded") -> DataFrame:
+    """docs with the token ids of the text, and what they decode to in the text's place: one pass, one worker a task."""
+    kept = docs.select(*[F.col(f"`{c}`") for c in docs.columns if c not in (ids_col, out) or c == text_col])
+    others = [f for f in kept.schema.fields if f.name != text_col]
+    schema = T.StructType([*others, T.StructField(ids_col, T.ArrayType(T.IntegerType(), False)), T.StructField(out, T.StringType())])
+    arrow = to_arrow_schema(schema)
+    source = read_vocabulary(docs, path)
+
+    def run(batches):
+        coder = codec(source.value)
+        for batch in batches:
+            for rows, ids in encoded_slices(batch, text_col, coder):
+                lists, every, bounds = _lists(ids)
+                yield _with(arrow, rows, **{ids_col: lists, out: pa.array(coder.decode_lists(every, bounds), pa.string())})
 
     return kept.mapInArrow(run, schema)
 
@@ -185,12 +231,8 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
             for lo in range(0, batch.num_rows, 1024):
                 rows = column.slice(lo, 1024)
                 ids = rows.flatten().to_numpy(zero_copy_only=False)
-                n = np.array([len(x) if x.is_valid else 0 for x in rows], np.int64)
-                raw = coder.decode_bytes(ids)
-                ends = np.cumsum(n)
-                sizes = np.concatenate([[0], np.cumsum(coder.lengths[ids])])[np.concatenate([[0], ends])]
-                data = raw.tobytes()
-                texts = [data[a:z].decode("utf-8", "replace") for a, z in zip(sizes[:-1], sizes[1:], strict=True)]
+                n = [len(x) if x.is_valid else 0 for x in rows]
+                texts = coder.decode_lists(ids, np.concatenate([[0], np.cumsum(n, dtype=np.int64)]))
                 yield _with(arrow, batch.slice(lo, 1024), **{out: pa.array(texts, pa.string())})
 
     return kept.mapInArrow(run, schema)

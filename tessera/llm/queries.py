@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import chat, pii, quality_lm, toxicity, vector_codes
-from tessera.llm.bpe import decode, encode
+from tessera.llm.bpe import round_trip
 from tessera.llm.chat import format_chats
 from tessera.llm.decontaminate import find_contamination
 from tessera.llm.fingerprints import fingerprint_with_next
@@ -81,7 +81,7 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bpe_digests(docs: DataFrame, path: str) -> DataFrame:
     """Ids and decoded text of each row as digests."""
-    coded = decode(encode(docs, path), path)
+    coded = round_trip(docs, path)
     return coded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

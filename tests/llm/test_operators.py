@@ -10,10 +10,11 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import chat, decontaminate, fingerprints, jaccard_join, pii, quality_lm, toxicity, warc
 from tessera.llm._text import ALNUM, LOWER, NON_SPACE, flat, row_sets, shingle_hashes, word_hashes, words
-from tessera.llm.bpe import Codec, decode, encode
+from tessera.llm.bpe import Codec, decode, encode, round_trip
 from tessera.llm.token_files import Reader, Writer, new_folder, read_tokens, write_tokens
 
 DOCS = "doc_id long, text string, lang string, words long, score string"
@@ -142,6 +143,16 @@ def test_encode_and_decode_rows(llm_spark, vocabulary, library):
     for r in rows:
         assert r["decoded"] == (r["text"] or "") and r["ids"] == library.encode(r["text"] or "", add_special_tokens=False).ids
     assert decode(encode(docs.limit(0), vocabulary), vocabulary).count() == 0
+    once = round_trip(docs.withColumn("decoded", F.lit(7)), vocabulary)
+    assert "text" not in once.columns and round_trip(docs.limit(0), vocabulary).count() == 0
+    assert sorted((str(r["doc_id"]), r["ids"], r["decoded"], r["words"]) for r in once.collect()) == sorted((str(r["doc_id"]), r["ids"], r["decoded"], r["words"]) for r in rows)
+
+
+def test_decoding_broken_utf8(coder, library):
+    ids = [i for i in range(0, 50_000, 3) if coder.known[i]]
+    lists = [np.array(ids[a : a + 7]) for a in range(0, 700, 7)] + [np.zeros(0, np.int64)]
+    bounds = np.concatenate([[0], np.cumsum([len(x) for x in lists])])
+    assert coder.decode_lists(np.concatenate(lists).astype(np.int32), bounds) == [library.decode(x.tolist(), skip_special_tokens=False) for x in lists]
 
 
 def test_token_files(llm_spark, vocabulary, library, tmp_path):
