@@ -8,7 +8,7 @@ from tessera.functions import scalar as S
 from tessera.functions.text import TOKEN_FILTERS, pad_sequence
 from tessera.operators import dictionary, joins, semi, text
 from tessera.plans.registry import query
-from tessera.session import table
+from tessera.session import cut_lineage, table
 
 _PLAIN = TOKEN_FILTERS.replace("\t", "").replace("\n", "")
 _FROM = f"'{_PLAIN}' || chr(9) || chr(10)"
@@ -78,9 +78,10 @@ def q_filter_given(spark, d):
     t = _tokens(spark, d)
     names = table(spark, d, "part").select(F.explode(F.split("p_name", " ")).alias("word"))
     given = names.unionByName(text.exploded(t.filter("doc_id % 7 = 0"), "doc_id", "tokens")\
-                              .select("word")).distinct()
-    oov = text.oov_docs(t, "doc_id", "tokens", given).withColumn("has_oov", F.lit(True))
-    f = text.filter_vocab(t, "doc_id", "tokens", given).join(oov, "doc_id", "left")
+                              .select("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))
+    unknown = cut_lineage(text.unknown_words(t, "doc_id", "tokens", given, rows="n"))
+    oov = text.oov_docs(t, "doc_id", "tokens", given, unknown=unknown).withColumn("has_oov", F.lit(True))
+    f = text.filter_vocab(t, "doc_id", "tokens", given, unknown=unknown).join(oov, "doc_id", "left")
     return f.select("doc_id", F.array_join("tokens", " ").alias("joined"), F.size("tokens").alias("n_kept"), F.coalesce("has_oov", F.lit(False)).alias("has_oov"))
 
 

@@ -80,3 +80,33 @@ def test_tokens_are_cut_at_filters(spark):
     got = [r["t"] for r in spark.createDataFrame([(t, i) for i, t in enumerate(texts)], "s string, i int").orderBy("i").select(tokenize("s").alias("t")).collect()]
     table = str.maketrans(filters, " " * len(filters))
     assert got == [None if t is None else [w for w in t.lower().translate(table).split(" ") if w] for t in texts]
+
+
+@pytest.mark.parametrize("known", [200_000, 5, 0])
+@pytest.mark.parametrize("repeats", [False, True])
+def test_a_given_vocabulary(spark, monkeypatch, known, repeats):
+    """Whether a word is broadcast or looked up; rows that repeat an id are one document, rows without one keep nothing."""
+    monkeypatch.setattr(text, "KNOWN_WORDS", known)
+    monkeypatch.setattr(text, "SLICE_TOKENS", 100)
+    docs = corpus() + ([(1, ["the", "w1", "other"]), (903, ["once", "of"]), (None, ["the"])] if repeats else [])
+    vocab = {"the", "of", "once", *[f"w{i}" for i in range(0, 80, 2)]}
+    df = spark.createDataFrame(docs, "doc long, toks array<string>").repartition(3)
+    given = spark.createDataFrame([(w, 1) for w in vocab] + [(None, 1)], "word string, n int")
+    got = text.filter_vocab(df, "doc", "toks", given, rows="n").collect()
+    assert len(got) == len(docs)
+    for row in got:
+        mine = sorted((p, w) for d, ws in docs if d == row["doc"] and d is not None for p, w in enumerate(ws or []) if w in vocab)
+        # of words at one position, the smaller comes first
+        assert row["toks"] == [w for _, w in mine]
+    oov = {r["doc"] for r in text.oov_docs(df, "doc", "toks", given).collect()}
+    assert oov == {d for d, ws in docs if any(w is not None and w not in vocab for w in ws or [])}
+
+
+def test_a_given_vocabulary_shuffles_no_known_word(spark):
+    """One row a batch and unknown word is looked up, not one a token."""
+    df = spark.createDataFrame([(i, ["the"] * 50 + [f"x{i % 2}"]) for i in range(40)], "doc long, toks array<string>").coalesce(1)
+    given = spark.createDataFrame([("the", 2000)], "word string, n int")
+    plan = text.unknown_words(df, "doc", "toks", given, rows="n")
+    assert plan.count() == 40
+    tree = plan._jdf.queryExecution().optimizedPlan().toString()
+    assert tree.index("Generate") < tree.index("LeftAnti") < tree.index("MapInArrow")
