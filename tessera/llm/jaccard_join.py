@@ -80,9 +80,8 @@ def _sets(docs: DataFrame, first_part: bool) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, n long, k1 long, k2 long, hashes array<long>")
 
 
-def _sieve(docs: DataFrame) -> DataFrame:
-    """Classes that may link: k1, k2, n, id and a node number (fixed by storing the table)."""
-    parts = _sets(docs, first_part=True)
+def _sieve(docs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Classes that may link: k1, k2, n, id and a node number (fixed by storing the table); parts are the sets' first parts."""
     classes = parts.groupBy("k1", "k2").agg(F.first("n").alias("n"), F.min("doc_id").alias("id"), F.first("hashes").alias("hashes")).filter("n > 0")
     # classes are told apart by id where there is one: ids compress far better than keys in the shuffles
     tag = F.coalesce("id", F.col("k1"))
@@ -252,9 +251,11 @@ def _relabel(rows: DataFrame, merged: DataFrame) -> DataFrame:
 def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id, class_id (the smallest id of the rows with the same set)."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kept = stored(_sieve(rows), "kept")
+    # read for the classes, their tokens and the result: the texts are hashed for it once
+    parts = stored(_sets(rows, first_part=True), "parts")
+    kept = stored(_sieve(rows, parts), "kept")
     labels = _components(_ordered(rows, kept))
-    keys = stored(_sets(rows, first_part=True).drop("hashes"), "keys")
+    keys = parts.drop("hashes")
     classes = keys.groupBy("k1", "k2").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("copies"))
     if labels is not None:
         named = labels.join(kept.select("node", "k1", "k2", "id"), "node")
