@@ -17,6 +17,33 @@ from tessera.operators.dictionary import dictionary
 from tessera.operators.joins import lookup
 from tessera.session import cut_lineage
 
+#: Ratings are dealt to so many parts at least, and to more where a part would have over PART_ROWS.
+PARTS, PART_ROWS = 12, 10_000_000
+
+
+def parts_of(rows: int) -> int:
+    """Parts to deal ``rows`` ratings to: few, so that sums by the other id combine where they are made, and of bounded size."""
+    return max(PARTS, -(-rows // PART_ROWS))
+
+
+def deal(ratings: DataFrame, key: str, parts: int) -> DataFrame:
+    """Ratings stored by an id, in its order: ``lookup_dealt`` by that id moves none of them.
+
+    Planned without AQE, whose plans do not tell a checkpoint how its rows are partitioned and sorted.
+    """
+    conf, name = ratings.sparkSession.conf, "spark.sql.adaptive.enabled"
+    before = conf.get(name)
+    conf.set(name, "false")
+    try:
+        return cut_lineage(ratings.repartition(parts, key).sortWithinPartitions(key))
+    finally:
+        conf.set(name, before)
+
+
+def lookup_dealt(ratings: DataFrame, dim: DataFrame, key: str, parts: int | None, how: str = "left") -> DataFrame:
+    """``lookup`` on ratings dealt by ``key``: only the ids' table is shuffled, to the same parts. Without ``parts`` a plain lookup."""
+    return lookup(ratings, dim.repartition(parts, key) if parts else dim, key, how)
+
 
 def bias_baseline(ratings: DataFrame, user: str, item: str, rating: str, reg: float = 0.0):
     """Global mean, user bias and item bias (one pass each, partial aggregation)."""
@@ -52,30 +79,37 @@ class Biases:
     blocks: dict[str, DataFrame]
 
 
-def fit_biases(ratings: DataFrame, user: Side, item: Side, rating: str, epochs: int = 10, reg: float = 1.0) -> Biases:
+def fit_biases(ratings: DataFrame, user: Side, item: Side, rating: str, epochs: int = 10, reg: float = 1.0,
+               parts: int | None = None) -> Biases:
     """mean + id biases + attribute biases by block coordinate descent on squared error + reg |bias|^2.
 
     Every attribute belongs to an id, so all blocks of a side are fitted on one row per id: how many
     ratings it has and the sum of what they leave unexplained. Ratings are read twice an epoch (once a
-    side: the other side's offsets summed per id), whatever the number of blocks. A level's
+    side: the other side's offsets summed per id), whatever the number of blocks. They are stored once by
+    each id in few parts, so an epoch shuffles ids and their partial sums, no ratings. A level's
     step is (sum of residuals - reg * bias) / (weight + reg). With one level a row the weight is the number
     of ratings and the step solves the block's normal equations; with several (genres) each rating
     weighs as much as it has levels, which bounds the block's curvature, so no step raises the error.
 
     Ids that no rating has are not in the result; NULL ids of ratings are dropped; NULL levels and
     empty arrays have no bias; a level named twice in an array counts once; ids of any type.
+    ``parts``: set where ``ratings`` were dealt by the user's id to so many parts (``deal``).
     """
     sound = ratings.filter(F.col(user.key).isNotNull() & F.col(item.key).isNotNull() & F.col(rating).isNotNull())
-    mu = sound.agg(F.avg(rating)).first()[0]
+    mu, rows = sound.agg(F.avg(rating), F.count(F.lit(1))).first()
     if mu is None:
         mu = 0.0
     sides = {"user": user, "item": item}
     state = {name: cut_lineage(_start(sound, side, rating, mu)) for name, side in sides.items()}
+    ids = sound.select(user.key, item.key)
+    dealt = {"user": ids if parts else deal(ids, user.key, parts_of(rows))}
+    parts = parts or parts_of(rows)
+    dealt["item"] = deal(ids, item.key, parts)
     blocks: dict[str, DataFrame] = {}
     for _ in range(epochs):
         for name, other in (("user", "item"), ("item", "user")):
             side, seen = sides[name], sides[other].key
-            carried = lookup(sound.select(side.key, seen), state[other].select(seen, "offset"), seen, "inner") \
+            carried = lookup_dealt(dealt[other], state[other].select(seen, "offset"), seen, parts, "inner") \
                 .groupBy(side.key).agg(F.sum("offset").alias("__carried"))
             t = state[name].join(carried, side.key).withColumn(
                 "__r", F.col("__s") - F.col("__carried") - F.col("__n") * F.col("offset")).drop("__carried")
@@ -121,13 +155,14 @@ def _fit_block(t: DataFrame, key: str, col: str, many: bool, old: DataFrame | No
     return t, steps.select("level", (F.col("bias") + F.col("__d")).alias("bias"))
 
 
-def predict_biases(fact: DataFrame, fit: Biases, user: Side, item: Side, lo: float = 1.0, hi: float = 5.0, out: str = "pred") -> DataFrame:
-    """mean + offsets, clipped (C10). An id without ratings has the biases of its attributes."""
+def predict_biases(fact: DataFrame, fit: Biases, user: Side, item: Side, lo: float = 1.0, hi: float = 5.0, out: str = "pred",
+                   parts: int | None = None) -> DataFrame:
+    """mean + offsets, clipped (C10). An id without ratings has the biases of its attributes. ``parts``: of a fact dealt by the user's id."""
     z = F.lit(fit.mu)
-    for side, fitted in ((user, fit.user), (item, fit.item)):
+    for side, fitted, dealt in ((user, fit.user, parts), (item, fit.item, None)):
         name = f"__{side.key}"
         offsets = fitted.select(side.key, F.col("offset").alias(name))
-        fact = lookup(fact, _with_cold(offsets, side, fit.blocks, name), side.key, "left")
+        fact = lookup_dealt(fact, _with_cold(offsets, side, fit.blocks, name), side.key, dealt)
         z = z + F.coalesce(name, F.lit(0.0))
     return fact.withColumn(out, clip(z, lo, hi)).drop(f"__{user.key}", f"__{item.key}")
 

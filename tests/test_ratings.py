@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.operators import recsys
 
@@ -90,3 +91,41 @@ def test_factors_take_ids_of_any_type(spark):
     scored = recsys.score_factors(ratings, users, items, "u", "i", mu, out="pred").collect()
     assert len(scored) == len(rows)
     assert np.mean([(r["pred"] - r["y"]) ** 2 for r in scored]) < np.var([r[2] for r in rows])
+
+
+def _exchanges(df):
+    return [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_dealt_ratings_are_not_shuffled_again(spark):
+    """Bias steps, prediction and factor scores look ids up where the dealt ratings are; only the ids' table travels."""
+    rng = random.Random(5)
+    rows = [(u, i, float(rng.randrange(1, 6))) for u in range(40) for i in range(30) if rng.random() < 0.5]
+    ratings = spark.createDataFrame(rows, "u long, i long, y double")
+    before = spark.conf.get("spark.sql.adaptive.enabled"), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = recsys.deal(ratings, "u", 3)
+        assert spark.conf.get("spark.sql.adaptive.enabled") == before[0]
+        ids = spark.range(40).select(F.col("id").alias("u"), F.rand(1).alias("offset"))
+        plan = _exchanges(recsys.lookup_dealt(dealt, ids, "u", 3))
+        assert len(plan) == 1 and "REPARTITION_BY_NUM" in plan[0]
+        assert recsys.lookup_dealt(dealt, ids, "u", 3).count() == len(rows)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before[1])
+
+
+def test_dealt_ratings_give_the_same_fit(spark):
+    rng = random.Random(6)
+    rows = [(u, i, float(rng.randrange(1, 6))) for u in range(30) for i in range(20) if rng.random() < 0.6]
+    rows += [(None, 1, 2.0), (1, None, 3.0), (2, 3, None), (1, 1, 5.0), (1, 1, 5.0)]
+    ratings = spark.createDataFrame(rows, "u long, i long, y double")
+    user = recsys.Side("u", spark.createDataFrame([(k, "fm"[k % 2]) for k in range(35)], "u long, g string"), one=["g"])
+    item = recsys.Side("i", spark.createDataFrame([(k, ["a", "b"][: k % 3]) for k in range(25)], "i long, s array<string>"), many=["s"])
+    found = []
+    for parts in (None, 4):
+        facts = recsys.deal(ratings, "u", parts) if parts else ratings
+        fit = recsys.fit_biases(facts, user, item, "y", epochs=2, parts=parts)
+        scored = recsys.predict_biases(facts, fit, user, item, parts=parts)
+        found.append(sorted((str((r["u"], r["i"], r["y"])), round(r["pred"], 9)) for r in scored.collect()))
+    assert found[0] == found[1] and len(found[0]) == len(rows)
