@@ -102,7 +102,7 @@ def q_bias_levels(spark, d):
 @query("q_factor_score", "M20, M21, J2, C10")
 def q_factor_score(spark, d):
     """Biases of ids and attributes, ALS factors on what they leave, score clipped to the rating range."""
-    ratings, _, _, fit, _ = _fitted(spark, d, own=True)
-    mu, users, items = recsys.fit_factors(ratings, "user", "item", "rating", rank=4, max_iter=10, biases=fit)
-    scored = recsys.score_factors(ratings, users, items, "user", "item", mu, out="pred")
+    ratings, _, _, fit, parts = _fitted(spark, d, own=True)
+    mu, users, items = recsys.fit_factors(ratings, "user", "item", "rating", rank=4, max_iter=10, biases=fit, parts=parts)
+    scored = recsys.score_factors(ratings, users, items, "user", "item", mu, out="pred", parts=parts)
     return scored.select("user", "item", "rating", "pred")
