@@ -9,16 +9,19 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.scalar import clip, dot
 from tessera.operators.dictionary import dictionary
 from tessera.operators.joins import lookup
-from tessera.session import cut_lineage
+from tessera.session import checkpoint_dir, cut_lineage
 
 #: Ratings are dealt to so many parts at least, and to more where a part would have over PART_ROWS.
 PARTS, PART_ROWS = 12, 10_000_000
+#: MLlib's blocks of ratings, each of which a task sorts in its heap: so many at least (its default), and more where one would have over BLOCK_ROWS.
+ALS_BLOCKS, BLOCK_ROWS = 10, 4_000_000
 
 
 def parts_of(rows: int) -> int:
@@ -26,6 +29,11 @@ def parts_of(rows: int) -> int:
     return max(PARTS, -(-rows // PART_ROWS))
 
 
+def blocks_of(rows: int) -> int:
+    """Blocks a side in which ALS stores ``rows`` ratings."""
+    return max(ALS_BLOCKS, -(-rows // BLOCK_ROWS))
+
+
 def deal(ratings: DataFrame, key: str, parts: int) -> DataFrame:
     """Ratings stored by an id, in its order: ``lookup_dealt`` by that id moves none of them.
 
@@ -203,9 +211,11 @@ def fit_factors(ratings: DataFrame, user: str, item: str, rating: str, rank: int
              for c, bias, t, b in ((user, bu, "__u", "b_user"), (item, bi, "__i", "b_item"))]
     res = lookup_dealt(ratings, sides[0], user, parts, "inner").select(item, "__u", (F.col(rating) - mu - F.col("b_user")).alias("__r"))
     res = lookup(res, sides[1], item, "inner").select("__u", "__i", (F.col("__r") - F.col("b_item")).alias("__r"))
-    als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="__u", itemCol="__i",
-              ratingCol="__r", coldStartStrategy="drop", nonnegative=False)
-    res = res.persist()  # MLlib runs its input's plan twice
+    checkpoint_dir(ratings.sparkSession)  # for ALS, which deletes an iteration's shuffles when its factors are checkpointed
+    res = res.persist(StorageLevel.DISK_ONLY)  # MLlib runs its input's plan twice; the heap is for its blocks
+    blocks = blocks_of(res.count())
+    als = ALS(rank=rank, regParam=reg, maxIter=max_iter, seed=seed, userCol="__u", itemCol="__i", ratingCol="__r",
+              numUserBlocks=blocks, numItemBlocks=blocks, checkpointInterval=1, coldStartStrategy="drop", nonnegative=False)
     model = als.fit(res)
     res.unpersist()
     tables = []

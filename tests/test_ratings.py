@@ -129,3 +129,19 @@ def test_dealt_ratings_give_the_same_fit(spark):
         scored = recsys.predict_biases(facts, fit, user, item, parts=parts)
         found.append(sorted((str((r["u"], r["i"], r["y"])), round(r["pred"], 9)) for r in scored.collect()))
     assert found[0] == found[1] and len(found[0]) == len(rows)
+
+
+def test_factors_are_fitted_in_blocks_of_bounded_size(spark, monkeypatch):
+    """Before, ten blocks held all ratings and the residuals were kept in the executors' heap."""
+    from pyspark.ml.recommendation import ALS
+
+    seen, fit = [], ALS.fit
+    monkeypatch.setattr(ALS, "fit", lambda self, df: (seen.append((self.getNumUserBlocks(), self.getNumItemBlocks(), df.storageLevel.useMemory)), fit(self, df))[1])
+    ratings = spark.createDataFrame([(i % 20, i % 17, float(1 + i % 5)) for i in range(340)], "u int, i int, y double")
+    monkeypatch.setattr(recsys, "BLOCK_ROWS", 25)
+    few = recsys.fit_factors(ratings, "u", "i", "y", rank=2, max_iter=3)
+    assert seen == [(14, 14, False)]
+    assert few[1].filter("u_vec is null").count() == few[2].filter("i_vec is null").count() == 0
+    monkeypatch.setattr(recsys, "BLOCK_ROWS", 1000)
+    recsys.fit_factors(ratings, "u", "i", "y", rank=2, max_iter=1)
+    assert seen[1] == (10, 10, False)
